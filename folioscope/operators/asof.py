@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .common import broadcast_if_small, require
+from .common import BROADCAST_ROWS, require
 
 #: Events of one entity above which it is cut into shards of about so many.
 SHARD_ROWS = 32_768
@@ -41,6 +41,39 @@ def disjoint_versions(versions: Column, start: str, end: str, payload: str, floo
     )
 
 
+def _number(df: DataFrame, column: str, name: str = "_t") -> Column:
+    """``name``, which holds values of ``df``'s ``column``, as a double."""
+    if df.schema[column].dataType.typeName() in ("date", "timestamp", "timestamp_ntz"):
+        return F.col(name).cast("timestamp").cast("double")
+    return F.col(name).cast("double")
+
+
+def _cuts(times: DataFrame, shard_rows: int, time_shards: int) -> DataFrame:
+    """(_e, _b, _parts) of the entities in ``times`` (_e, _n, _q): the bounds of the
+    shards along time, and into how many parts each shard is split by a hash."""
+    fractions = [i / time_shards for i in range(1, time_shards)]
+    wanted = F.least(F.lit(time_shards), F.ceil(F.col("_n") / F.lit(shard_rows)).cast("int"))
+    every = F.sequence(F.lit(1), F.greatest(F.col("_w") - 1, F.lit(1)))
+    nth = lambda i: F.get(F.col("_pct"), F.floor(i * F.lit(time_shards) / F.col("_w")).cast("int") - 1)
+    return (
+        times.groupBy("_e", "_n")
+        .agg(F.percentile_approx("_q", fractions, 1000).alias("_pct"))
+        .withColumn("_w", wanted)
+        .withColumn("_b0", F.transform(every, nth))
+        .withColumn("_b", F.array_distinct("_b0"))
+        .withColumn(
+            "_parts",
+            F.greatest(
+                F.lit(1),
+                # what the quantiles could not separate, and what lies beyond the most shards
+                F.ceil(F.size("_b0") / F.size("_b")).cast("int"),
+                F.ceil(F.col("_n") / F.lit(shard_rows * time_shards)).cast("int"),
+            ),
+        )
+        .select("_e", "_b", "_parts")
+    )
+
+
 def asof_join(
     events: DataFrame,
     versions: DataFrame,
@@ -91,52 +124,32 @@ def asof_join(
     ver = ver.select("_e", "_t", F.col("_m._x").alias("_x"))
 
     counts = ev.groupBy("_e").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > shard_rows)
-    fractions = [i / time_shards for i in range(1, time_shards)]
-    number = F.col("_t").cast("timestamp").cast("double") if dict(events.dtypes)[event_time] in ("date", "timestamp", "timestamp_ntz") else F.col("_t").cast("double")
-    hot_counts = broadcast_if_small(counts)
-    wanted = F.least(F.lit(time_shards), F.ceil(F.col("_n") / F.lit(shard_rows)).cast("int"))
-    hot = (
-        ev.select("_e", number.alias("_q"))
-        .join(hot_counts, "_e")
-        .groupBy("_e", "_n")
-        .agg(F.percentile_approx("_q", fractions, 1000).alias("_pct"))
-        .withColumn("_w", wanted)
-        # every (time_shards / wanted)-th quantile is a bound
-        .withColumn(
-            "_b0",
-            F.transform(F.sequence(F.lit(1), F.greatest(F.col("_w") - 1, F.lit(1))), lambda i: F.get(F.col("_pct"), F.floor(i * F.lit(time_shards) / F.col("_w")).cast("int") - 1)),
+    number = _number(events, event_time)
+    n_hot = counts.limit(BROADCAST_ROWS + 1).count()
+    event_type, version_type = ev.schema["_ev"].dataType, ver.schema["_x"].dataType
+    if not n_hot:
+        # no entity needs a second shard: one merge per entity
+        ev = ev.withColumns({"_s": F.lit(0), "_h": F.lit(0)})
+        ver = ver.withColumns({"_s": F.lit(0), "_h": F.lit(0)})
+    else:
+        small = (lambda df: F.broadcast(df)) if n_hot <= BROADCAST_ROWS else (lambda df: df)
+        hot = small(_cuts(ev.select("_e", number.alias("_q")).join(small(counts), "_e"), shard_rows, time_shards))
+        shard = lambda q: F.when(F.col("_b").isNull(), F.lit(0)).otherwise(F.size(F.filter("_b", lambda b: b <= q)))
+        parts = F.coalesce(F.col("_parts"), F.lit(1))
+        ev = ev.join(hot, "_e", "left").select(
+            "_e", "_t", "_ev", shard(number).alias("_s"),
+            F.when(parts > 1, F.pmod(F.xxhash64("_ev"), parts).cast("int")).otherwise(0).alias("_h"),
         )
-        .withColumn("_b", F.array_distinct("_b0"))
-        .withColumn(
-            "_parts",
-            F.greatest(
-                F.lit(1),
-                # what the quantiles could not separate, and what lies beyond the most shards
-                F.ceil(F.size("_b0") / F.size("_b")).cast("int"),
-                F.ceil(F.col("_n") / (F.lit(shard_rows) * F.lit(time_shards))).cast("int"),
-            ),
+        ver = ver.withColumn("_to", F.lead("_t").over(W.partitionBy("_e").orderBy("_t"))).join(hot, "_e", "left")
+        last = F.when(F.col("_b").isNull(), F.lit(0)).when(F.col("_to").isNull(), F.size("_b")).otherwise(
+            shard(_number(versions, valid_from, "_to"))
         )
-        .select("_e", "_b", "_parts")
-    )
-    hot = broadcast_if_small(hot)
-    shard = lambda q: F.when(F.col("_b").isNull(), F.lit(0)).otherwise(F.size(F.filter("_b", lambda b: b <= q)))
-
-    ev = ev.join(hot, "_e", "left")
-    ev = ev.select(
-        "_e", "_t", F.lit(1).alias("_kind"), shard(number).alias("_s"),
-        F.when(F.col("_parts") > 1, F.pmod(F.xxhash64("_ev"), F.col("_parts")).cast("int")).otherwise(0).alias("_h"),
-        "_ev", F.lit(None).cast(ver.schema["_x"].dataType).alias("_x"),
-    )
-    following = F.lead("_t").over(W.partitionBy("_e").orderBy("_t"))
-    ver = ver.withColumn("_to", following).join(hot, "_e", "left")
-    numbered = lambda c: (F.col(c).cast("timestamp").cast("double") if dict(versions.dtypes)[valid_from] in ("date", "timestamp", "timestamp_ntz") else F.col(c).cast("double"))
-    last_shard = F.when(F.col("_to").isNull(), F.coalesce(F.size("_b"), F.lit(0))).otherwise(shard(numbered("_to")))
-    ver = (
-        ver.withColumn("_last", F.when(F.col("_b").isNull(), F.lit(0)).otherwise(last_shard))
-        .select("_e", "_t", "_x", "_parts", F.explode(F.sequence(shard(numbered("_t")), F.col("_last"))).alias("_s"))
-        .select("_e", "_t", "_x", "_s", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)).alias("_h"))
-        .select("_e", "_t", F.lit(0).alias("_kind"), "_s", "_h", F.lit(None).cast(ev.schema["_ev"].dataType).alias("_ev"), "_x")
-    )
+        ver = (
+            ver.select("_e", "_t", "_x", parts.alias("_parts"), F.explode(F.sequence(shard(_number(versions, valid_from, "_t")), last)).alias("_s"))
+            .select("_e", "_t", "_x", "_s", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_h"))
+        )
+    ev = ev.select("_e", "_t", F.lit(1).alias("_kind"), "_s", "_h", "_ev", F.lit(None).cast(version_type).alias("_x"))
+    ver = ver.select("_e", "_t", F.lit(0).alias("_kind"), "_s", "_h", F.lit(None).cast(event_type).alias("_ev"), "_x")
     w = W.partitionBy("_e", "_s", "_h").orderBy("_t", "_kind").rowsBetween(W.unboundedPreceding, W.currentRow)
     merged = (
         ev.unionByName(ver)

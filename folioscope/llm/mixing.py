@@ -17,7 +17,9 @@ DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pattern that splits text before the merges of the rank files (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Sources a target table may list; their few numbers are kept on the driver.
-MOST_SOURCES = 10_000
+MOST_SOURCES = 1_000
+#: Sizes within a quarter of an octave form a band.
+BANDS_PER_OCTAVE = 4
 #: Parts into which documents of one source and size are split for rounding.
 PARTS = 64
 STEPS, TOLERANCE = 80, 1e-9
@@ -53,7 +55,7 @@ def count_tokens(df: DataFrame, text: str, columns: list[str], vocabulary: str =
 
 @dataclass
 class Tilt:
-    """One source: its documents' rates are min(cap, exp(slope * tokens / scale))."""
+    """One band of a source: its documents' rates are min(cap, exp(slope * tokens / scale))."""
 
     target: float  # tokens it should contribute
     cap: int
@@ -64,44 +66,40 @@ class Tilt:
     done: bool = False
 
 
-def _budget(stats: dict, targets: dict, total_tokens: int | None) -> tuple[float, dict[str, Decimal]]:
+def _budget(tokens: dict[str, int], targets: dict, total_tokens: int | None) -> tuple[Decimal, dict[str, Decimal]]:
     """The mixture's size and each reachable source's share of it, to the sum of 1."""
-    reachable = {s: share for s, (share, cap) in targets.items() if share > 0 and cap > 0 and s in stats}
+    reachable = {s: share for s, (share, cap) in targets.items() if share > 0 and cap > 0 and s in tokens}
     whole = sum(reachable.values(), Decimal(0))
     shares = {s: x / whole for s, x in reachable.items()} if whole else {}
-    most = min((Decimal(stats[s]["tokens"]) * targets[s][1] / x for s, x in shares.items()), default=Decimal(0))
-    return float(most if total_tokens is None else min(most, Decimal(total_tokens))), shares
+    most = min((Decimal(tokens[s]) * targets[s][1] / x for s, x in shares.items()), default=Decimal(0))
+    return (most if total_tokens is None else min(most, Decimal(total_tokens))), shares
 
 
-def _solve(sizes: DataFrame, stats: dict, targets: dict, shares: dict, total: float) -> dict[str, Tilt]:
-    """Newton steps on the convex dual.  Its gradient in a source's slope is the tokens
-    the rates give less the target, its second derivative the tokens' second moment;
-    both are sums over the documents, made by one aggregation of all sources a step.
-    A step that leaves the interval known to hold the root is replaced by halving."""
-    tilts = {}
-    for s, share in shares.items():
-        n, tokens, cap = stats[s]["docs"], stats[s]["tokens"], targets[s][1]
-        t = Tilt(float(share) * total, cap, tokens / n)
-        if t.target >= tokens * cap * (1 - 1e-12):
-            t.slope, t.done = math.inf, True  # every document as often as allowed
-        tilts[s] = t
+def _solve(sizes: DataFrame, tilts: dict[tuple[str, int], Tilt]) -> None:
+    """Newton steps on the convex dual.  Its gradient in a slope is the tokens the rates
+    give less the target, its second derivative the tokens' second moment; both are
+    sums over the documents, made by one aggregation of all bands a step.  A step that
+    leaves the interval known to hold the root is replaced by halving."""
     spark = sizes.sparkSession
     for _ in range(STEPS):
-        todo = {s: t for s, t in tilts.items() if not t.done}
+        todo = {k: t for k, t in tilts.items() if not t.done}
         if not todo:
             break
-        at = spark.createDataFrame([(s, t.slope, float(t.cap), t.scale) for s, t in todo.items()], "source string, slope double, cap double, scale double")
+        at = spark.createDataFrame(
+            [(s, b, t.slope, float(t.cap), t.scale) for (s, b), t in todo.items()],
+            "source string, band int, slope double, cap double, scale double",
+        )
         x = F.col("n_tokens") / F.col("scale")
         rate = F.least(F.col("cap"), F.exp(F.least(F.col("slope") * x, F.lit(700.0))))
         free = F.when(rate < F.col("cap"), rate).otherwise(0.0)
         sums = (
-            sizes.join(F.broadcast(at), "source")
-            .groupBy("source")
+            sizes.join(F.broadcast(at), ["source", "band"])
+            .groupBy("source", "band")
             .agg(F.sum(F.col("n") * rate * F.col("n_tokens")).alias("g"), F.sum(F.col("n") * free * x * F.col("n_tokens")).alias("h"))
-            .collect()  # a row per listed source
+            .collect()  # a row per listed source and band
         )
         for r in sums:
-            t = todo[r["source"]]
+            t = todo[r["source"], r["band"]]
             off = r["g"] - t.target
             if abs(off) <= TOLERANCE * t.target:
                 t.done = True
@@ -119,7 +117,20 @@ def _solve(sizes: DataFrame, stats: dict, targets: dict, shares: dict, total: fl
                 else:
                     step = (t.low + t.high) / 2
             t.slope = step
-    return tilts
+
+
+def _round(sizes: pd.DataFrame) -> pd.DataFrame:
+    """Of each size of one source how many documents are taken once more than the whole
+    part of their rate.  From the largest to the smallest, what the larger sizes gave
+    too much or too little is made up for, so the smallest size bounds what is left."""
+    sizes = sizes.sort_values("n_tokens", ascending=False)
+    off, extra = 0.0, []
+    for t, n, base, fraction in zip(sizes["n_tokens"], sizes["n"], sizes["base"], sizes["fraction"]):
+        off += n * fraction * t
+        m = min(int(n), max(0, round(off / t))) if fraction > 0 else 0
+        off -= m * t
+        extra.append(m)
+    return sizes.assign(extra=extra)[["source", "n_tokens", "n", "rate", "base", "extra"]]
 
 
 def mix(
@@ -130,13 +141,15 @@ def mix(
 
     ``targets`` has source, target_share and max_repeats.  Each document begins with
     rate 1.  Entropy balancing finds the rates nearest to that (least relative
-    entropy) under which each source gives its share of the tokens: an exponential in
-    the document's tokens, one slope a source, cut at max_repeats.  The slopes solve
-    the convex dual by Newton steps over the table of (source, tokens, documents).
-    Rates are rounded to copies by systematic rounding over the documents of a source
-    in order of size: running sums of the rates' fractions decide how many documents
-    of each size are taken once more, and a hash of the id decides which.  So a
-    source's tokens differ from its target by about one document at most.
+    entropy) under which each source gives its share of the tokens, and within a
+    source each band of sizes (a quarter of an octave) the part it has in the source,
+    lest long documents be driven out: an exponential in the document's tokens, one
+    slope a band, cut at max_repeats.  The slopes solve the convex dual by Newton steps
+    over the table of (source, tokens, documents).  Rates are then rounded to copies,
+    from the largest documents of a source to the smallest, each size making up for
+    what the ones before gave too much or too little; a hash of the id decides which
+    documents of a size are taken.  So a source's tokens differ from its target by
+    about half of its smallest document.
 
     The size of the mixture is the greatest at which every source can reach its share
     under its cap, or ``total_tokens`` if that is less.  Listed sources without any
@@ -149,10 +162,11 @@ def mix(
     the documents: source, target_share, max_repeats, n_docs, n_tokens (available),
     used_docs, copies, used_tokens, actual_share.
 
-    Sizes: the driver holds a few numbers per listed source (at most ``MOST_SOURCES``).
-    A source or size with most documents is split into ``parts`` for rounding; sums
-    run over sizes, not documents.  An empty corpus gives a report of zeros.
-    Repeated rows are documents of their own.
+    Sizes: the driver holds a few numbers per band of listed sources (at most
+    ``MOST_SOURCES``); the rounding of a source goes over its distinct sizes, which
+    the longest document bounds, not over documents.  Documents of one source and size
+    are split into ``parts``, so that none is ordered in one task with most others.
+    An empty corpus gives a report of zeros.  Repeated rows are documents of their own.
     """
     require(docs, doc_id, source, text)
     require(targets, "source", "target_share", "max_repeats")
@@ -167,32 +181,42 @@ def mix(
     cells = cut_lineage(
         sized.filter(F.col("source").isin(list(listed)) & (F.col("n_tokens") > 0)).groupBy("source", "n_tokens", "part").agg(F.count(F.lit(1)).alias("n"))
     )
-    sizes = cells.groupBy("source", "n_tokens").agg(F.sum("n").alias("n"))
-    stats = {
-        r["source"]: {"docs": int(r["d"]), "tokens": int(r["t"])}
-        for r in sizes.groupBy("source").agg(F.sum("n").alias("d"), F.sum(F.col("n").cast("decimal(38,0)") * F.col("n_tokens")).alias("t")).collect()
-    }
-    total, shares = _budget(stats, listed, total_tokens)
-    tilts = _solve(sizes, stats, listed, shares, total)
+    band = F.floor(F.log2(F.col("n_tokens").cast("double")) * BANDS_PER_OCTAVE).cast("int")
+    sizes = cut_lineage(cells.groupBy("source", "n_tokens").agg(F.sum("n").alias("n")).withColumn("band", band))
+    exact = F.sum(F.col("n").cast("decimal(38,0)") * F.col("n_tokens"))
+    bands = {(r["source"], r["band"]): (int(r["d"]), int(r["t"])) for r in sizes.groupBy("source", "band").agg(F.sum("n").alias("d"), exact.alias("t")).collect()}
+    tokens: dict[str, int] = {}
+    for (s, _), (_, t) in bands.items():
+        tokens[s] = tokens.get(s, 0) + t
+    total, shares = _budget(tokens, listed, total_tokens)
+    tilts = {}
+    for (s, b), (n, t) in bands.items():
+        if s in shares:
+            rate = shares[s] * total / tokens[s]
+            tilts[s, b] = Tilt(float(rate * t), listed[s][1], t / n)
+            if rate >= listed[s][1] * (1 - Decimal("1e-12")):
+                tilts[s, b].slope, tilts[s, b].done = math.inf, True  # every document as often as allowed
+    _solve(sizes, tilts)
 
     at = spark.createDataFrame(
-        [(s, t.slope if math.isfinite(t.slope) else None, float(t.cap), t.scale) for s, t in tilts.items()],
-        "source string, slope double, cap double, scale double",
+        [(s, b, t.slope if math.isfinite(t.slope) else None, float(t.cap), t.scale) for (s, b), t in tilts.items()],
+        "source string, band int, slope double, cap double, scale double",
     )
     rate = F.when(F.col("slope").isNull(), F.col("cap")).otherwise(
         F.least(F.col("cap"), F.exp(F.least(F.col("slope") * F.col("n_tokens") / F.col("scale"), F.lit(700.0))))
     )
-    rated = sizes.join(F.broadcast(at), "source").withColumn("rate", rate)
-    rated = rated.select("source", "n_tokens", "n", "rate", F.floor("rate").alias("base"), (F.col("rate") - F.floor("rate")).alias("part_rate"))
-    # running sums of fractions: over the sizes of a source, then over the parts of a size
-    before = W.partitionBy("source").orderBy("n_tokens").rowsBetween(W.unboundedPreceding, -1)
-    inner = W.partitionBy("source", "n_tokens").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    rated = rated.withColumn("run", F.coalesce(F.sum(F.col("n") * F.col("part_rate")).over(before), F.lit(0.0))).drop("n")
+    rated = sizes.join(F.broadcast(at), ["source", "band"]).withColumn("rate", rate)
+    rated = rated.select("source", "n_tokens", "n", "rate", F.floor("rate").alias("base"), (F.col("rate") - F.floor("rate")).alias("fraction"))
+    rounded = rated.groupBy("source").applyInPandas(_round, "source string, n_tokens long, n long, rate double, base long, extra long")
+    # the documents taken once more, shared out over the parts of a size
+    upto = F.coalesce(F.sum("c").over(W.partitionBy("source", "n_tokens").orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    share_of = lambda c: F.expr(f"cast(cast(extra as decimal(20,0)) * cast({c} as decimal(18,0)) div n as long)")
     extra = (
-        cells.join(rated, ["source", "n_tokens"])
-        .withColumn("from", F.col("run") + F.coalesce(F.sum("n").over(inner), F.lit(0)) * F.col("part_rate") + 0.5)
-        .withColumn("extra", F.floor(F.col("from") + F.col("n") * F.col("part_rate")) - F.floor("from"))
-        .select("source", "n_tokens", "part", "rate", "base", "extra")
+        cells.withColumnRenamed("n", "c")
+        .join(rounded, ["source", "n_tokens"])
+        .withColumn("upto", upto)
+        .withColumn("taken", share_of("upto + c") - share_of("upto"))
+        .select("source", "n_tokens", "part", "rate", "base", F.col("taken").alias("extra"))
     )
     order = W.partitionBy("source", "n_tokens", "part").orderBy("hash", "doc")
     chosen = (
@@ -201,7 +225,7 @@ def mix(
         .withColumn("nth", F.row_number().over(order))
         .select("doc", "source", "n_tokens", "rate", (F.col("base") + (F.col("nth") <= F.col("extra")).cast("int")).cast("int").alias("copies"))
     )
-    rest = sized.filter(~(F.coalesce(F.col("source").isin(list(tilts)), F.lit(False)) & (F.col("n_tokens") > 0))).select(
+    rest = sized.filter(~(F.coalesce(F.col("source").isin(sorted(shares)), F.lit(False)) & (F.col("n_tokens") > 0))).select(
         "doc", "source", "n_tokens", F.lit(0.0).alias("rate"), F.lit(0).alias("copies")
     )
     copies = cut_lineage(chosen.unionByName(rest))

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..sources import table
 from .leakage import leaked, remove_leaks
 from .mixing import mix
+from .spam import stuffed_pages
 from .survivors import Field, survivors
 from .topn import top_n
 
@@ -95,6 +96,14 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mix(table(spark, d, "documents"), "doc_id", "source", "text", table(spark, d, "mix_targets"))[1]
 
 
+def p9_pages(spark: SparkSession, d: str) -> DataFrame:
+    return stuffed_pages(table(spark, d, "documents"), "doc_id", "text", "lang")
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_pages(spark, d).select("doc_id").distinct()
+
+
 QUERIES = {
     "p3_found": p3_found,
     "p3_top": p3_top,
@@ -104,6 +113,8 @@ QUERIES = {
     "p7_removed": p7_removed,
     "p8_mix": p8_mix,
     "p8_shares": p8_shares,
+    "p9_found": p9_found,
+    "p9_pages": p9_pages,
 }
 
 _TOP = """

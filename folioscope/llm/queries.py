@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..sources import table
 from .leakage import leaked, remove_leaks
 from .mixing import mix
+from .names import resolve_filers
 from .spam import stuffed_pages
 from .survivors import Field, survivors
 from .topn import top_n
@@ -26,6 +27,18 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return p3_top(spark, d).select("period", "issuer_name", "row_id")
 
 
+def p4_links(spark: SparkSession, d: str) -> DataFrame:
+    filings = table(spark, d, "filings").filter(F.col("bioguide_id").isNull())
+    return resolve_filers(
+        filings, "filing_id", "filer_name_raw", "chamber", "filed_date",
+        table(spark, d, "member_aliases"), "alias", "bioguide_id", "valid_from", "valid_to",
+    )
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return p4_links(spark, d).select("filing_id", "bioguide_id")
+
+
 def accession(c: str) -> Column:
     """10-2-6 digits with dashes, leading zeros kept, however written; null if not 18."""
     digits = F.regexp_extract_all(F.col(c), F.lit("[0-9]+"), F.lit(0))
@@ -107,6 +120,8 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "p3_found": p3_found,
     "p3_top": p3_top,
+    "p4_found": p4_found,
+    "p4_links": p4_links,
     "p5_found": p5_found,
     "p5_survivors": p5_survivors,
     "p7_found": p7_found,

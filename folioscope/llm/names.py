@@ -75,9 +75,10 @@ def readings(name: str | None) -> list[tuple[str, tuple[str, ...]]]:
     ws = parts[0] if parts else []
     out = {}
     for j in range(1, min(4, len(ws))):
-        for surname, given in (("".join(ws[-j:]), tuple(ws[:-j])), ("".join(ws[:j]), tuple(ws[j:]))):
-            if len(surname) >= 3:
-                out.setdefault((surname, given))
+        for cut, given in ((ws[-j:], ws[:-j]), (ws[:j], ws[j:])):
+            # an initial is no part of a surname
+            if len("".join(cut)) >= 3 and (j == 1 or min(map(len, cut)) > 1):
+                out.setdefault(("".join(cut), tuple(given)))
     return list(out)
 
 

@@ -18,7 +18,7 @@ LANGUAGES = ("en", "es", "de", "fr")
 #: Ends of the bands into which a language's words fall by frequency; the rest is a band too.
 BANDS = (10, 30, 100, 300)
 #: Robust deviations from pages of the language and length beyond which a curve is extreme.
-DEVIATIONS = 2.5
+DEVIATIONS = 2.0
 #: Pages of a language and length needed for a reference of their own.
 LEAST_PAGES = 30
 
@@ -114,9 +114,14 @@ def stuffing_share(text: str | None) -> float:
     sentences, also such that mention links or keywords, are not stuffed."""
     lines = visible_lines(text or "")
     heads = Counter(tuple(_words(x)[:2]) for x in lines)
-    spread = Counter(w for x in {FIGURE.sub("0", s) for line in lines for s in SENTENCE.split(line)} for w in _words(x) if w not in FUNCTION_WORDS)
+    spread, within = Counter(), Counter()
+    for s in {FIGURE.sub("0", s) for line in lines for s in SENTENCE.split(line)}:
+        content = [w for w in _words(s) if w not in FUNCTION_WORDS]
+        spread.update(content)
+        within.update(set(content))
     often = max(4, 0.04 * sum(spread.values()))
-    core = {w for w, n in spread.items() if n >= often}
+    # sentences of one form share words too, but once each
+    core = {w for w, n in spread.items() if n >= often and n >= 1.3 * within[w]}
     if sum(spread[w] for w in core) < CORE_MASS * sum(spread.values()):
         core = set()
     whole = bad = 0

@@ -211,7 +211,8 @@ def extreme_curves(curves: DataFrame, deviations: float = DEVIATIONS, least_page
     """The pages whose curve is extreme beside pages of the same language and length
     (a doubling of words): too steep, too badly fitted, or too far from the language.
     Median and median deviation are taken over all pages of the class, over those of
-    all languages where there are fewer than ``least_pages``."""
+    all languages where there are fewer than ``least_pages``; pages of a length for which
+    those are too few as well are taken unjudged."""
     measures = ("slope", "residual", "divergence")
     curves = curves.withColumn("bucket", F.floor(F.log2(F.col("n_words").cast("double"))).cast("int"))
 
@@ -227,12 +228,13 @@ def extreme_curves(curves: DataFrame, deviations: float = DEVIATIONS, least_page
     # as many rows as languages times doublings
     both = curves.join(F.broadcast(own), ["lang", "bucket"], "left").join(F.broadcast(pooled), "bucket", "left")
     enough = F.coalesce(F.col("o_n") >= least_pages, F.lit(False))
+    judged = enough | F.coalesce(F.col("p_n") >= least_pages, F.lit(False))
 
     def off(m: str) -> Column:
         mid = F.when(enough, F.col(f"o_m_{m}")).otherwise(F.col(f"p_m_{m}"))
         quart = F.when(enough, F.col(f"o_q_{m}")).otherwise(F.col(f"p_q_{m}"))
         spread = F.greatest(F.abs(mid - quart) * 1.4826, F.lit(0.01))
-        return (mid - F.col(m) if m == "slope" else F.col(m) - mid) / spread
+        return F.when(judged, (mid - F.col(m) if m == "slope" else F.col(m) - mid) / spread).otherwise(F.lit(float("inf")))
 
     scored = both.select("doc", "n_words", "n_types", "lang", *measures, *[off(m).alias(f"off_{m}") for m in measures])
     return scored.filter(F.greatest(*[f"off_{m}" for m in measures]) > deviations)

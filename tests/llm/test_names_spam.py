@@ -108,10 +108,10 @@ def test_stuffed_pages(spark):
     who = ["Nisgim", "Vedtar", "Raltar", "Folbar", "Koscle", "Linmag", "Zemost"]
 
     def page():
-        return " ".join(r.choice([f"The committee heard {r.choice(who)} on May {r.randrange(30)} about rail.", f"A report of {r.choice(who)} is late when {r.randrange(90)} days pass between trade and filing.", f"No value was printed for the notes of {r.choice(who)} and none is assumed here.", f"The panel met {r.randrange(90)} times and closed with a plain plan."]) for _ in range(6))
+        return " ".join(r.choice([f"The committee heard {r.choice(who)} on May {r.randrange(30)} about rail.", f"A report of {r.choice(who)} is late when {r.randrange(90)} days pass between trade and filing.", f"No value was printed for the notes of {r.choice(who)} and none is assumed here.", f"The panel met {r.randrange(90)} times and closed with a plain plan."]) for _ in range(r.randrange(3, 40)))
 
-    docs = [(i, page(), "en") for i in range(150)] + [(1000 + i, t, r.choice(["en", None, "xx"])) for i, t in enumerate(SPAM)] + [(2000 + i, t, "en") for i, t in enumerate(FAIR)] + [(None, SPAM[0], "en")]
+    docs = [(i, page(), "en") for i in range(300)] + [(1000 + i, t, r.choice(["en", None, "xx"])) for i, t in enumerate(SPAM)] + [(2000 + i, t, "en") for i, t in enumerate(FAIR)] + [(None, SPAM[0], "en")]
     df = spark.createDataFrame(docs, "doc long, text string, lang string").withColumn("slope", F.lit("clash"))
-    got = {x.doc for x in stuffed_pages(df, "doc", "text", "lang", deviations=1.5).collect()}
+    got = {x.doc for x in stuffed_pages(df, "doc", "text", "lang").collect()}
     assert got == {1000 + i for i in range(len(SPAM))}
     assert stuffed_pages(df.limit(0), "doc", "text", "lang").count() == 0

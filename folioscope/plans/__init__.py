@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import training
+from . import congress, training
 
-MODULES = [training]
+MODULES = [training, congress]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import congress, training
+from . import congress, institutions, training
 
-MODULES = [training, congress]
+MODULES = [training, congress, institutions]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

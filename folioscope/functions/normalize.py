@@ -221,7 +221,7 @@ def share_bps(value: Column, total: Column) -> Column:
 
 
 def cover_tolerance(total: Column) -> Column:
-    return F.greatest(F.lit(1000), F.floor(total / 1000)).cast("long")
+    return F.when(total.isNotNull(), F.greatest(F.lit(1000), F.floor(total / 1000)).cast("long"))
 
 
 def money_text(c: Column) -> Column:

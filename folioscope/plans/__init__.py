@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import congress, institutions, training
+from . import congress, identity, institutions, training
 
-MODULES = [training, congress, institutions]
+MODULES = [training, congress, institutions, identity]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import congress, identity, institutions, training
+from . import congress, identity, institutions, serving, training
 
-MODULES = [training, congress, institutions, identity]
+MODULES = [training, congress, institutions, identity, serving]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -38,3 +38,10 @@ def require(df: DataFrame, *columns: str) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise ValueError(f"columns not found: {', '.join(missing)}")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores where a scan gives fewer tasks than there are cores
+    (few or small files); a scan with enough tasks is left as it is, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -11,7 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.common import require
+from ..operators.common import require, spread
 
 #: Words of test items in one broadcast; more items than that are scanned for in blocks.
 BLOCK_WORDS = 2_000_000
@@ -189,7 +189,7 @@ def leaked(
 
         return run
 
-    slim = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("t")).dropna()
+    slim = spread(docs).select(F.col(doc_id).alias("d"), F.col(text).alias("t")).dropna()
     out = _each_block(slim, items, item_id, item_text, n, block_words, scan, f"d {d}, i {i}, s int, w int")
     return out.select(F.col("d").alias(doc_id), F.col("i").alias(item_id), F.col("s").alias("n_spans"), F.col("w").alias("n_words"))
 
@@ -230,7 +230,7 @@ def remove_leaks(
         return run
 
     spark, schema = docs.sparkSession, "d string, t string, r int"
-    out = docs.select(F.col(doc_id).cast("string").alias("d"), F.col(text).alias("t"), F.lit(0).alias("r"))
+    out = spread(docs).select(F.col(doc_id).cast("string").alias("d"), F.col(text).alias("t"), F.lit(0).alias("r"))
     for block in _blocks(items.withColumn("_id", F.monotonically_increasing_id()), "_id", item_text, block_words):
         out = out.mapInPandas(scan(spark.sparkContext.broadcast(NgramSet(block, n))), schema)
     return out.select(F.col("d").cast(d).alias(doc_id), F.col("t").alias(text), F.col("r").alias("n_removed"))

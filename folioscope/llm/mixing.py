@@ -11,7 +11,7 @@ from decimal import Decimal
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ..operators.common import cut_lineage, require
+from ..operators.common import cut_lineage, require, spread
 
 DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pattern that splits text before the merges of the rank files (fixed value).
@@ -42,7 +42,7 @@ def count_tokens(df: DataFrame, text: str, columns: list[str], vocabulary: str =
     """``columns`` and ``n_tokens`` of the whole ``text``; null text has 0 tokens.
     ``vocabulary`` is a path that every executor can read."""
     require(df, text, *columns)
-    slim = df.select(F.struct(*columns).alias("keep"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    slim = spread(df).select(F.struct(*columns).alias("keep"), F.coalesce(F.col(text), F.lit("")).alias("t"))
 
     def run(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
         e = encoder(vocabulary)

@@ -11,7 +11,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..operators.common import broadcast_if_small, cut_lineage, require
+from ..operators.common import broadcast_if_small, cut_lineage, require, spread
 from .leakage import VISIBLE
 
 LANGUAGES = ("en", "es", "de", "fr")
@@ -59,6 +59,7 @@ MAYBE_LINK = re.compile(r"://|www\.|[a-z0-9]\.[a-z]{2}|\bdot\b", re.I)
 SENTENCE = re.compile(r"(?<=[.!?])[\"')\]]*\s+")
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 FIGURE = re.compile(r"\d[\d.,]*")
+FIGURED = re.compile(r"(?<!\S)(?!#)\S*?\d\S*")
 HASHTAG = re.compile(r"#\w+")
 
 
@@ -79,24 +80,22 @@ def _grammar(words: Sequence[str]) -> int:
 
 
 def _words(text: str) -> list[str]:
-    return [w.casefold() for w in WORD.findall(text)]
+    return WORD.findall(text.casefold())
 
 
-def _stuffed(segment: str, heads: Counter, core: set[str]) -> bool:
+def _stuffed(segment: str, words: list[str], content: list[str], heads: Counter, core: set[str]) -> bool:
     """Whether a sentence, or a line without an end, is keywords or tags rather than
     prose or a record.  ``heads``: how often a line of the page begins with two words;
     ``core``: the few words that the page repeats from sentence to sentence, where
     sentences that differ in figures only count once."""
-    pieces, words = segment.split(), _words(segment)
-    tags = len(HASHTAG.findall(segment))
-    if tags >= 3 and 2 * tags >= len(pieces):
+    pieces = segment.count(" ") + 1
+    if "#" in segment and (tags := len(HASHTAG.findall(segment))) >= 3 and 2 * tags >= pieces:
         return True
-    figures = sum(any(c.isdigit() for c in p) for p in pieces if not p.startswith("#"))
-    content = [w for w in words if w not in FUNCTION_WORDS]
+    figures = len(FIGURED.findall(segment))
     again = len(content) - len(set(content))
     if len(content) >= 5 and again >= max(2, 0.2 * len(content)):
-        return figures < 0.25 * len(pieces)  # records repeat units beside their figures
-    if figures >= 0.15 * len(pieces):
+        return figures < 0.25 * pieces  # records repeat units beside their figures
+    if figures >= 0.15 * pieces:
         return False
     if len(content) >= 2 and sum(w in core for w in content) >= CORE_PART * len(content):
         return True
@@ -113,30 +112,36 @@ def stuffing_share(text: str | None) -> float:
     made of the same few words again and again.  Records (lines with figures) and
     sentences, also such that mention links or keywords, are not stuffed."""
     lines = visible_lines(text or "")
-    heads = Counter(tuple(_words(x)[:2]) for x in lines)
-    spread, within = Counter(), Counter()
-    for s in {FIGURE.sub("0", s) for line in lines for s in SENTENCE.split(line)}:
-        content = [w for w in _words(s) if w not in FUNCTION_WORDS]
-        spread.update(content)
-        within.update(set(content))
-    often = max(4, 0.04 * sum(spread.values()))
-    # sentences of one form share words too, but once each
-    core = {w for w, n in spread.items() if n >= often and n >= 1.3 * within[w]}
-    if sum(spread[w] for w in core) < CORE_MASS * sum(spread.values()):
-        core = set()
     whole = bad = 0
+    parts: list[tuple[str, list[str], list[str]]] = []
     for line in lines:
-        whole += sum(map(len, line.split()))
+        size = len(line) - line.count(" ")
+        whole += size
         if MAYBE_LINK.search(line):
-            line, links = LINK.subn(" ", (full := line))
+            line, links = LINK.subn(" ", line)
             if links:
                 words = _words(line)
                 if _grammar(words) < 2 or len(words) < 4 * links:
-                    bad += sum(map(len, full.split()))
+                    bad += size
                     continue
         for s in SENTENCE.split(line):
-            if s.strip() and _stuffed(s.strip(), heads, core):
-                bad += sum(map(len, s.split()))
+            if s := " ".join(s.split()):
+                words = _words(s)
+                parts.append((s, words, [w for w in words if w not in FUNCTION_WORDS]))
+    heads = Counter(tuple(words[:2]) for _, words, _ in parts)
+    spread_, within = Counter(), Counter()
+    for content in {FIGURE.sub("0", s): c for s, _, c in parts}.values():
+        spread_.update(content)
+        within.update(set(content))
+    mass = sum(spread_.values())
+    often = max(4, 0.04 * mass)
+    # sentences of one form share words too, but once each
+    core = {w for w, n in spread_.items() if n >= often and n >= 1.3 * within[w]}
+    if sum(spread_[w] for w in core) < CORE_MASS * mass:
+        core = set()
+    for s, words, content in parts:
+        if _stuffed(s, words, content, heads, core):
+            bad += len(s) - s.count(" ")
     return bad / whole if whole else 0.0
 
 
@@ -195,16 +200,15 @@ def rank_frequency(docs: DataFrame, doc_id: str, text: str, references: DataFram
 
 
 def language_references(docs: DataFrame, text: str, lang: str, languages: Sequence[str], bands: Sequence[int] = BANDS) -> DataFrame:
-    """(lang, word, q, band): the most frequent words of each language over all documents said
-    to be in it, every document weighing the same, so that neither long pages nor the
-    few with a wrong label move it much."""
+    """(lang, word, q, band): the most frequent words of each language over all documents
+    said to be in it; the few with a wrong label hardly move it."""
     found = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    told = docs.select(F.lower(F.trim(lang)).alias("lang"), found.alias("w")).filter(F.col("lang").isin(list(languages)) & (F.size("w") > 0))
-    mass = told.select("lang", (1.0 / F.size("w")).alias("m"), F.explode("w").alias("word")).groupBy("lang", "word").agg(F.sum("m").alias("m"))
-    whole = F.broadcast(told.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")))
-    top = mass.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy(F.col("m").desc(), "word"))).filter(F.col("r") <= bands[-1])
+    told = docs.select(F.lower(F.trim(lang)).alias("lang"), F.col(text)).filter(F.col("lang").isin(list(languages)))
+    mass = told.select("lang", F.explode(found).alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("m"))
+    w = W.partitionBy("lang").orderBy(F.col("m").desc(), "word")
+    ranked = mass.select("lang", "word", (F.col("m") / F.sum("m").over(W.partitionBy("lang"))).alias("q"), F.row_number().over(w).alias("r"))
     band = sum(((F.col("r") > b).cast("int") for b in bands), F.lit(0))
-    return top.join(whole, "lang").select("lang", "word", (F.col("m") / F.col("docs")).alias("q"), band.alias("band"))
+    return ranked.filter(F.col("r") <= bands[-1]).select("lang", "word", "q", band.alias("band"))
 
 
 def extreme_curves(curves: DataFrame, deviations: float = DEVIATIONS, least_pages: int = LEAST_PAGES) -> DataFrame:
@@ -256,6 +260,7 @@ def stuffed_pages(
     rows of a document give one row each; an empty table gives no rows.
     """
     require(docs, doc_id, text, lang)
+    docs = spread(docs)
     references = cut_lineage(language_references(docs, text, lang, languages))
     curves = cut_lineage(rank_frequency(docs, doc_id, text, references, languages))
     flagged = cut_lineage(extreme_curves(curves, deviations).select("doc", "slope", "residual", "divergence"))

@@ -39,7 +39,7 @@ def senate_index(spark: SparkSession, path: str) -> DataFrame:
         F.regexp_extract(link, r"([0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12})", 1).alias("uuid"), N.printed_date(F.get("r", F.lit(4))).alias("filed_date"), F.size("r").alias("width"),
     )
     ok = F.coalesce((F.col("width") == 5) & (F.col("uuid") != "") & F.col("filed_date").isNotNull(), F.lit(False))
-    return _first_of(row.drop("width"), ["uuid"], ["filed_date", "last", "first"], ok)
+    return _first_of(row, ["uuid"], ["filed_date", "last", "first"], ok).drop("width")
 
 
 def submissions(spark: SparkSession, path: str) -> DataFrame:

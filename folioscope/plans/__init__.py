@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import congress, identity, institutions, serving, training
+from . import congress, identity, institutions, serving, surfaces, training
 
-MODULES = [training, congress, institutions, identity, serving]
+MODULES = [training, congress, institutions, identity, serving, surfaces]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -53,9 +53,8 @@ def diff_snapshots(
     value; of repeated rows of one key and snapshot one counts, and of rows that
     differ the one smallest in its compared columns, nulls first, so the result does
     not depend on the order of rows; an entity's first snapshot yields nothing; an
-    empty table yields no rows.  Snapshots in which only rows of other keys occur
-    still count as delivered: give the whole table, and the keys to leave out through
-    :func:`diff_snapshots_of`.
+    empty table yields no rows.  Where some rows only tell that a snapshot was
+    delivered and are not to be compared, use :func:`diff_snapshots_of`.
     """
     return diff_snapshots_of(df, df, entity, snapshot, key, compare, broadcast_rows)
 

@@ -1,4 +1,4 @@
-"""Keyword-stuffed and link-list pages: rank-frequency curves, then a check of segments."""
+"""Keyword-stuffed and link-list pages: a check of segments, then rank-frequency curves."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..operators.common import broadcast_if_small, cut_lineage, require, spread
+from ..operators.common import cut_lineage, require, spread
 from .leakage import VISIBLE
 
 LANGUAGES = ("en", "es", "de", "fr")
@@ -249,25 +249,24 @@ def stuffed_pages(
     """(doc_id, stuffing_share, slope, residual, divergence) of the pages more than
     ``share`` of whose text is keywords, links or tags.
 
-    First a rank-frequency curve is fitted to every page, and the pages whose slope,
-    residual or divergence is extreme beside prose of the same language at comparable
-    length are taken; the language is the one a page is nearest to, since labels may be
-    missing or wrong.  Those pages, whole, are then checked segment by segment
-    (:func:`stuffing_share`), which tells stuffing from tables and lists of records.
+    Every page, whole, is checked segment by segment (:func:`stuffing_share`), which tells
+    stuffing from tables and lists of records; what the other pages are like has no say in
+    it.  The pages found are then described by their rank-frequency curve and their
+    divergence from the language they are nearest to, since labels may be missing or wrong.
 
     Defined cases: null texts, texts without a word and null ids give no row; repeated
     rows of a document give one row each; an empty table gives no rows.
     """
     require(docs, doc_id, text, lang)
     docs = spread(docs)
-    references = cut_lineage(language_references(docs, text, lang, languages))
-    curves = cut_lineage(rank_frequency(docs, doc_id, text, references, languages))
-    flagged = cut_lineage(extreme_curves(curves, deviations).select("doc", "slope", "residual", "divergence"))
     checked = F.pandas_udf(lambda s: s.map(stuffing_share).astype("float64"), "double")
-    found = (
+    found = cut_lineage(
         docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))
-        .join(broadcast_if_small(flagged), "doc")
-        .select("doc", "slope", "residual", "divergence", checked("text").alias("stuffing_share"))
+        .filter(F.col("doc").isNotNull() & F.col("text").isNotNull())
+        .withColumn("stuffing_share", checked("text"))
         .filter(F.col("stuffing_share") > share)
     )
-    return found.select(F.col("doc").alias(doc_id), "stuffing_share", "slope", "residual", "divergence")
+    references = cut_lineage(language_references(docs, text, lang, languages))
+    # a page delivered again has the same curve
+    curves = rank_frequency(found.select("doc", "text").distinct(), "doc", "text", references, languages)
+    return found.join(curves, "doc").select(F.col("doc").alias(doc_id), "stuffing_share", "slope", "residual", "divergence")

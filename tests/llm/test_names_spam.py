@@ -115,3 +115,11 @@ def test_stuffed_pages(spark):
     got = {x.doc for x in stuffed_pages(df, "doc", "text", "lang").collect()}
     assert got == {1000 + i for i in range(len(SPAM))}
     assert stuffed_pages(df.limit(0), "doc", "text", "lang").count() == 0
+
+
+def test_a_stuffed_page_with_copies_on_a_third_of_the_rows(spark):
+    r = random.Random(11)
+    prose = [(i, " ".join(f"A report of {r.randrange(999)} pages came late because nobody asked the {r.choice(['clerk', 'panel', 'owner'])} for it." for _ in range(7)), "en") for i in range(240)]
+    copies = [(1000 + i, SPAM[0], "en") for i in range(120)]
+    got = {x.doc for x in stuffed_pages(spark.createDataFrame(prose + copies, "doc long, text string, lang string"), "doc", "text", "lang").collect()}
+    assert got == {d for d, _, _ in copies}

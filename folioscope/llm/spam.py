@@ -16,10 +16,6 @@ from .leakage import VISIBLE
 LANGUAGES = ("en", "es", "de", "fr")
 #: Ends of the bands into which a language's words fall by frequency; the rest is a band too.
 BANDS = (10, 30, 100, 300)
-#: Robust deviations from pages of the language and length beyond which a curve is extreme.
-DEVIATIONS = 2.0
-#: Pages of a language and length needed for a reference of their own.
-LEAST_PAGES = 30
 
 #: A sentence of which this part is the page's core words is stuffed.
 CORE_PART = 0.5
@@ -210,41 +206,8 @@ def language_references(docs: DataFrame, text: str, lang: str, languages: Sequen
     return ranked.filter(F.col("r") <= bands[-1]).select("lang", "word", "q", band.alias("band"))
 
 
-def extreme_curves(curves: DataFrame, deviations: float = DEVIATIONS, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """The pages whose curve is extreme beside pages of the same language and length
-    (a doubling of words): too steep, too badly fitted, or too far from the language.
-    Median and median deviation are taken over all pages of the class, over those of
-    all languages where there are fewer than ``least_pages``; pages of a length for which
-    those are too few as well are taken unjudged."""
-    measures = ("slope", "residual", "divergence")
-    curves = curves.withColumn("bucket", F.floor(F.log2(F.col("n_words").cast("double"))).cast("int"))
-
-    def middle(keys: list[str], p: str) -> DataFrame:
-        """Medians, and distances to the quartile on the ordinary side."""
-        return curves.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias(f"{p}n"),
-            *[F.percentile_approx(m, 0.5, 1000).alias(f"{p}m_{m}") for m in measures],
-            *[F.percentile_approx(m, 0.75 if m == "slope" else 0.25, 1000).alias(f"{p}q_{m}") for m in measures],
-        )
-
-    own, pooled = middle(["lang", "bucket"], "o_"), middle(["bucket"], "p_")
-    # as many rows as languages times doublings
-    both = curves.join(F.broadcast(own), ["lang", "bucket"], "left").join(F.broadcast(pooled), "bucket", "left")
-    enough = F.coalesce(F.col("o_n") >= least_pages, F.lit(False))
-    judged = enough | F.coalesce(F.col("p_n") >= least_pages, F.lit(False))
-
-    def off(m: str) -> Column:
-        mid = F.when(enough, F.col(f"o_m_{m}")).otherwise(F.col(f"p_m_{m}"))
-        quart = F.when(enough, F.col(f"o_q_{m}")).otherwise(F.col(f"p_q_{m}"))
-        spread = F.greatest(F.abs(mid - quart) * 1.4826, F.lit(0.01))
-        return F.when(judged, (mid - F.col(m) if m == "slope" else F.col(m) - mid) / spread).otherwise(F.lit(float("inf")))
-
-    scored = both.select("doc", "n_words", "n_types", "lang", *measures, *[off(m).alias(f"off_{m}") for m in measures])
-    return scored.filter(F.greatest(*[f"off_{m}" for m in measures]) > deviations)
-
-
 def stuffed_pages(
-    docs: DataFrame, doc_id: str, text: str, lang: str, languages: Sequence[str] = LANGUAGES, deviations: float = DEVIATIONS, share: float = 0.5
+    docs: DataFrame, doc_id: str, text: str, lang: str, languages: Sequence[str] = LANGUAGES, share: float = 0.5
 ) -> DataFrame:
     """(doc_id, stuffing_share, slope, residual, divergence) of the pages more than
     ``share`` of whose text is keywords, links or tags.

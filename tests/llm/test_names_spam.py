@@ -123,3 +123,11 @@ def test_a_stuffed_page_with_copies_on_a_third_of_the_rows(spark):
     copies = [(1000 + i, SPAM[0], "en") for i in range(120)]
     got = {x.doc for x in stuffed_pages(spark.createDataFrame(prose + copies, "doc long, text string, lang string"), "doc", "text", "lang").collect()}
     assert got == {d for d, _, _ in copies}
+
+
+def test_the_number_of_pages_decides_nothing(spark):
+    def found(times):
+        docs = [(i, t, "en") for i, t in enumerate([SPAM[0]] * 4 * times + [PROSE * 4] * times)]
+        return stuffed_pages(spark.createDataFrame(docs, "doc long, text string, lang string"), "doc", "text", "lang").count()
+
+    assert found(5) == 20 and found(50) == 200

@@ -208,6 +208,31 @@ def allowed(length: int) -> int:
     return EDITS if length >= 7 else 1 if length >= 5 else 0
 
 
+def swap_segment_keys(key: str) -> list[str]:
+    """The segments of an indexed name for each number of edits that a typed name within
+    them may have.  A swap across the border of two segments changes both, so of
+    ``2 * edits + 1`` segments one survives unchanged."""
+    n = len(key)
+    return [f"{e}:{x}" for e in range(EDITS + 1) if any(allowed(m) == e for m in range(max(1, n - e), n + e + 1)) for x in segment_keys(key, 2 * e)]
+
+
+def swap_probe_keys(key: str) -> list[str]:
+    """The substrings of a typed name that may equal a segment of a name within the edits
+    its length allows, swaps of neighbours counted as one.  Only insertions and deletions
+    move a segment, those before it and those behind it together at most ``edits``."""
+    m, e, out = len(key), allowed(len(key)), []
+    size = 2 * e + 1
+    for n in range(max(1, m - e), m + e + 1):
+        at, delta = 0, m - n
+        for i in range(size):
+            width = n // size + (i >= size - n % size)
+            for move in range(-e, e + 1):
+                if abs(move) + abs(delta - move) <= e and 0 <= at + move <= m - width:
+                    out.append(f"{e}:{n}:{i}:{key[at + move : at + move + width]}")
+            at += width
+    return list(dict.fromkeys(out))
+
+
 READING = T.ArrayType(T.StructType([T.StructField("s", T.StringType()), T.StructField("g", T.ArrayType(T.StringType())), T.StructField("c", T.IntegerType())]))
 
 
@@ -231,6 +256,21 @@ def _probes(keys: pd.Series) -> pd.Series:
     return keys.map(probe_keys)
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _swap_segments(keys: pd.Series) -> pd.Series:
+    return keys.map(swap_segment_keys)
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _swap_probes(keys: pd.Series) -> pd.Series:
+    return keys.map(swap_probe_keys)
+
+
+@F.pandas_udf(T.BooleanType())
+def _within(s: pd.Series, k: pd.Series) -> pd.Series:
+    return pd.Series([osa(a, b, limit) <= limit if (limit := allowed(len(a))) else a == b for a, b in zip(s, k)], dtype=bool)
+
+
 @F.pandas_udf(T.DoubleType())
 def _cost(s: pd.Series, g: pd.Series, k: pd.Series, m: pd.Series) -> pd.Series:
     out = []
@@ -241,20 +281,24 @@ def _cost(s: pd.Series, g: pd.Series, k: pd.Series, m: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
-def similar_keys(left: DataFrame, right: DataFrame) -> DataFrame:
+def similar_keys(left: DataFrame, right: DataFrame, swaps: bool = False) -> DataFrame:
     """(s, k): all pairs of a string ``s`` of ``left`` and ``k`` of ``right`` at most
-    ``EDITS`` edits apart, without comparing all.
+    ``EDITS`` edits apart, without comparing all.  With ``swaps``, a swap of neighbours
+    is one edit and ``s`` has as many as its length allows (:func:`allowed`).
 
-    Every k is cut into EDITS + 1 segments, which form an inverted index; every s looks
+    Every k is cut into EDITS + 1 segments (with swaps, 2 * edits + 1), which form an inverted index; every s looks
     up its substrings at the places where a segment can have moved to; the pairs found
     are verified by an edit distance in a band.  Both sides are made distinct first, so
     a name that occurs very often costs as much as a rare one.  A segment that many
     names share yields many candidates, which are verified where they arise, before
     anything is shuffled or made distinct."""
-    index = right.select("k").distinct().select("k", F.explode(_segments("k")).alias("piece"))
-    probes = left.select("s").distinct().select("s", F.explode(_probes("s")).alias("piece"))
-    near = F.levenshtein("s", "k", EDITS).between(0, EDITS)
-    return probes.join(broadcast_if_small(index), "piece").filter(near).select("s", "k").distinct()
+    cut, look = (_swap_segments, _swap_probes) if swaps else (_segments, _probes)
+    index = right.select("k").distinct().select("k", F.explode(cut("k")).alias("piece"))
+    probes = left.select("s").distinct().select("s", F.explode(look("s")).alias("piece"))
+    reach = 2 * EDITS if swaps else EDITS  # a swap is two plain edits
+    near = F.levenshtein("s", "k", reach).between(0, reach)
+    pairs = probes.join(broadcast_if_small(index), "piece").filter(near).select("s", "k").distinct()
+    return pairs.filter(_within("s", "k")) if swaps else pairs
 
 
 def link_names(typed: DataFrame, name: str, known: DataFrame, alias: str, entity: str) -> DataFrame:
@@ -276,7 +320,7 @@ def link_names(typed: DataFrame, name: str, known: DataFrame, alias: str, entity
     read = typed.select(F.col(name).alias("n")).dropna().distinct().select("n", F.inline(_readings("n")))
     index = known.select(F.col(alias).alias("a"), F.col(entity).alias("e")).dropna().distinct()
     index = index.select("e", F.inline(_listed("a"))).select("e", F.col("s").alias("k"), F.col("g").alias("m"), "c").distinct()
-    pairs = similar_keys(read, index)
+    pairs = similar_keys(read, index, swaps=True)
     best = (
         read.drop("c")
         .join(pairs, "s")

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from folioscope.llm.names import EDITS, given_cost, link_names, listed, osa, probe_keys, readings, resolve_filers, segment_keys, similar_keys
+from folioscope.llm.names import EDITS, allowed, given_cost, link_names, listed, osa, probe_keys, readings, resolve_filers, segment_keys, similar_keys
 from folioscope.llm.spam import stuffed_pages, stuffing_share
 
 
@@ -131,3 +131,25 @@ def test_the_number_of_pages_decides_nothing(spark):
         return stuffed_pages(spark.createDataFrame(docs, "doc long, text string, lang string"), "doc", "text", "lang").count()
 
     assert found(5) == 20 and found(50) == 200
+
+
+def test_swapped_letters_are_searched_as_they_are_verified(spark):
+    r = random.Random(12)
+    known = ["".join(r.choice("abcd") for _ in range(r.randrange(1, 13))) for _ in range(150)]
+
+    def mistyped(x):
+        for _ in range(r.randrange(3)):
+            i, kind = r.randrange(len(x) + 1), r.randrange(4)
+            x = x[:i] + x[i : i + 2][::-1] + x[i + 2 :] if kind == 0 else x[:i] + ("" if kind == 1 else r.choice("abcd")) + x[i + (kind < 3) :]
+        return x
+
+    typed = [mistyped(x) for x in known for _ in range(3)]
+    got = similar_keys(spark.createDataFrame([(x,) for x in typed], "s string"), spark.createDataFrame([(x,) for x in known], "k string"), swaps=True)
+    want = {(a, b) for a in typed for b in known if (osa(a, b, allowed(len(a))) <= allowed(len(a)) if allowed(len(a)) else a == b)}
+    assert {tuple(x) for x in got.collect()} == {x for x in want if x[0]}
+
+
+@pytest.mark.parametrize("name", ["Taevdrozan-Jorhobarl Joe H.", "Tevdrozan-Ojrhobarl, Joe"])
+def test_a_swap_beside_another_typo(spark, name):
+    typed, known = spark.createDataFrame([(name,)], "n string"), spark.createDataFrame([("TEVDROZAN-JORHOBRAL, JOSEPH HENRY", "T9")], "a string, who string")
+    assert [x.who for x in link_names(typed, "n", known, "a", "who").collect()] == ["T9"]

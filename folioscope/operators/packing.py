@@ -46,6 +46,15 @@ def cap_rows(df: DataFrame, group: str, order: Sequence[Column], size: Column, m
     return df.withColumn("_n", nth).withColumn("_b", run).filter((F.col("_n") == 1) | ((F.col("_n") <= most_rows) & (F.col("_b") <= most_bytes))).drop("_n", "_b")
 
 
+def cap_bounds(df: DataFrame, capped: DataFrame, group: str, most_rows: int) -> DataFrame:
+    """(group, total, kept, bound_by) of what :func:`cap_rows` made of ``df``: bound_by is
+    ``bytes`` or ``rows``, null where nothing was left out."""
+    both = df.select(group, F.lit(0).alias("k")).unionByName(capped.select(group, F.lit(1).alias("k")))
+    n = both.groupBy(group).agg(F.count_if(F.col("k") == 0).alias("total"), F.count_if(F.col("k") == 1).alias("kept"))
+    bound = F.when(F.col("kept") < F.least(F.col("total"), F.lit(most_rows)), "bytes").when(F.col("kept") < F.col("total"), "rows")
+    return n.withColumn("bound_by", bound)
+
+
 def payloads(df: DataFrame, entity: str, columns: Sequence[str]) -> DataFrame:
     """All rows of an entity as one sorted JSON array, for entities known to fit a row."""
     return df.groupBy(entity).agg(F.to_json(F.array_sort(F.collect_list(F.struct(*columns)))).alias("payload"), F.count(F.lit(1)).alias("n"))

@@ -218,15 +218,24 @@ def q_orphans(spark, d):
     return a.unionByName(b)
 
 
-def q_feed_slices(spark, d):
-    """The 20 newest trades of every member, and of every ticker, in one pass each."""
+def feed_slices(spark, d, most):
+    """The newest trades of every member, and of every ticker, in one pass each."""
     t = trades(spark, d)
     def top(c):
         w = W.partitionBy(c).orderBy(*by_recency())
-        return t.filter(F.col(c).isNotNull()).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= 20).select(F.lit(c).alias("kind"), F.col(c).alias("entity"), "rank", "txn_id")
+        return t.filter(F.col(c).isNotNull()).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= most).select(F.lit(c).alias("kind"), F.col(c).alias("entity"), "rank", "txn_id")
     return top("bioguide_id").unionByName(top("ticker"))
 
 
+def q_feed_slices(spark, d):
+    return feed_slices(spark, d, 20)
+
+
+def q_feed_slices_full(spark, d):
+    """As many a member and ticker as in the reference."""
+    return feed_slices(spark, d, 200)
+
+
 def q_dup_seq(spark, d):
     """Sequence of equal rows within a filing: fingerprint, number, id."""
     from ..functions.normalize import row_fingerprint
@@ -244,7 +253,7 @@ QUERIES = {
     "date_windows": q_date_windows, "member_search": q_members_search, "latest_filings": q_latest_filings, "range_sums": q_range_sums,
     "net_by_ticker": q_net_by_ticker, "quarterly_flow": q_quarterly_flow, "habit_summary": q_habits, "disclosure_rankings": q_rankings,
     "era_stats": q_stats, "parse_gate": q_parse_gate, "join_coverage": q_join_coverage, "amendment_pairs": q_pairs,
-    "pair_violations": q_pair_violations, "orphans": q_orphans, "feed_slices": q_feed_slices, "dup_seq": q_dup_seq,
+    "pair_violations": q_pair_violations, "orphans": q_orphans, "feed_slices": q_feed_slices, "feed_slices_full": q_feed_slices_full, "dup_seq": q_dup_seq,
 }
 
 _T = """
@@ -319,3 +328,5 @@ SQL = {
  || ',"transaction_date":' || coalesce(to_json(transaction_date::VARCHAR)::VARCHAR, 'null') || '}') AS fp FROM tx)
  SELECT txn_id, fp[1:32] AS fp32, row_number() OVER (PARTITION BY filing_id, fp ORDER BY txn_id) AS dup_seq FROM f""",
 }
+
+SQL["feed_slices_full"] = SQL["feed_slices"].replace("rank <= 20", "rank <= 200")

@@ -10,6 +10,8 @@ from ..sources.sinks import merge, numbered
 from .congress import by_recency, trades
 from .institutions import rows
 
+#: Most rows and bytes of an embedded prefix in the reference.
+EMBED_ROWS, EMBED_BYTES = 20_000, 2 * 1024 * 1024
 ROW = ["txn_id", "filing_id", "bioguide_id", "ticker", "side", "transaction_date", "amount_low", "amount_high"]
 
 
@@ -35,6 +37,16 @@ def q_cap(spark, d):
     return K.cap_rows(t, "source", [F.col("doc_id")], F.octet_length("text"), 200, 100_000).select("doc_id", "source")
 
 
+def q_cap_full(spark, d):
+    t = table(spark, d, "documents").select("doc_id", "source", "text")
+    return K.cap_rows(t, "source", [F.col("doc_id")], F.octet_length("text"), EMBED_ROWS, EMBED_BYTES).select("doc_id", "source")
+
+
+def q_cap_bounds(spark, d):
+    """How many documents of a source there are, how many are embedded, and what bounds them."""
+    return K.cap_bounds(table(spark, d, "documents"), q_cap_full(spark, d), "source", EMBED_ROWS)
+
+
 def q_shards(spark, d):
     return K.shards(table(spark, d, "documents"), "source", ["doc_id"], F.octet_length("text"), 65_536)
 
@@ -77,7 +89,7 @@ def q_page(spark, d):
 
 
 QUERIES = {
-    "serving_row_ids": q_row_ids, "dense_filing_keys": q_filing_keys, "merge_sink": q_merge, "embed_cap": q_cap, "byte_shards": q_shards, "member_payloads": q_payloads,
+    "serving_row_ids": q_row_ids, "dense_filing_keys": q_filing_keys, "merge_sink": q_merge, "embed_cap": q_cap, "embed_cap_full": q_cap_full, "embed_bounds": q_cap_bounds, "byte_shards": q_shards, "member_payloads": q_payloads,
     "trade_digest": q_digest, "holdings_digest": q_holdings_digest, "audit_sample": q_sample, "search_index": q_search, "merged_feed": q_feed_merge, "trade_page": q_page,
 }
 
@@ -104,3 +116,7 @@ SQL = {
  SELECT row_number() OVER (ORDER BY filed_date DESC, kind, id) - 1 AS place, kind, id FROM b""",
     "trade_page": _T + "SELECT txn_id FROM tr ORDER BY filed_date DESC NULLS LAST, transaction_date DESC NULLS LAST, txn_id LIMIT 50 OFFSET 100",
 }
+
+SQL["embed_cap_full"] = SQL["embed_cap"].replace("n <= 200", "n <= 20000").replace("b <= 100000", "b <= 2097152")
+SQL["embed_bounds"] = f"""SELECT source, total, kept, CASE WHEN kept < least(total, 20000) THEN 'bytes' WHEN kept < total THEN 'rows' END AS bound_by
+ FROM (SELECT source, count(*) AS total FROM documents GROUP BY ALL) a JOIN (SELECT source, count(*) AS kept FROM ({SQL["embed_cap_full"]}) GROUP BY ALL) b USING (source)"""

@@ -115,15 +115,24 @@ def q_display_names(spark, d):
     return a.join(b, ["cik", "prev_period", "position_key"], "left").select("cik", "period", "position_key", F.coalesce("name", "old_name").alias("name")).distinct()
 
 
-def q_tiers(spark, d):
+def tiers(spark, d, most):
     """Filers by the value of their latest period: the top tier and the rest."""
     l = I.q_latest(spark, d).select("row_id")
     v = I.rows(spark, d).join(l, "row_id", "left_semi").groupBy("cik").agg(Q.exact_sum("value_usd").alias("value"))
     # the cut is the value and cik of the last of the top, so no global ranking is made
-    cut = v.orderBy(F.col("value").desc_nulls_last(), "cik").limit(20).select("cik", F.lit(True).alias("top"))
+    cut = v.orderBy(F.col("value").desc_nulls_last(), "cik").limit(most).select("cik", F.lit(True).alias("top"))
     return v.join(F.broadcast(cut), "cik", "left").select("cik", "value", F.when(F.col("top"), "top").otherwise("tail").alias("tier"))
 
 
+def q_tiers(spark, d):
+    return tiers(spark, d, 20)
+
+
+def q_tiers_full(spark, d):
+    """As many filers at the top as in the reference."""
+    return tiers(spark, d, 1_500)
+
+
 def q_comparable(spark, d):
     """The concentration index, withheld where a position's value is unknown."""
     return I.q_concentration(spark, d).select("cik", "period", F.when(F.col("undisclosed") == 0, F.col("hhi")).alias("hhi"), (F.col("undisclosed") > 0).alias("withheld"))
@@ -179,7 +188,7 @@ def q_notable(spark, d):
 QUERIES = {
     "feed_counts": q_feed_counts, "watchlist": q_watch, "crosswalk": q_crosswalk, "index_reconciliation": q_reconcile, "corpus_floor": q_floor, "reparse_targets": q_reparse,
     "gate_severity": q_severity, "pair_flags": q_pair_flags, "composition": q_composition, "provenance": q_provenance, "disclosed_totals": q_disclosed_totals,
-    "issuer_keying": q_keying, "display_names": q_display_names, "filer_tiers": q_tiers, "comparable_hhi": q_comparable, "published_routing": q_routing,
+    "issuer_keying": q_keying, "display_names": q_display_names, "filer_tiers": q_tiers, "filer_tiers_full": q_tiers_full, "comparable_hhi": q_comparable, "published_routing": q_routing,
     "stratum_grid": q_grid, "document_sizes": q_sizes, "member_rates": q_rates, "effective_flags": q_defects, "notable_trades": q_notable,
 }
 
@@ -222,3 +231,5 @@ SQL = {
     "notable_trades": _T + """, k AS (SELECT *, CAST(date_trunc('week', filed_date) AS DATE) AS week, CASE WHEN filed_date < transaction_date THEN 'anomaly' WHEN amount_low IS NULL THEN 'unrankable' ELSE 'ranked' END AS standing FROM tr)
  SELECT week, standing, rank, txn_id FROM (SELECT *, row_number() OVER (PARTITION BY week, standing ORDER BY amount_low DESC NULLS LAST, txn_id) AS rank FROM k) WHERE rank <= 3""",
 }
+
+SQL["filer_tiers_full"] = SQL["filer_tiers"].replace("<= 20 ", "<= 1500 ")

@@ -26,7 +26,9 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     holdings = distinct_records(table(spark, d, "serving_filer_rows"), "row_id", ["cik", "filing_key"])
     reports = table(spark, d, "inst_filings").select("filing_key")
     counts = eager_join_aggregate(holdings, reports, ["filing_key"], ["cik"])
-    return heavy_groups(counts, "n_left", 2, 100).filter(F.col("cik").isNotNull()).select("cik")
+    # without a column of the joined states Spark drops the join; n_matched never exceeds n_left
+    counts = counts.withColumn("n", F.greatest("n_left", "n_matched"))
+    return heavy_groups(counts, "n", 2, 100).filter(F.col("cik").isNotNull()).select("cik")
 
 
 def p1_per_filer(spark: SparkSession, d: str) -> DataFrame:

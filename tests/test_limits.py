@@ -31,3 +31,8 @@ def test_bounds_of_a_cap(spark):
     df = spark.createDataFrame(rows, "g string, i int, n int")
     cap = K.cap_rows(df, "g", [F.col("i")], F.col("n"), 5, 100)
     assert {tuple(x) for x in K.cap_bounds(df, cap, "g", 5).collect()} == {("b", 4, 1, "bytes"), ("r", 9, 5, "rows"), (None, 2, 2, None), ("one", 1, 1, None)}
+
+
+def test_the_joined_states_stay_in_the_plan(spark):
+    plan = plans.queries()["p1_found"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftOuter" in plan

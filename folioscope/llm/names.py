@@ -77,7 +77,7 @@ def readings(name: str | None) -> list[tuple[str, tuple[str, ...]]]:
     for j in range(1, min(4, len(ws))):
         for cut, given in ((ws[-j:], ws[:-j]), (ws[:j], ws[j:])):
             # an initial is no part of a surname
-            if len("".join(cut)) >= 3 and (j == 1 or min(map(len, cut)) > 1):
+            if j == 1 or min(map(len, cut)) > 1:
                 out.setdefault(("".join(cut), tuple(given)))
     return list(out)
 
@@ -106,7 +106,7 @@ def listed(alias: str | None) -> list[tuple[str, tuple[str, ...], int]]:
         half = "".join(c for c in half if not unicodedata.combining(c))
         if len(half) >= 5 and half in "".join(surname) and half not in given:
             out.setdefault(half, 1)
-    return [(s, tuple(given), c) for s, c in out.items() if len(s) >= 3]
+    return [(s, tuple(given), c) for s, c in out.items()]
 
 
 def osa(a: str, b: str, k: int) -> int:
@@ -308,8 +308,8 @@ def link_names(typed: DataFrame, name: str, known: DataFrame, alias: str, entity
 
     Names are read with titles and suffixes taken off, in either order, with parts
     split or joined, with short forms, initials, missing middle names and characters
-    that scanners confuse.  Surnames are matched by :func:`similar_keys`; given names
-    then must not contradict each other.
+    that scanners confuse.  Surnames are matched by :func:`similar_keys`, those of up to 4
+    letters only when they are the same; given names then must not contradict each other.
 
     Defined cases: null, empty or one-word names link to nothing; names with equal cost
     to several entities give a row for each; repeated rows count once; empty tables

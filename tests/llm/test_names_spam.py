@@ -153,3 +153,9 @@ def test_swapped_letters_are_searched_as_they_are_verified(spark):
 def test_a_swap_beside_another_typo(spark, name):
     typed, known = spark.createDataFrame([(name,)], "n string"), spark.createDataFrame([("TEVDROZAN-JORHOBRAL, JOSEPH HENRY", "T9")], "a string, who string")
     assert [x.who for x in link_names(typed, "n", known, "a", "who").collect()] == ["T9"]
+
+
+@pytest.mark.parametrize("name,want", [("Mary Ng", ["N1"]), ("NG, MARY", ["N1"]), ("Wu David", ["W1"]), ("Mary Nh", []), ("O, Ann", ["O1"]), ("Mary N", [])])
+def test_short_surnames_are_matched_exactly(spark, name, want):
+    typed, known = spark.createDataFrame([(name,)], "n string"), spark.createDataFrame([("Ng, Mary", "N1"), ("David Wu", "W1"), ("Ann O", "O1")], "a string, who string")
+    assert [x.who for x in link_names(typed, "n", known, "a", "who").collect()] == want

@@ -27,6 +27,14 @@ def q_watch(spark, d):
     return t.groupBy(F.coalesce("bioguide_id", "ticker").alias("entity")).agg(F.max("filed_date").alias("latest"), F.min("filed_date").alias("earliest"), F.count_if(F.col("filed_date") > "2022-06-30").alias("new"))
 
 
+def q_watch_all(spark, d):
+    """What is new since a day for every member and every ticker, and each one's latest filing."""
+    t = C.trades(spark, d)
+    by = lambda c: t.filter(F.col(c).isNotNull()).groupBy(F.lit(c).alias("kind"), F.col(c).alias("entity"))
+    told = [F.max("filed_date").alias("latest"), F.min("filed_date").alias("earliest"), F.count_if(F.col("filed_date") > "2022-06-30").alias("new")]
+    return by("bioguide_id").agg(*told).unionByName(by("ticker").agg(*told))
+
+
 def q_crosswalk(spark, d):
     """Seed filings retired for a parsed primary one."""
     f = P.once(table(spark, d, "filings"), "filing_id")
@@ -186,7 +194,7 @@ def q_notable(spark, d):
 
 
 QUERIES = {
-    "feed_counts": q_feed_counts, "watchlist": q_watch, "crosswalk": q_crosswalk, "index_reconciliation": q_reconcile, "corpus_floor": q_floor, "reparse_targets": q_reparse,
+    "feed_counts": q_feed_counts, "watchlist": q_watch, "watch_all": q_watch_all, "crosswalk": q_crosswalk, "index_reconciliation": q_reconcile, "corpus_floor": q_floor, "reparse_targets": q_reparse,
     "gate_severity": q_severity, "pair_flags": q_pair_flags, "composition": q_composition, "provenance": q_provenance, "disclosed_totals": q_disclosed_totals,
     "issuer_keying": q_keying, "display_names": q_display_names, "filer_tiers": q_tiers, "filer_tiers_full": q_tiers_full, "comparable_hhi": q_comparable, "published_routing": q_routing,
     "stratum_grid": q_grid, "document_sizes": q_sizes, "member_rates": q_rates, "effective_flags": q_defects, "notable_trades": q_notable,
@@ -233,3 +241,5 @@ SQL = {
 }
 
 SQL["filer_tiers_full"] = SQL["filer_tiers"].replace("<= 20 ", "<= 1500 ")
+_NEW = "max(filed_date) AS latest, min(filed_date) AS earliest, count(*) FILTER (filed_date > DATE '2022-06-30') AS new FROM tr"
+SQL["watch_all"] = _T + f"SELECT 'bioguide_id' AS kind, bioguide_id AS entity, {_NEW} WHERE bioguide_id IS NOT NULL GROUP BY ALL UNION ALL SELECT 'ticker', ticker, {_NEW} WHERE ticker IS NOT NULL GROUP BY ALL"

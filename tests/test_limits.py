@@ -13,7 +13,7 @@ from verify import canonical
 SF = "/root/testdata/sf0.1"
 
 
-@pytest.mark.parametrize("name,short", [("embed_cap_full", "embed_cap"), ("feed_slices_full", "feed_slices"), ("filer_tiers_full", "filer_tiers"), ("embed_bounds", None)])
+@pytest.mark.parametrize("name,short", [("embed_cap_full", "embed_cap"), ("feed_slices_full", "feed_slices"), ("filer_tiers_full", "filer_tiers"), ("watch_all", "watchlist"), ("embed_bounds", None)])
 def test_query_equals_sql_and_holds_more(spark, name, short):
     con = duckdb.connect()
     for p in Path(SF).glob("*.parquet"):

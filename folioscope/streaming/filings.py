@@ -12,18 +12,24 @@ def stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def latest_filings(filings: DataFrame, late: str = "90 days") -> DataFrame:
-    """Active filings once each, by filing_id within the watermark on ingested_at: a filing
-    delivered again is dropped as long as its first delivery is no older than ``late``;
-    what comes later than that is dropped by the watermark."""
+def _timed(filings: DataFrame, late: str | None) -> DataFrame:
     at = filings.withColumn("ingested_at", F.col("ingested_at").cast("timestamp"))
-    return at.filter(F.col("lifecycle") == "active").withWatermark("ingested_at", late).dropDuplicatesWithinWatermark(["filing_id"])
+    return at.withWatermark("ingested_at", late) if late else at
 
 
-def daily_counts(filings: DataFrame, late: str = "90 days") -> DataFrame:
-    """Filings a day of ingestion and chamber; a day is final once the watermark passes it."""
-    at = filings.withColumn("ingested_at", F.col("ingested_at").cast("timestamp")).withWatermark("ingested_at", late)
-    return at.groupBy(F.window("ingested_at", "1 day").alias("w"), "chamber").agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("day"), "chamber", "n")
+def latest_filings(filings: DataFrame, late: str | None = None) -> DataFrame:
+    """Active filings once each, by filing_id, in whatever order they are delivered; the
+    state holds every id seen.  With ``late``, for a stream in the order of ingested_at,
+    it holds only those within that time, and what comes later is dropped."""
+    at = _timed(filings.filter(F.col("lifecycle") == "active"), late)
+    return at.dropDuplicatesWithinWatermark(["filing_id"]) if late else at.dropDuplicates(["filing_id"])
+
+
+def daily_counts(filings: DataFrame, late: str | None = None) -> DataFrame:
+    """Filings a day of ingestion and chamber, for output modes update and complete.  With
+    ``late``, also for append: a day is final once the watermark passes it, and what comes
+    for it later is dropped."""
+    return _timed(filings, late).groupBy(F.window("ingested_at", "1 day").alias("w"), "chamber").agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("day"), "chamber", "n")
 
 
 def upsert_into(path: str, key: list[str]):

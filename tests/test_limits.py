@@ -1,5 +1,6 @@
 """Queries at the reference's own limits."""
 
+import datetime as dt
 from pathlib import Path
 
 import duckdb
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from folioscope import plans
 from folioscope.operators import packing as K
+from folioscope.streaming.filings import daily_counts, latest_filings, stream
 from verify import canonical
 
 SF = "/root/testdata/sf0.1"
@@ -36,3 +38,15 @@ def test_bounds_of_a_cap(spark):
 def test_the_joined_states_stay_in_the_plan(spark):
     plan = plans.queries()["p1_found"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join LeftOuter" in plan
+
+
+def test_a_stream_of_unordered_files_loses_no_filing(spark, tmp_path):
+    src = str(tmp_path / "in")
+    for k, year in enumerate((2029, 2012, 2020)):
+        rows = [(f"f{k}-{i}", "house", "active", dt.datetime(year, 3, 1 + i)) for i in range(5)]
+        df = spark.createDataFrame(rows, "filing_id string, chamber string, lifecycle string, ingested_at timestamp_ntz")
+        df.coalesce(1).write.mode("append").parquet(src)
+    for name, q, mode in (("ids", latest_filings, "append"), ("days", daily_counts, "update")):
+        s = q(stream(spark, src, df.schema, 1)).writeStream.format("memory").queryName(f"unordered_{name}").outputMode(mode).option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
+        s.awaitTermination(120)
+        assert spark.table(f"unordered_{name}").count() == 15

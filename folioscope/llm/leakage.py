@@ -201,36 +201,49 @@ def remove_leaks(
     (``mode='spans'``), or only the documents that hold none (``mode='documents'``).
     ``n_removed`` counts words.  A passage is cut from the original text from its first
     word to its last, with the markup between; the rest stays as it is, byte by byte.
-    Null texts stay null, with 0.  Blocks of items are applied one after the other."""
+    Passages of all blocks of items are found in the original text and cut once, so the
+    size of a block changes nothing.  Null texts stay null, with 0."""
     if mode not in ("spans", "documents"):
         raise ValueError("mode is 'spans' or 'documents'")
     require(docs, doc_id, text)
     d = docs.schema[doc_id].dataType.simpleString()  # ids travel as strings: pandas has no null integers
+    schema = "d string, t string, s array<int>"
 
     def scan(shared):
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             grams = shared.value
             for f in frames:
-                keep = []
-                for k, t, r in zip(f["d"], f["t"], f["r"]):
+                spans = []
+                for t, s in zip(f["t"], f["s"]):
+                    s = list(s)
                     if t is not None and grams.hits(words(t)):
-                        if mode == "documents":
-                            continue
-                        found, places = located_words(t)
-                        spans = sorted(s for ss in grams.hits(found).values() for s in ss)
-                        out, at, gone = [], 0, np.zeros(len(found), dtype=bool)
-                        for a, b in spans:
-                            gone[a:b] = True
-                            out.append(t[at : max(at, places[a][0])])
-                            at = max(at, places[b - 1][1])
-                        t, r = "".join(out) + t[at:], r + int(gone.sum())
-                    keep.append((k, t, r))
-                yield pd.DataFrame(keep, columns=["d", "t", "r"])
+                        s += [x for ss in grams.hits(located_words(t)[0]).values() for span in ss for x in span]
+                    spans.append(s)
+                yield f.assign(s=pd.Series(spans, dtype=object, index=f.index))
 
         return run
 
-    spark, schema = docs.sparkSession, "d string, t string, r int"
-    out = spread(docs).select(F.col(doc_id).cast("string").alias("d"), F.col(text).alias("t"), F.lit(0).alias("r"))
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            keep = []
+            for k, t, s in zip(f["d"], f["t"], f["s"]):
+                r = 0
+                if len(s):
+                    if mode == "documents":
+                        continue
+                    found, places = located_words(t)
+                    out, at, gone = [], 0, np.zeros(len(found), dtype=bool)
+                    for a, b in sorted(zip(s[::2], s[1::2])):
+                        gone[a:b] = True
+                        out.append(t[at : max(at, places[a][0])])
+                        at = max(at, places[b - 1][1])
+                    t, r = "".join(out) + t[at:], int(gone.sum())
+                keep.append((k, t, r))
+            yield pd.DataFrame(keep, columns=["d", "t", "r"])
+
+    spark = docs.sparkSession
+    out = spread(docs).select(F.col(doc_id).cast("string").alias("d"), F.col(text).alias("t"), F.array().cast("array<int>").alias("s"))
     for block in _blocks(items.withColumn("_id", F.monotonically_increasing_id()), "_id", item_text, block_words):
         out = out.mapInPandas(scan(spark.sparkContext.broadcast(NgramSet(block, n))), schema)
+    out = out.mapInPandas(cut, "d string, t string, r int")
     return out.select(F.col("d").cast(d).alias(doc_id), F.col("t").alias(text), F.col("r").alias("n_removed"))

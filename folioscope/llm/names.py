@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from ..operators.common import broadcast_if_small, require
+from ..operators.common import broadcast_if_small, cut_lineage, require
 
-#: Edits allowed in a surname; a name is cut into one segment more.
-EDITS = 2
+#: Edits allowed in a name of at least so many letters, most first; shorter ones have none
+#: to spare.  Of given names both must be that long.
+SURNAME_EDITS = ((7, 2), (5, 1))
+GIVEN_EDITS = ((6, 2), (3, 1))
 
 # Titles, suffixes, particles, and short forms of first names.
 TITLES = frozenset("hon honorable honourable the rep representative sen senator congressman congresswoman delegate dr mr mrs ms miss prof sir".split())
@@ -142,7 +145,7 @@ def same_given(typed: str, known: str) -> float | None:
         return 0.5
     best = None
     for x in {known, *b, *(s for s in SHORTS.get(known, ()))}:
-        k = 2 if min(len(x), len(typed)) >= 6 else 1 if min(len(x), len(typed)) >= 3 else 0
+        k = allowed(min(len(x), len(typed)), GIVEN_EDITS)
         d = min(osa(typed, x, k), osa(confused(typed), confused(x), k)) if k else 1
         if k and d <= k and typed not in FULL:
             best = min(best, float(d)) if best is not None else float(d)
@@ -175,62 +178,50 @@ def given_cost(typed: Sequence[str], known: Sequence[str]) -> float | None:
     return first
 
 
-def segment_keys(key: str, edits: int = EDITS) -> list[str]:
-    """The ``edits + 1`` segments of an indexed name, each with its length and place.
-    With at most ``edits`` edits one of them survives unchanged."""
-    n, size = len(key), edits + 1
-    out, at = [], 0
-    for i in range(size):
-        width = n // size + (i >= size - n % size)
-        out.append(f"{n}:{i}:{key[at : at + width]}")
-        at += width
-    return out
+def allowed(length: int, steps: Sequence[tuple[int, int]] = SURNAME_EDITS) -> int:
+    """Edits that a name of this length may have."""
+    return next((e for least, e in steps if length >= least), 0)
 
 
-def probe_keys(key: str, edits: int = EDITS) -> list[str]:
-    """The substrings of a name that may equal a segment of a name within ``edits``
-    edits: for each length and segment only the shifts that leave enough edits for the
-    rest on both sides."""
-    m, size, out = len(key), edits + 1, []
-    for n in range(max(1, m - edits), m + edits + 1):
-        at, delta = 0, m - n
-        for i in range(size):
-            width = n // size + (i >= size - n % size)
-            low = max(0, at - i, at + delta - (edits - i))
-            high = min(m - width, at + i, at + delta + (edits - i))
-            out.extend(f"{n}:{i}:{key[p : p + width]}" for p in range(low, high + 1))
-            at += width
-    return list(dict.fromkeys(out))
+def _lengths(steps: Sequence[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """(edits, least, most length) of the typed names that may have so many edits."""
+    out, most = [], 10**6
+    for least, e in (*steps, (1, 0)):
+        out.append((e, least, most))
+        most = least - 1
+    return out
 
 
-def allowed(length: int) -> int:
-    """Edits that a surname of this length may have; short ones have none to spare."""
-    return EDITS if length >= 7 else 1 if length >= 5 else 0
+def _pieces(c: str, places: list[dict]) -> Column:
+    """What stands in column ``c`` at the given places, each labelled with its edits, the
+    indexed name's length and the segment.  A place: ``e`` edits, for lengths ``lo`` to
+    ``hi`` of ``c``, which is ``d`` longer than the indexed name, whose ``i``-th of ``w``
+    segments has moved by ``v``."""
+    table = f"from_json('{json.dumps(places)}', 'array<struct<e:int,lo:int,hi:int,d:int,i:int,w:int,v:int>>')"
+    n = f"(length({c}) - p.d)"
+    at = f"p.i * ({n} div p.w) + greatest(0, p.i - (p.w - {n} % p.w)) + p.v"
+    width = f"({n} div p.w) + if(p.i >= p.w - {n} % p.w, 1, 0)"
+    used = f"filter({table}, p -> length({c}) between p.lo and p.hi and {n} > 0)"
+    cut = f"transform({used}, p -> struct(p.e as e, {n} as n, p.i as i, cast({at} as int) as a, cast({width} as int) as w))"
+    fits = f"filter({cut}, x -> x.a >= 0 and x.a <= length({c}) - x.w)"
+    return F.expr(f"array_distinct(transform({fits}, x -> concat_ws(':', x.e, x.n, x.i, substring({c}, x.a + 1, x.w))))")
 
 
-def swap_segment_keys(key: str) -> list[str]:
-    """The segments of an indexed name for each number of edits that a typed name within
-    them may have.  A swap across the border of two segments changes both, so of
-    ``2 * edits + 1`` segments one survives unchanged."""
-    n = len(key)
-    return [f"{e}:{x}" for e in range(EDITS + 1) if any(allowed(m) == e for m in range(max(1, n - e), n + e + 1)) for x in segment_keys(key, 2 * e)]
+def segments(c: str, steps: Sequence[tuple[int, int]]) -> Column:
+    """The segments of an indexed name for each number of edits that a typed name may have.
+    A swap across the border of two segments changes both, so of ``2 * edits + 1``
+    segments one survives unchanged."""
+    return _pieces(c, [dict(e=e, lo=least - e, hi=most + e, d=0, i=i, w=2 * e + 1, v=0) for e, least, most in _lengths(steps) for i in range(2 * e + 1)])
 
 
-def swap_probe_keys(key: str) -> list[str]:
+def probes(c: str, steps: Sequence[tuple[int, int]]) -> Column:
     """The substrings of a typed name that may equal a segment of a name within the edits
     its length allows, swaps of neighbours counted as one.  Only insertions and deletions
     move a segment, those before it and those behind it together at most ``edits``."""
-    m, e, out = len(key), allowed(len(key)), []
-    size = 2 * e + 1
-    for n in range(max(1, m - e), m + e + 1):
-        at, delta = 0, m - n
-        for i in range(size):
-            width = n // size + (i >= size - n % size)
-            for move in range(-e, e + 1):
-                if abs(move) + abs(delta - move) <= e and 0 <= at + move <= m - width:
-                    out.append(f"{e}:{n}:{i}:{key[at + move : at + move + width]}")
-            at += width
-    return list(dict.fromkeys(out))
+    return _pieces(c, [
+        dict(e=e, lo=least, hi=most, d=d, i=i, w=2 * e + 1, v=v)
+        for e, least, most in _lengths(steps) for d in range(-e, e + 1) for i in range(2 * e + 1) for v in range(-e, e + 1) if abs(v) + abs(d - v) <= e
+    ])
 
 
 READING = T.ArrayType(T.StructType([T.StructField("s", T.StringType()), T.StructField("g", T.ArrayType(T.StringType())), T.StructField("c", T.IntegerType())]))
@@ -246,29 +237,12 @@ def _listed(names: pd.Series) -> pd.Series:
     return pd.Series([[(confused(s), list(g), c) for s, g, c in listed(n)] for n in names], dtype=object)
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _segments(keys: pd.Series) -> pd.Series:
-    return keys.map(segment_keys)
-
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _probes(keys: pd.Series) -> pd.Series:
-    return keys.map(probe_keys)
-
+def _within(steps: Sequence[tuple[int, int]]):
+    @F.pandas_udf(T.BooleanType())
+    def run(s: pd.Series, k: pd.Series) -> pd.Series:
+        return pd.Series([osa(a, b, limit) <= limit if (limit := allowed(len(a), steps)) else a == b for a, b in zip(s, k)], dtype=bool)
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _swap_segments(keys: pd.Series) -> pd.Series:
-    return keys.map(swap_segment_keys)
-
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _swap_probes(keys: pd.Series) -> pd.Series:
-    return keys.map(swap_probe_keys)
-
-
-@F.pandas_udf(T.BooleanType())
-def _within(s: pd.Series, k: pd.Series) -> pd.Series:
-    return pd.Series([osa(a, b, limit) <= limit if (limit := allowed(len(a))) else a == b for a, b in zip(s, k)], dtype=bool)
+    return run.asNondeterministic()  # stays above the filter that is evaluated in the JVM
 
 
 @F.pandas_udf(T.DoubleType())
@@ -281,24 +255,64 @@ def _cost(s: pd.Series, g: pd.Series, k: pd.Series, m: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
-def similar_keys(left: DataFrame, right: DataFrame, swaps: bool = False) -> DataFrame:
-    """(s, k): all pairs of a string ``s`` of ``left`` and ``k`` of ``right`` at most
-    ``EDITS`` edits apart, without comparing all.  With ``swaps``, a swap of neighbours
-    is one edit and ``s`` has as many as its length allows (:func:`allowed`).
+def similar_keys(left: DataFrame, right: DataFrame, steps: Sequence[tuple[int, int]] = SURNAME_EDITS) -> DataFrame:
+    """(s, k): all pairs of a string ``s`` of ``left`` and ``k`` of ``right`` that are as few
+    edits apart as the length of ``s`` allows (``steps``), a swap of neighbours being one,
+    without comparing all.
+
+    Every k is cut into segments, which form an inverted index; every s looks up its
+    substrings at the places where a segment can have moved to; the pairs found are
+    verified where they arise, first by Spark's distance cut off at twice the edits (a
+    swap is two plain ones), none for short names, and what is left by the distance in a
+    band.  Both sides are made distinct first, so a name that occurs very often costs as
+    much as a rare one."""
+    index = right.select("k").filter(F.col("k") != "").distinct().select("k", F.explode(segments("k", steps)).alias("piece"))
+    look = left.select("s").filter(F.col("s") != "").distinct().select("s", F.explode(probes("s", steps)).alias("piece"))
+    near = F.col("s") == F.col("k")
+    for e, least, most in _lengths(steps):
+        if e:
+            near = near | (F.length("s").between(least, most) & F.levenshtein("s", "k", 2 * e).between(0, 2 * e))
+    pairs = look.join(index, "piece").filter(near).select("s", "k").distinct()
+    return pairs.filter(_within(steps)("s", "k"))
+
+
+@F.pandas_udf(T.BooleanType())
+def _alike(typed: pd.Series, known: pd.Series) -> pd.Series:
+    return pd.Series([same_given(a, b) is not None for a, b in zip(typed, known)], dtype=bool)
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _spellings(known: pd.Series) -> pd.Series:
+    """A listed first name, its full and short forms, also as scanners confuse them."""
+    def forms(x):
+        whole = {x, *FULL.get(x, ()), *SHORTS.get(x, ())}
+        return sorted(whole | {confused(w) for w in whole})
+
+    return known.map(forms)
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _scanned(typed: pd.Series) -> pd.Series:
+    return typed.map(lambda x: sorted({x, confused(x)}))
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _full_forms(x: pd.Series) -> pd.Series:
+    return x.map(lambda w: sorted(FULL.get(w, {w})))
+
 
-    Every k is cut into EDITS + 1 segments (with swaps, 2 * edits + 1), which form an inverted index; every s looks
-    up its substrings at the places where a segment can have moved to; the pairs found
-    are verified by an edit distance in a band.  Both sides are made distinct first, so
-    a name that occurs very often costs as much as a rare one.  A segment that many
-    names share yields many candidates, which are verified where they arise, before
-    anything is shuffled or made distinct."""
-    cut, look = (_swap_segments, _swap_probes) if swaps else (_segments, _probes)
-    index = right.select("k").distinct().select("k", F.explode(cut("k")).alias("piece"))
-    probes = left.select("s").distinct().select("s", F.explode(look("s")).alias("piece"))
-    reach = 2 * EDITS if swaps else EDITS  # a swap is two plain edits
-    near = F.levenshtein("s", "k", reach).between(0, reach)
-    pairs = probes.join(broadcast_if_small(index), "piece").filter(near).select("s", "k").distinct()
-    return pairs.filter(_within("s", "k")) if swaps else pairs
+def similar_given(typed: DataFrame, known: DataFrame) -> DataFrame:
+    """(t, m): the pairs of a typed first name ``t`` and a listed one ``m``, both of two
+    letters or more, that :func:`same_given` takes for each other.  Candidates come from
+    three inverted indexes: segments of the spellings, full forms, and beginnings."""
+    t, m = typed.select("t").filter(F.length("t") > 1).distinct(), known.select("m").filter(F.length("m") > 1).distinct()
+    ts, ms = t.select("t", F.explode(_scanned("t")).alias("s")), m.select("m", F.explode(_spellings("m")).alias("k"))
+    near = similar_keys(ts, ms, GIVEN_EDITS)
+    edited = near.join(ts, "s").join(ms, "k").select("t", "m")
+    full = t.select("t", F.explode(_full_forms("t")).alias("f")).join(m.select("m", F.explode(_full_forms("m")).alias("f")), "f").select("t", "m")
+    begins = F.transform(F.sequence(F.lit(3), F.greatest(F.lit(3), F.length("m"))), lambda i: F.substr("m", F.lit(1), i))
+    begun = t.join(m.select("m", F.explode(begins).alias("t")), "t").select("t", "m")
+    return edited.unionByName(full).unionByName(begun).distinct().filter(_alike("t", "m"))
 
 
 def link_names(typed: DataFrame, name: str, known: DataFrame, alias: str, entity: str) -> DataFrame:
@@ -308,8 +322,11 @@ def link_names(typed: DataFrame, name: str, known: DataFrame, alias: str, entity
 
     Names are read with titles and suffixes taken off, in either order, with parts
     split or joined, with short forms, initials, missing middle names and characters
-    that scanners confuse.  Surnames are matched by :func:`similar_keys`, those of up to 4
-    letters only when they are the same; given names then must not contradict each other.
+    that scanners confuse.  Surnames and first names are each matched among their distinct
+    spellings (:func:`similar_keys`, :func:`similar_given`); surnames of up to 4 letters
+    only when they are the same.  Persons are then joined on surname and first name
+    together, so a surname that very many share doesn't pair all who bear it; a typed
+    initial is joined on surname and letter.  Middle names must not contradict each other.
 
     Defined cases: null, empty or one-word names link to nothing; names with equal cost
     to several entities give a row for each; repeated rows count once; empty tables
@@ -317,29 +334,40 @@ def link_names(typed: DataFrame, name: str, known: DataFrame, alias: str, entity
     """
     require(typed, name)
     require(known, alias, entity)
-    read = typed.select(F.col(name).alias("n")).dropna().distinct().select("n", F.inline(_readings("n")))
+    read = cut_lineage(typed.select(F.col(name).alias("n")).dropna().distinct().select("n", F.inline(_readings("n"))).drop("c").filter(F.size("g") > 0))
     index = known.select(F.col(alias).alias("a"), F.col(entity).alias("e")).dropna().distinct()
-    index = index.select("e", F.inline(_listed("a"))).select("e", F.col("s").alias("k"), F.col("g").alias("m"), "c").distinct()
-    pairs = similar_keys(read, index, swaps=True)
-    best = (
-        read.drop("c")
-        .join(pairs, "s")
-        .join(broadcast_if_small(index), "k")
-        .withColumn("cost", _cost("s", "g", "k", "m") + F.col("c"))
-        .filter(F.col("cost").isNotNull() & ~F.isnan("cost"))
-        .groupBy("n", "e")
-        .agg(F.min("cost").alias("cost"))
+    index = cut_lineage(index.select("e", F.inline(_listed("a"))).select("e", F.col("s").alias("k"), F.col("g").alias("m"), "c").distinct())
+    found = candidates(read, index)
+    cost = found.withColumn("cost", _cost("s", "g", "k", "m") + F.col("c")).filter(F.col("cost").isNotNull() & ~F.isnan("cost"))
+    return cost.groupBy("n", "e").agg(F.min("cost").alias("cost")).select(F.col("n").alias(name), F.col("e").alias(entity), "cost")
+
+
+def candidates(read: DataFrame, index: DataFrame) -> DataFrame:
+    """(n, s, g, e, k, m, c): readings (n, s, g) beside the listed names (e, k, m, c) whose
+    surname and whose first name they resemble."""
+    pairs = similar_keys(read, index)
+    first, whole = F.get("g", F.lit(0)), F.concat(F.get("g", F.lit(0)), F.get("g", F.lit(1)))  # the latter split by a stray space
+    asked = F.explode(F.array_compact(F.array(first, F.when(F.length(first) > 1, whole)))).alias("t")
+    given = similar_given(read.select(asked), index.select(F.get("m", F.lit(0)).alias("m")))
+    keys = given.groupBy("t").agg(F.collect_set(F.concat(F.lit("="), F.col("m"))).alias("keys"))  # as many as first names resemble one
+    rows = read.join(pairs, "s").select("n", "s", "k", "g", asked, F.length(first).alias("letters"))
+    letter = F.substring("t", 1, 1)
+    by = F.when(F.col("letters") == 1, F.array(F.concat(F.lit("~"), letter))).otherwise(
+        F.array_append(F.coalesce("keys", F.array().cast("array<string>")), F.concat(F.lit("?"), letter))
     )
-    return best.select(F.col("n").alias(name), F.col("e").alias(entity), "cost")
+    rows = rows.join(keys, "t", "left").select("n", "s", "k", "g", F.explode(by).alias("key")).distinct()
+    m = F.get("m", F.lit(0))
+    own = F.array(F.concat(F.lit("~"), F.substring(m, 1, 1)), F.concat(F.when(F.length(m) == 1, "?").otherwise("="), m))
+    return rows.join(index.select("e", "k", "m", "c", F.explode(own).alias("key")), ["k", "key"]).drop("key")
 
 
-#: Copies of a name's links, so that filings under one name spread over as many tasks.
-SALTS = 16
+#: Filings under one name above which they are dealt out over ``SALTS`` copies of its links.
+HOT_ROWS, SALTS = 100_000, 16
 
 
 def resolve_filers(
     filings: DataFrame, record_id: str, name: str, chamber: str, date: str,
-    aliases: DataFrame, alias: str, entity: str, valid_from: str, valid_to: str,
+    aliases: DataFrame, alias: str, entity: str, valid_from: str, valid_to: str, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """(record_id, entity, cost): for each record the one entity whose name it spells
     and that has an alias of the same chamber valid on its date
@@ -347,15 +375,19 @@ def resolve_filers(
     reading wins; if that is a tie between entities, none is given.
 
     Records without a name, chamber or date give no row; a record delivered again counts
-    once.  Links are found per distinct name and joined back over a salt of the record
-    id, so a name on most records does not make one task long."""
+    once.  Links are found per distinct name and joined back; for the names on very many
+    records, few by that bound, over a salt of the record id, so that none makes one task
+    long."""
     require(filings, record_id, name, chamber, date)
     require(aliases, alias, entity, chamber, valid_from, valid_to)
     rows = filings.select(F.col(record_id).alias("r"), F.col(name).alias("n"), F.col(chamber).alias("ch"), F.col(date).alias("at")).dropna().distinct()
     links = link_names(rows, "n", aliases, alias, entity).withColumnRenamed(entity, "e")
-    links = links.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    hot = cut_lineage(rows.groupBy("n").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > hot_rows).select("n", F.lit(SALTS - 1).alias("last")))
+    last = F.coalesce("last", F.lit(0))
+    links = links.join(hot, "n", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), last))).drop("last")
     windows = aliases.select(F.col(entity).alias("e"), F.col(chamber).alias("ch"), F.col(valid_from).alias("a"), F.col(valid_to).alias("z")).distinct()
-    linked = rows.withColumn("salt", F.pmod(F.xxhash64("r"), F.lit(SALTS)).cast("int")).join(links, ["n", "salt"]).alias("l")
+    salted = rows.join(hot, "n", "left").withColumn("salt", F.pmod(F.xxhash64("r"), last + 1).cast("int")).drop("last")
+    linked = salted.join(links, ["n", "salt"]).alias("l")
     valid = linked.join(
         broadcast_if_small(windows).alias("w"),
         (F.col("l.e") == F.col("w.e")) & (F.col("l.ch") == F.col("w.ch")) & (F.col("a") <= F.col("at")) & (F.col("z").isNull() | (F.col("at") < F.col("z"))),

@@ -8,11 +8,15 @@ from ..sources import table
 from .leakage import leaked, remove_leaks
 from .mixing import mix
 from .names import resolve_filers
-from .spam import stuffed_pages
+from .spam import page_curves, stuffed_pages
 from .survivors import Field, survivors
 from .topn import top_n
 
 
+#: Where the public tokenizer's vocabulary lies; every executor can read it.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
 def issuer(c: str) -> Column:
     """Upper case, trimmed, runs of spaces reduced to one."""
     return F.trim(F.regexp_replace(F.upper(c), " +", " "))
@@ -101,16 +105,46 @@ def p7_removed(spark: SparkSession, d: str) -> DataFrame:
     return remove_leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "text")
 
 
+def mixture(spark: SparkSession, d: str, **how) -> tuple[DataFrame, DataFrame]:
+    return mix(table(spark, d, "documents"), "doc_id", "source", "text", table(spark, d, "mix_targets"), VOCABULARY, **how)
+
+
 def p8_mix(spark: SparkSession, d: str) -> DataFrame:
-    return mix(table(spark, d, "documents"), "doc_id", "source", "text", table(spark, d, "mix_targets"))[0]
+    return mixture(spark, d)[0]
 
 
 def p8_shares(spark: SparkSession, d: str) -> DataFrame:
-    return mix(table(spark, d, "documents"), "doc_id", "source", "text", table(spark, d, "mix_targets"))[1]
+    return mixture(spark, d)[1]
+
+
+def p8_banded(spark: SparkSession, d: str) -> DataFrame:
+    """As p8_shares, with a constraint for every quarter octave of document sizes."""
+    return mixture(spark, d, bands_per_octave=4)[1]
+
+
+def p8_kept(spark: SparkSession, d: str) -> DataFrame:
+    """Per listed source whether it can be reached, and whether its tokens are its share of
+    the mixture, to less than one document, and its cap is kept, document by document."""
+    copies, report = mixture(spark, d)
+    most = copies.groupBy("source").agg(F.max("copies").alias("most"), F.max("n_tokens").alias("longest"))
+    r = report.filter(F.col("target_share").isNotNull()).join(most, "source", "left")
+    reachable = F.col("n_tokens") > 0
+    sums = r.agg(F.sum(F.when(reachable, F.col("target_share"))).alias("share"), F.sum("used_tokens").alias("used"))
+    want = F.when(reachable, F.col("target_share") / sums.select("share").scalar()).otherwise(0.0) * sums.select("used").scalar()
+    return r.select(
+        "source", reachable.alias("reachable"), (F.abs(F.col("used_tokens") - want) <= F.coalesce("longest", F.lit(0))).alias("share_kept"),
+        (F.coalesce("most", F.lit(0)) <= F.col("max_repeats")).alias("cap_kept"),
+    )
 
 
 def p9_pages(spark: SparkSession, d: str) -> DataFrame:
-    return stuffed_pages(table(spark, d, "documents"), "doc_id", "text", "lang")
+    return stuffed_pages(table(spark, d, "documents"), "doc_id", "text")
+
+
+def p9_curves(spark: SparkSession, d: str) -> DataFrame:
+    """Slope and residual of every page's rank-frequency curve."""
+    c = page_curves(table(spark, d, "documents"), "doc_id", "text")
+    return c.select("doc_id", "n_words", "n_types", F.round("slope", 6).alias("slope"), F.round("residual", 6).alias("residual"))
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
@@ -128,8 +162,11 @@ QUERIES = {
     "p7_removed": p7_removed,
     "p8_mix": p8_mix,
     "p8_shares": p8_shares,
+    "p8_banded": p8_banded,
+    "p8_kept": p8_kept,
     "p9_found": p9_found,
     "p9_pages": p9_pages,
+    "p9_curves": p9_curves,
 }
 
 _TOP = """
@@ -146,7 +183,7 @@ WITH a AS (
   SELECT *, CASE WHEN len(dg) = 3 THEN lpad(dg[1], 10, '0') || lpad(dg[2], 2, '0') || lpad(dg[3], 6, '0')
                  WHEN len(dg) > 0 THEN lpad(array_to_string(dg, ''), 18, '0') END AS z FROM a
 ), c AS (
-  SELECT cik, period_end, table_value_total_usd, z[1:10] || '-' || z[11:12] || '-' || z[13:18] AS acc,
+  SELECT cik, period_end, table_value_total_usd, filed_date, regexp_replace(form, '13F[ -]?', '13F-') AS form, file_number_norm, period_of_report, z[1:10] || '-' || z[11:12] || '-' || z[13:18] AS acc,
          CASE parse_status WHEN 'parsed' THEN 3 WHEN 'partial' THEN 2 WHEN 'failed' THEN 1 ELSE 0 END AS r1,
          CASE WHEN form LIKE '%HR%' THEN 2 WHEN form LIKE '%NT%' THEN 1 ELSE 0 END AS r2, filed_date AS r3,
          CASE WHEN form LIKE '%/A' THEN 1 ELSE 0 END AS r4
@@ -167,5 +204,37 @@ SQL = {
 SELECT cik, period_end, max(CASE WHEN first = 1 THEN acc END) AS accession,
        coalesce(max(CASE WHEN first_of = 1 AND table_value_total_usd IS NOT NULL THEN acc END), 'none') AS total_accession
 FROM k WHERE n >= 2 GROUP BY cik, period_end
+""",
+    "p9_curves": r"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS word FROM (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL)),
+c AS (SELECT doc_id, word, count(*) AS n FROM t GROUP BY ALL),
+l AS (SELECT doc_id, n, count(*) AS v FROM c GROUP BY ALL),
+r AS (SELECT *, ln(coalesce(sum(v) OVER (PARTITION BY doc_id ORDER BY n DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + (v + 1) / 2.0) AS x, ln(n) AS y FROM l),
+s AS (SELECT doc_id, sum(n * v) AS n_words, sum(v) AS n_types, count(*) AS k, sum(v) AS sw, sum(v * x) AS sx, sum(v * y) AS sy, sum(v * x * x) AS sxx, sum(v * x * y) AS sxy, sum(v * y * y) AS syy FROM r GROUP BY ALL),
+f AS (SELECT *, CASE WHEN k > 1 THEN (sw * sxy - sx * sy) / (sw * sxx - sx * sx) ELSE 0 END AS b FROM s)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_types AS BIGINT) AS n_types, round(b, 6) AS slope,
+       round(CASE WHEN k > 1 THEN greatest(0, (syy - sy * sy / sw - b * (sxy - sx * sy / sw)) / sw) ELSE 0 END, 6) AS residual
+FROM f
+""",
+    "p8_kept": """SELECT source, source IN (SELECT source FROM documents WHERE length(text) > 0) AS reachable, true AS share_kept, true AS cap_kept FROM mix_targets""",
+    # position by position: in these values no token moves
+    "p5_survivors": _RECORDS
+    + r"""
+, v AS (
+  SELECT cik, period_end, 'form' AS field, form AS value, first FROM k UNION ALL SELECT cik, period_end, 'number', file_number_norm, first FROM k
+  UNION ALL SELECT cik, period_end, 'period', CAST(period_of_report AS VARCHAR), first FROM k
+), s AS (SELECT cik, period_end, field, value, count(*) AS n, min(first) AS best, regexp_extract_all(value, '[\p{L}\p{N}]+|[^\p{L}\p{N}]') AS ts FROM v WHERE value IS NOT NULL GROUP BY ALL),
+m AS (SELECT cik, period_end, field, max(len(ts)) AS longest FROM s GROUP BY ALL),
+t AS (SELECT s.*, unnest(range(1, longest + 1)) AS p FROM s JOIN m USING (cik, period_end, field)),
+u AS (SELECT cik, period_end, field, p, coalesce(ts[p], '') AS token, sum(n) AS n, min(best) AS best FROM t GROUP BY ALL),
+ag AS (SELECT cik, period_end, field, p, token AS want FROM u QUALIFY row_number() OVER (PARTITION BY cik, period_end, field, p ORDER BY n DESC, best) = 1),
+f AS (SELECT t.cik, t.period_end, t.field, value, best, count(*) FILTER (coalesce(ts[t.p], '') <> want) AS far FROM t JOIN ag USING (cik, period_end, field, p) GROUP BY ALL),
+c1 AS (SELECT cik, period_end, field, value FROM f QUALIFY row_number() OVER (PARTITION BY cik, period_end, field ORDER BY far, best) = 1)
+SELECT cik, period_end, n AS n_records, max(CASE WHEN first = 1 THEN acc END) AS accession,
+       CAST(arg_min(filed_date, first) FILTER (filed_date IS NOT NULL) AS VARCHAR) AS filed_date,
+       CAST(arg_min(table_value_total_usd, first) FILTER (table_value_total_usd IS NOT NULL) AS VARCHAR) AS table_value_total_usd,
+       any_value(c1.value) FILTER (c1.field = 'form') AS submission_type, any_value(c1.value) FILTER (c1.field = 'number') AS file_number_norm,
+       any_value(c1.value) FILTER (c1.field = 'period') AS period_of_report
+FROM k LEFT JOIN c1 USING (cik, period_end) GROUP BY ALL
 """,
 }

@@ -1,4 +1,4 @@
-"""Keyword-stuffed and link-list pages: a check of segments, then rank-frequency curves."""
+"""Keyword-stuffed and link-list pages: rank-frequency curves that are not those of prose, then a check of segments."""
 
 from __future__ import annotations
 
@@ -8,14 +8,22 @@ import unicodedata
 from collections import Counter
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window as W, functions as F
 
-from ..operators.common import cut_lineage, require, spread
+from ..operators.common import cut_lineage, is_small, require, spread
 from .leakage import VISIBLE
 
-LANGUAGES = ("en", "es", "de", "fr")
-#: Ends of the bands into which a language's words fall by frequency; the rest is a band too.
-BANDS = (10, 30, 100, 300)
+#: Part of a page's words that function words of a language make up in prose.
+PROSE_SHARE = 0.2
+#: Standard deviations from prose of the same language and length at which a slope or a
+#: residual is extreme.
+EXTREME = 3.0
+#: Twice the words times the divergence (a likelihood ratio) at which it is extreme.
+EXTREME_RATIO = 15.0
+#: Least deviations, for corpora whose prose is all alike.
+LEAST_SD = {"slope": 0.02, "residual": 0.002}
+#: Flagged pages (two numbers each) that are broadcast at most.
+FLAGGED_ROWS = 1_000_000
 
 #: A sentence of which this part is the page's core words is stuffed.
 CORE_PART = 0.5
@@ -23,30 +31,37 @@ CORE_PART = 0.5
 CORE_MASS = 0.4
 
 # Common function words of the four languages.
-FUNCTION_WORDS = frozenset(
-    """
+FUNCTION = {
+    "en": """
     a about above after again all also an and any are as at be because been before being below between both but by can
     cannot could did do does during each either every few for from had has have he her here him his how however i if in
     into is it its just may me might more most must my neither no nor not now of on once only or other our out over own
     per same shall she should since so some such than that the their them then there these they this those though
     through to too under until up upon us was we were what when where whether which while who whom whose why will with
     within without would you your
+    """,
+    "es": """
     al algo ante antes aunque como con contra cual cuando de del desde donde durante el ella ellas ellos en entre era es
     esta estaba estas este esto estos fue ha han hasta hay la las le les lo los mas más ni no nos o para pero por porque
     que qué quien se según ser si sin sobre son su sus también tiene un una uno unos y ya
+    """,
+    "de": """
     aber als am an auch auf aus bei bis da das dass dem den der des die dies diese dieser dieses doch durch ein eine
     einem einen einer eines er es für gegen hat hatte ich ihr ihre im in ist ja kann keine mit nach nicht noch nur ob
     oder ohne seit sich sie sind so über um und uns unter vom von vor war wenn werden wie wird wo wurde zu zum zur
+    """,
+    "fr": """
     au aucun aucune aussi aux avec c ce ces cette comme d dans de depuis des dont du elle elles en est et eu il ils j je
     l la le les leur leurs lui mais même n ne ni nous on ont ou où par pas pour qu que qui s sa sans se ses si son sont
     sous sur un une y à été être
-    """.split()
-)
+    """,
+}
+LANGUAGES = tuple(FUNCTION)
+FUNCTION_WORDS = frozenset(w for text in FUNCTION.values() for w in text.split())
+#: An address with a scheme, or a bare host: labels joined by dots, the last of letters.
 LINK = re.compile(
-    r"(?:h(?:tt|xx)ps?://|www\.)[^\s<>()\"'\]]+"
-    r"|\b[a-z0-9](?:[a-z0-9-]*[a-z0-9])?(?:\.[a-z0-9-]+)*(?:\.|\s+dot\s+|\s*[\[(]dot[\])]\s*)"
-    r"(?:com|org|net|info|biz|io|co|example|invalid|test|us|eu|de|fr|es|uk)\b(?:/[^\s<>()\"'\]]*)?",
-    re.I,
+    r"(?i:(?:h(?:tt|xx)ps?://|www\.)[^\s<>()\"'\]]+)"
+    r"|(?<![\w.@])[A-Za-z0-9][A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?:\.|\s+dot\s+|\s*[\[(]dot[\])]\s*)[a-z]{2,24}\b(?:/[^\s<>()\"'\]]*)?"
 )
 MARKUP = re.compile(r"<[^<>]*>")
 HREF = re.compile(r"<a\s[^<>]*href\s*=\s*[\"']?([^\"'\s<>]+)[^<>]*>", re.I)
@@ -140,96 +155,188 @@ def stuffing_share(text: str | None) -> float:
     return bad / whole if whole else 0.0
 
 
-def rank_frequency(docs: DataFrame, doc_id: str, text: str, references: DataFrame, languages: Sequence[str]) -> DataFrame:
-    """Per page the curve of word frequency over rank, fitted by least squares on
-    logarithms with windows: n_words, n_types, slope, residual (mean squared error), and
-    the language whose prose it is nearest to with its divergence from that.
+def _lagged(c: str) -> Column:
+    """An array moved on by one place."""
+    return F.concat(F.array(F.get(c, F.lit(-1))), F.slice(c, F.lit(1), F.greatest(F.size(c) - 1, F.lit(0))))
+
+
+def _runs(df: DataFrame, c: str, value: str, length: str) -> DataFrame:
+    """Of the sorted array ``c`` its distinct values and how often each stands in it, as
+    two arrays, counted inside the row."""
+    begins = F.zip_with(c, _lagged(c), lambda x, y: ~x.eqNullSafe(y))
+    at = F.filter(F.transform(begins, lambda b, i: F.when(b, i)), lambda i: i.isNotNull())
+    held = df.withColumn("_at", at)
+    until = F.concat(F.slice("_at", F.lit(2), F.size("_at")), F.array(F.size(c)))
+    held = held.withColumn(length, F.zip_with(until, "_at", lambda z, a: z - a))
+    return held.withColumn(value, F.transform("_at", lambda i: F.get(F.col(c), i))).drop("_at")
 
-    The texts are shuffled once, by page; exploding, counting, ranking and fitting then
-    happen where a page lies.  ``references`` (see :func:`language_references`) has at
-    most ``BANDS[-1]`` rows a language and is broadcast."""
-    pages = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).filter(F.col("doc").isNotNull())
+
+def page_profiles(pages: DataFrame, languages: Sequence[str] = LANGUAGES) -> DataFrame:
+    """``pages`` (doc, text) reduced in their rows to ``key`` (a hash of the text),
+    n_words, n_types, ``lang`` (the language with most function words on the page, null
+    without any), ``function`` and ``figures`` (parts of the words), and ``levels``: how
+    many words occur how often, most frequent first.  Nothing is shuffled; a text
+    without a word gives no row."""
+    known = {c: FUNCTION[c].split() for c in languages}
     words = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    counts = (
-        pages.repartition("doc")
-        .select("doc", F.explode(words).alias("word"))
-        .groupBy("doc", "word")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    named = references.groupBy("word").pivot("lang", list(languages)).agg(F.first("band"))
-    counts = counts.join(F.broadcast(named), "word", "left")
-    # equal counts share a curve's steps in any order, so ties need no second key
-    rank = F.row_number().over(W.partitionBy("doc").orderBy(F.col("n").desc()))
-    x, y = F.log(F.col("rank").cast("double")), F.log(F.col("n").cast("double"))
-    page = (
-        counts.withColumn("rank", rank)
-        .groupBy("doc")
-        .agg(
-            F.sum("n").alias("n_words"),
-            F.count(F.lit(1)).alias("n_types"),
-            F.regr_slope(y, x).alias("slope"),
-            (F.regr_syy(y, x) - F.pow(F.regr_sxy(y, x), 2) / F.nullif(F.regr_sxx(y, x), F.lit(0.0))).alias("sse"),
-            *[F.sum(F.when(F.col(c) == k, F.col("n")).otherwise(0)).alias(f"c{i}_{k}") for i, c in enumerate(languages) for k in range(len(BANDS))],
-        )
-    )
-    n = F.col("n_words").cast("double")
-    told = {(r["lang"], r["band"]): r["q"] for r in references.groupBy("lang", "band").agg(F.sum("q").alias("q")).collect()}  # bands x languages
-    covered = {c for c, _ in told}
-
-    def divergence(i: int, lang: str) -> Column:
-        """Kullback-Leibler divergence of the page's words over the language's bands."""
-        parts = [F.col(f"c{i}_{k}") / n for k in range(len(BANDS))]
-        rest = F.greatest(F.lit(0.0), 1 - sum(parts, F.lit(0.0)))
-        expected = [max(1e-3, told.get((lang, k), 0.0)) for k in range(len(BANDS))]
-        cells = zip([*parts, rest], [*expected, max(1e-3, 1 - sum(expected))])
-        return sum((F.when(p > 0, p * F.log(p / F.lit(q))).otherwise(0.0) for p, q in cells), F.lit(0.0))
-
-    options = [F.struct(divergence(i, c).alias("d"), F.lit(c).alias("lang")) for i, c in enumerate(languages) if c in covered]
-    nearest = F.array_min(F.array(*options)) if options else F.lit(None).cast("struct<d:double,lang:string>")
-    return page.withColumn("near", nearest).select(
-        "doc", "n_words", "n_types",
-        F.coalesce("slope", F.lit(0.0)).alias("slope"),
-        F.coalesce(F.col("sse") / F.col("n_types"), F.lit(0.0)).alias("residual"),
-        F.col("near.lang").alias("lang"), F.coalesce(F.col("near.d"), F.lit(0.0)).alias("divergence"),
+    every = sorted({w for ws in known.values() for w in ws})
+    x = pages.select("doc", F.xxhash64("text").alias("key"), F.sort_array(words).alias("w")).filter(F.size("w") > 0)
+    among = lambda c, ws: F.filter(c, lambda w: w.isin(ws))
+    x = x.withColumn("fw", among("w", every))
+    x = x.withColumn("hits", F.array(*[F.size(among("fw", ws)) for ws in known.values()]))
+    x = x.withColumn("n_figures", F.size(F.filter("w", lambda w: w.between(F.lit("0"), F.lit("9\uffff")))))
+    x = _runs(x.withColumn("n_words", F.size("w")), "w", "types", "counts")
+    x = x.select("doc", "key", "n_words", F.size("counts").alias("n_types"), "hits", "n_figures", F.sort_array("counts", asc=False).alias("c"))
+    x = _runs(x, "c", "n", "v")
+    best = F.array_max("hits")
+    lang = F.when(best > 0, F.get(F.array(*[F.lit(c) for c in known]), (F.array_position("hits", best) - 1).cast("int")))
+    return x.select(
+        "doc", "key", "n_words", "n_types", lang.alias("lang"), (best / F.col("n_words")).alias("function"),
+        (F.col("n_figures") / F.col("n_words")).alias("figures"), F.arrays_zip("n", "v").alias("levels"),
     )
 
 
-def language_references(docs: DataFrame, text: str, lang: str, languages: Sequence[str], bands: Sequence[int] = BANDS) -> DataFrame:
-    """(lang, word, q, band): the most frequent words of each language over all documents
-    said to be in it; the few with a wrong label hardly move it."""
-    found = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    told = docs.select(F.lower(F.trim(lang)).alias("lang"), F.col(text)).filter(F.col("lang").isin(list(languages)))
-    mass = told.select("lang", F.explode(found).alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("m"))
-    w = W.partitionBy("lang").orderBy(F.col("m").desc(), "word")
-    ranked = mass.select("lang", "word", (F.col("m") / F.sum("m").over(W.partitionBy("lang"))).alias("q"), F.row_number().over(w).alias("r"))
-    band = sum(((F.col("r") > b).cast("int") for b in bands), F.lit(0))
-    return ranked.filter(F.col("r") <= bands[-1]).select("lang", "word", "q", band.alias("band"))
+PROFILE = ["n_words", "n_types", "lang", "function", "figures"]
+
+
+def _fit(sw: Column, sx: Column, sy: Column, sxx: Column, sxy: Column, syy: Column, levels: Column) -> tuple[Column, Column]:
+    """Slope and mean squared residual of a weighted line; a page whose words all occur
+    equally often has a slope and a residual of 0."""
+    slope = F.when(levels > 1, (sw * sxy - sx * sy) / (sw * sxx - sx * sx)).otherwise(0.0)
+    residual = F.when(levels > 1, (syy - sy * sy / sw - slope * (sxy - sx * sy / sw)) / sw).otherwise(0.0)
+    return slope, F.greatest(residual, F.lit(0.0))
+
+
+def rank_frequency(profiles: DataFrame) -> DataFrame:
+    """The curve of word frequency over rank of every page: slope and residual of a line
+    through the logarithms, by windows over a page's levels.  Words of equal frequency
+    share the mean of their ranks.  A page delivered again has one curve.
+
+    Only the levels are shuffled, a few numbers a page, once, by page: removing repeats,
+    the windows and the sums have the same partitioning."""
+    once = profiles.dropDuplicates(["doc", "key"])
+    rows = once.select("doc", "key", *PROFILE, F.inline("levels"))
+    before = F.coalesce(F.sum("v").over(W.partitionBy("doc", "key").orderBy(F.col("n").desc()).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    rows = rows.withColumn("x", F.log(before + (F.col("v") + 1) / 2)).withColumn("y", F.log(F.col("n").cast("double")))
+    x, y, v = F.col("x"), F.col("y"), F.col("v")
+    sums = {"sw": v, "sx": v * x, "sy": v * y, "sxx": v * x * x, "sxy": v * x * y, "syy": v * y * y}
+    page = rows.groupBy("doc", "key", *PROFILE).agg(F.count(F.lit(1)).alias("levels"), *[F.sum(c).cast("double").alias(k) for k, c in sums.items()])
+    slope, residual = _fit(*[F.col(k) for k in sums], F.col("levels"))
+    return page.select("doc", "key", *PROFILE, slope.alias("slope"), residual.alias("residual"))
+
+
+def curve_in_row(profiles: DataFrame) -> DataFrame:
+    """:func:`rank_frequency` folded over the levels inside each row, without a shuffle
+    and with a row for every repeat."""
+    zero = F.struct(*[F.lit(0.0).alias(k) for k in ("before", "sw", "sx", "sy", "sxx", "sxy", "syy")])
+
+    def step(a: Column, e: Column) -> Column:
+        v = e["v"].cast("double")
+        x, y = F.log(a["before"] + (v + 1) / 2), F.log(e["n"].cast("double"))
+        add = {"before": v, "sw": v, "sx": v * x, "sy": v * y, "sxx": v * x * x, "sxy": v * x * y, "syy": v * y * y}
+        return F.struct(*[(a[k] + c).alias(k) for k, c in add.items()])
+
+    held = profiles.withColumn("s", F.aggregate("levels", zero, step))
+    slope, residual = _fit(*[F.col(f"s.{k}") for k in ("sw", "sx", "sy", "sxx", "sxy", "syy")], F.size("levels"))
+    return held.select("doc", "key", *PROFILE, slope.alias("slope"), residual.alias("residual"))
+
+
+MEASURES = ("slope", "residual", "function", "figures")
+
+
+def prose_references(curves: DataFrame) -> DataFrame:
+    """(lang, and per measure its line over the logarithm of the number of words with the
+    deviation from it), fitted to the prose of each language and, with a null lang, to
+    that of all.  Prose are pages with as many function words as sentences have; texts
+    that occur again and again count once, and pages of keywords, however many there
+    are, have no say in what prose is like.  At most one row a language and one."""
+    prose = curves.filter((F.col("function") >= PROSE_SHARE) & (F.col("n_words") > 1))
+    prose = prose.groupBy("key").agg(*[F.first(c).alias(c) for c in ("n_words", "lang", *MEASURES)])
+    x = F.log(F.col("n_words").cast("double"))
+    line = []
+    for m in MEASURES:
+        y = F.col(m)
+        line += [
+            F.regr_slope(y, x).alias(f"{m}_b"), F.regr_intercept(y, x).alias(f"{m}_a"),
+            F.sqrt(F.greatest(F.lit(0.0), (F.regr_syy(y, x) - F.pow(F.regr_sxy(y, x), 2) / F.nullif(F.regr_sxx(y, x), F.lit(0.0))) / F.nullif(F.regr_count(y, x), F.lit(0)))).alias(f"{m}_sd"),
+        ]
+    names = [f"{m}_{k}" for m in MEASURES for k in ("b", "a", "sd")]
+    alone = prose.groupBy("lang").agg(*line).filter(F.col("slope_b").isNotNull())
+    pooled = prose.agg(*line).select(F.lit(None).cast("string").alias("lang"), *names)
+    return alone.select("lang", *names).unionByName(pooled)
+
+
+def extremes(curves: DataFrame, references: Sequence[Row]) -> DataFrame:
+    """``curves`` with ``divergence`` (Kullback-Leibler, of the page's function words,
+    figures and other words from prose of its language and length) and ``extreme``: which
+    of slope, residual and divergence are not those of prose, null if none is.  Where no
+    prose is known, every page is extreme.  ``references`` are the few rows of
+    :func:`prose_references`."""
+    pooled = next((tuple(r)[1:] for r in references if r["lang"] is None), None)
+    known = {r["lang"]: tuple(r)[1:] for r in references if r["lang"] is not None}
+    names = [f"{m}_{k}" for m in MEASURES for k in ("b", "a", "sd")]
+    rows = [(c, *known.get(c, pooled or (None,) * len(names))) for c in (*LANGUAGES, None)]
+    told = curves.sparkSession.createDataFrame(rows, "_l string, " + ", ".join(f"{c} double" for c in names))
+    curves = curves.join(F.broadcast(told), F.col("lang").eqNullSafe(F.col("_l")))
+    par = F.col
+    at = F.log(F.col("n_words").cast("double"))
+    usual = {m: par(f"{m}_a") + par(f"{m}_b") * at for m in MEASURES}
+    q_f = F.least(F.lit(0.9), F.greatest(F.lit(0.02), usual["function"]))
+    q_d = F.least(F.lit(0.5), F.greatest(F.lit(0.01), usual["figures"]))
+    cells = [(F.col("function"), q_f), (F.col("figures"), q_d), (F.greatest(F.lit(0.0), 1 - F.col("function") - F.col("figures")), F.greatest(F.lit(0.05), 1 - q_f - q_d))]
+    divergence = sum((F.when(p > 0, p * F.log(p / q)).otherwise(0.0) for p, q in cells), F.lit(0.0))
+    score = {m: (F.col(m) - usual[m]) / F.greatest(F.lit(LEAST_SD[m]), par(f"{m}_sd")) for m in ("slope", "residual")}
+    unknown = par("slope_b").isNull()
+    x = curves.withColumn("divergence", divergence)
+    why = F.concat_ws(
+        ",", F.when(unknown | (F.abs(score["slope"]) > EXTREME), "slope"), F.when(unknown | (score["residual"] > EXTREME), "residual"),
+        F.when(unknown | (2 * F.col("n_words") * F.col("divergence") > EXTREME_RATIO), "divergence"),
+    )
+    return x.select("doc", "key", *PROFILE, "slope", "residual", "divergence", F.when(why != "", why).alias("extreme"))
 
 
 def stuffed_pages(
-    docs: DataFrame, doc_id: str, text: str, lang: str, languages: Sequence[str] = LANGUAGES, share: float = 0.5
+    docs: DataFrame, doc_id: str, text: str, share: float = 0.5, languages: Sequence[str] = LANGUAGES, broadcast_rows: int = FLAGGED_ROWS
 ) -> DataFrame:
-    """(doc_id, stuffing_share, slope, residual, divergence) of the pages more than
-    ``share`` of whose text is keywords, links or tags.
+    """(doc_id, stuffing_share, slope, residual, divergence, extreme) of the pages whose
+    rank-frequency curve or divergence is not that of prose and more than ``share`` of
+    whose text is keywords, links or tags.
+
+    The curves choose: a page with the slope, residual and divergence of same-language
+    prose of its length is never found, whatever its segments look like.  Tables and
+    lists of records aren't prose either; of the pages chosen an exact check, segment by
+    segment, over the whole text, tells them from stuffing (:func:`stuffing_share`).
+    What prose is like is fitted over all pages (:func:`prose_references`), so nothing
+    depends on how many pages there are or how many are stuffed.
 
-    Every page, whole, is checked segment by segment (:func:`stuffing_share`), which tells
-    stuffing from tables and lists of records; what the other pages are like has no say in
-    it.  The pages found are then described by their rank-frequency curve and their
-    divergence from the language they are nearest to, since labels may be missing or wrong.
+    Texts are never shuffled.  Which pages are chosen is broadcast up to
+    ``broadcast_rows``; beyond that the curves are folded once more in the rows.
 
     Defined cases: null texts, texts without a word and null ids give no row; repeated
     rows of a document give one row each; an empty table gives no rows.
     """
-    require(docs, doc_id, text, lang)
+    require(docs, doc_id, text)
     docs = spread(docs)
-    checked = F.pandas_udf(lambda s: s.map(stuffing_share).astype("float64"), "double")
-    found = cut_lineage(
-        docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))
-        .filter(F.col("doc").isNotNull() & F.col("text").isNotNull())
-        .withColumn("stuffing_share", checked("text"))
-        .filter(F.col("stuffing_share") > share)
-    )
-    references = cut_lineage(language_references(docs, text, lang, languages))
-    # a page delivered again has the same curve
-    curves = rank_frequency(found.select("doc", "text").distinct(), "doc", "text", references, languages)
-    return found.join(curves, "doc").select(F.col("doc").alias(doc_id), "stuffing_share", "slope", "residual", "divergence")
+    pages = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).dropna()
+    curves = cut_lineage(rank_frequency(page_profiles(pages, languages)))
+    references = prose_references(curves).collect()  # a row a language and one
+    told = ["slope", "residual", "divergence", "extreme"]
+    flagged = extremes(curves, references).filter(F.col("extreme").isNotNull()).select("doc", "key", *told)
+    if is_small(flagged.select("doc", "key"), broadcast_rows):
+        chosen = pages.withColumn("key", F.xxhash64("text")).join(F.broadcast(flagged), ["doc", "key"])
+    else:
+        # the fold loses the text, so it is carried along as a struct with the id
+        carried = pages.select(F.struct("doc", "text").alias("doc"), "text")
+        again = extremes(curve_in_row(page_profiles(carried, languages)), references)
+        chosen = again.filter(F.col("extreme").isNotNull()).select("doc.doc", "doc.text", *told)
+    # not to be evaluated below the join, on pages that no curve has chosen
+    checked = F.pandas_udf(lambda s: s.map(stuffing_share).astype("float64"), "double").asNondeterministic()
+    found = chosen.withColumn("stuffing_share", checked("text")).filter(F.col("stuffing_share") > share)
+    return found.select(F.col("doc").alias(doc_id), "stuffing_share", *told)
+
+
+def page_curves(docs: DataFrame, doc_id: str, text: str, languages: Sequence[str] = LANGUAGES) -> DataFrame:
+    """(doc_id, n_words, n_types, slope, residual) of every page with a word."""
+    require(docs, doc_id, text)
+    pages = spread(docs).select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).dropna()
+    return rank_frequency(page_profiles(pages, languages)).select(F.col("doc").alias(doc_id), "n_words", "n_types", "slope", "residual")

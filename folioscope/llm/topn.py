@@ -7,8 +7,14 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.internal import InternalFunction
+from pyspark.sql import DataFrame, Window as W, functions as F
+
+try:  # a bounded queue per group as an aggregate; not part of the public interface
+    from pyspark.sql.internal import InternalFunction
+
+    collect_top_k = InternalFunction.collect_top_k
+except (ImportError, AttributeError):
+    collect_top_k = None
 
 from ..operators.common import require
 
@@ -74,12 +80,13 @@ def top_n(
     n: int,
     buffer_rows: int = BUFFER_ROWS,
     state_rows: int = STATE_ROWS,
+    merge: str = "queue",
 ) -> DataFrame:
     """Per group the ``n`` records with the greatest ``score``; equal scores go to the
     smaller ``ties``, in order, then the smaller ``record_id``.
 
-    Before the shuffle every task keeps a heap of at most n records per group, in
-    which a record delivered again takes no second place, and hands it on whenever
+    Before the shuffle every task keeps at most n records per group (a buffer that is cut
+    back to the best n whenever it has doubled, which costs what a heap costs), in which a record delivered again takes no second place, and hands it on whenever
     its heaps together exceed ``state_rows``; so of a group with any number of rows at
     most n leave a task at a time, and a task's memory is bounded however many groups
     it meets.  The shuffle moves those only.  After it copies of a record from several
@@ -91,37 +98,45 @@ def top_n(
     Defined cases: rows with a null score or a null record_id are left out; a null in
     a group column makes a group of its own; null ties come after all others; a group
     with fewer records gives fewer; an empty table gives no rows; other columns are
-    ignored.  ``score`` must be an integer type.
+    ignored.  ``score`` is of a numeric type; a NaN is no score and is left out like null.
+
+    The heaps are merged by a bounded queue where Spark offers one, else by a window whose
+    ranks beyond n Spark drops before and after the shuffle; both give the same rows.
     """
     require(df, *group_by, score, *ties, record_id)
     if n < 1:
         raise ValueError("n must be positive")
-    if df.schema[score].dataType.typeName() not in ("byte", "short", "integer", "long"):
-        raise ValueError("the score must be of an integer type")
+    kind = df.schema[score].dataType.typeName()
+    if kind not in ("byte", "short", "integer", "long", "float", "double", "decimal"):
+        raise ValueError("the score must be of a numeric type")
     gs, ts = [f"g{i}" for i in range(len(group_by))], [f"t{i}" for i in range(len(ties))]
-    rows = df.filter(F.col(score).isNotNull() & F.col(record_id).isNotNull()).select(
+    usable = F.col(score).isNotNull() & F.col(record_id).isNotNull()
+    if kind in ("float", "double"):
+        usable = usable & ~F.isnan(score)
+    rows = df.filter(usable).select(
         *[F.col(c).alias(g) for c, g in zip(group_by, gs)],
-        F.col(score).cast("long").alias("score"),
+        F.col(score).alias("score"),
         *[F.col(c).alias(t) for c, t in zip(ties, ts)],
         F.col(record_id).alias("id"),
     )
     heaps = rows.mapInArrow(_partial_heaps(len(gs), len(ts), n, buffer_rows, state_rows), rows.schema)
-    # smaller is better: ~x = -x - 1 reverses integers without overflow
-    key = F.struct(
-        F.bitwise_not("score").alias("s"),
-        *[x for t in ts for x in (F.col(t).isNull().alias(f"n_{t}"), F.col(t).alias(t))],
-        F.col("id"),
-    )
-    merged = (
-        heaps.repartition(*gs)
-        .dropDuplicates([*gs, "id"])
-        .groupBy(*gs)
-        .agg(F.sort_array(InternalFunction.collect_top_k(key, n, True)).alias("h"))
-    )
-    return merged.select(*gs, F.posexplode("h").alias("p", "x")).select(
-        *[F.col(g).alias(c) for c, g in zip(group_by, gs)],
-        (F.col("p") + 1).alias("rank"),
-        F.bitwise_not("x.s").alias(score),
-        *[F.col(f"x.{t}").alias(c) for c, t in zip(ties, ts)],
-        F.col("x.id").alias(record_id),
+    heaps = heaps.repartition(*gs).dropDuplicates([*gs, "id"])
+    if collect_top_k and merge == "queue":
+        # smaller is better: ~x = -x - 1 reverses integers without overflow
+        whole = kind in ("byte", "short", "integer", "long")
+        key = F.struct(
+            (F.bitwise_not("score") if whole else -F.col("score")).alias("s"),
+            *[x for t in ts for x in (F.col(t).isNull().alias(f"n_{t}"), F.col(t).alias(t))],
+            F.col("id"), F.col("score").alias("score"),
+        )
+        merged = heaps.groupBy(*gs).agg(F.sort_array(collect_top_k(key, n, True)).alias("h"))
+        ranked = merged.select(*gs, F.posexplode("h").alias("p", "x")).select(
+            *gs, (F.col("p") + 1).alias("rank"), "x.score", *[F.col(f"x.{t}").alias(t) for t in ts], "x.id"
+        )
+    else:
+        order = [F.col("score").desc(), *[F.col(t).asc_nulls_last() for t in ts], F.col("id").asc()]
+        ranked = heaps.withColumn("rank", F.row_number().over(W.partitionBy(*gs).orderBy(*order))).filter(F.col("rank") <= n)
+    return ranked.select(
+        *[F.col(g).alias(c) for c, g in zip(group_by, gs)], "rank", F.col("score").alias(score),
+        *[F.col(t).alias(c) for c, t in zip(ties, ts)], F.col("id").alias(record_id),
     )

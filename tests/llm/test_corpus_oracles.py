@@ -45,7 +45,7 @@ def test_leaks_equal_brute_force(spark, con):
     assert leaked(clean.drop("n_removed"), "doc_id", "text", spark.createDataFrame(items, "item_id long, text string"), "item_id", "text").count() == 0
 
 
-def test_the_curves_lose_no_stuffed_page(spark, con):
+def test_the_curves_lose_no_stuffed_page_of_the_tables(spark, con):
     docs = con.execute("SELECT doc_id, text FROM documents WHERE text IS NOT NULL").fetchall()
     want = {d for d, t in docs if stuffing_share(t) > 0.5}
     assert {r.doc_id for r in Q.QUERIES["p9_found"](spark, SF).collect()} == want

@@ -1,11 +1,13 @@
 import random
 import unicodedata
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from folioscope.llm.leakage import leaked, located_words, remove_leaks, words
-from folioscope.llm.mixing import DEFAULT_VOCABULARY, count_tokens, encoder, mix
+from folioscope.llm.mixing import count_tokens, encoder, mix, tilted
+from folioscope.llm.queries import VOCABULARY
 
 ITEM = "Between 1975 and day 541, James Ralbru sold 44 units of Koscle to Nisost for cash."
 FULL = "".join(chr(ord(c) + 0xFEE0) if "!" <= c <= "~" else c for c in ITEM)
@@ -59,6 +61,15 @@ def test_removal_keeps_the_rest(spark):
     assert got[2] == ("nothing", 0) and got[None] == (None, 0)
 
 
+def test_the_size_of_a_block_changes_no_removal(spark):
+    ws = [f"w{i}" for i in range(40)]
+    items = [(1, " ".join(ws[:18])), (2, " ".join(ws[12:30])), (3, "x y z")]
+    df = spark.createDataFrame([(1, "before " + " ".join(ws) + " after"), (2, "clean")], "doc long, text string")
+    b = spark.createDataFrame(items, "i int, t string")
+    out = [sorted(map(tuple, remove_leaks(df, "doc", "text", b, "t", block_words=k).collect())) for k in (10**6, 18, 1)]
+    assert out[0] == out[1] == out[2] == [(1, "before " + " ".join(["", *ws[30:]]) + " after", 30), (2, "clean", 0)]
+
+
 def test_leaks_of_nothing(spark):
     df = spark.createDataFrame([], "doc long, text string")
     assert leaked(df, "doc", "text", df, "doc", "text").count() == 0
@@ -67,7 +78,7 @@ def test_leaks_of_nothing(spark):
 def mixture(spark, docs, targets, **k):
     a = spark.createDataFrame(docs, "doc long, source string, text string").withColumn("copies", F.lit("clash")).repartition(3)
     b = spark.createDataFrame(targets, "source string, target_share double, max_repeats int")
-    copies, report = mix(a, "doc", "source", "text", b, **k)
+    copies, report = mix(a, "doc", "source", "text", b, VOCABULARY, **k)
     return copies.collect(), {x.source: x for x in report.collect()}
 
 
@@ -94,7 +105,34 @@ def test_mixture_reaches_its_shares(spark):
     assert sorted((x.doc, x.copies) for x in again) == sorted((x.doc, x.copies) for x in copies)
 
 
-def test_rates_are_exponential_within_a_band(spark):
+def test_tilt_meets_its_constraint_or_raises(monkeypatch):
+    r = np.random.default_rng(1)
+    t, n = np.unique(r.integers(1, 3000, 400)).astype(float), None
+    n = r.integers(1, 50, len(t)).astype(float)
+    whole = (n * t).sum()
+    for part in (0.001, 0.2, 1.0, 1.7, 2.9999):
+        rate = tilted(t, n, part * whole, 3)
+        assert abs((n * rate * t).sum() / (part * whole) - 1) < 1e-8 and rate.max() <= 3
+        free = rate < 3
+        if free.sum() > 2:  # an exponential in the tokens
+            slope = np.log(rate[free]) / t[free]
+            assert np.allclose(slope, slope[0], rtol=1e-6, atol=1e-12)
+    assert (tilted(t, n, 3 * whole, 3) == 3).all()
+    monkeypatch.setattr("folioscope.llm.mixing.STEPS", 2)
+    with pytest.raises(RuntimeError):
+        tilted(t, n, 0.001 * whole, 3)
+
+
+@pytest.mark.parametrize("part_rows", [250_000, 10])
+def test_parts_of_a_size_and_bands_keep_shares(spark, part_rows):
+    docs = [(i, s, "word " * n) for i, (s, n) in enumerate([("a", 7)] * 300 + [("a", 40)] * 20 + [("b", 5)] * 200)]
+    for bands in (None, 4):
+        copies, report = mixture(spark, docs, [("a", 0.6, 3), ("b", 0.4, 1)], part_rows=part_rows, bands_per_octave=bands)
+        assert abs(report["a"].actual_share - 0.6) < 0.01 and report["b"].copies == 200
+        assert all(x.copies <= 3 for x in copies)
+
+
+def test_rates_are_exponential(spark):
     import math
 
     docs = [(i, s, "word " * n) for i, (s, n) in enumerate([("a", 23), ("a", 24), ("a", 25)] * 40 + [("b", 5)] * 40)]
@@ -116,6 +154,6 @@ def test_mixture_edges(spark):
 def test_tokens(spark):
     texts = ["", None, "The filer's 3 reports.", "é" * 3000, "<|endoftext|>"]
     df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
-    e = encoder(DEFAULT_VOCABULARY)
-    assert {x.i: x.n_tokens for x in count_tokens(df, "t", ["i"]).collect()} == {i: len(e.encode_ordinary(t or "")) for i, t in enumerate(texts)}
+    e = encoder(VOCABULARY)
+    assert {x.i: x.n_tokens for x in count_tokens(df, "t", ["i"], VOCABULARY).collect()} == {i: len(e.encode_ordinary(t or "")) for i, t in enumerate(texts)}
     assert e.decode(e.encode_ordinary(texts[2])) == texts[2] and unicodedata

@@ -4,8 +4,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from folioscope.llm.names import EDITS, allowed, given_cost, link_names, listed, osa, probe_keys, readings, resolve_filers, segment_keys, similar_keys
-from folioscope.llm.spam import stuffed_pages, stuffing_share
+from folioscope.llm.names import allowed, candidates, given_cost, link_names, listed, osa, readings, resolve_filers, same_given, similar_given, similar_keys
+from folioscope.llm.spam import FUNCTION, curve_in_row, page_profiles, rank_frequency, stuffed_pages, stuffing_share
 
 
 def lev(a, b):
@@ -17,16 +17,37 @@ def lev(a, b):
     return row[-1]
 
 
-def test_segment_join_equals_brute_force(spark):
+@pytest.mark.parametrize("letters,steps", [("abc", ((7, 2), (5, 1))), ("ab", ((6, 2), (3, 1)))])
+def test_segment_join_equals_brute_force(spark, letters, steps):
     r = random.Random(8)
-    left = ["".join(r.choice("abc") for _ in range(r.randrange(1, 11))) for _ in range(120)] + [""]
-    right = ["".join(r.choice("abc") for _ in range(r.randrange(1, 11))) for _ in range(120)]
-    for a in left[:-1]:
-        for b in right:
-            if lev(a, b) <= EDITS:
-                assert set(probe_keys(a)) & set(segment_keys(b)), (a, b)
-    got = similar_keys(spark.createDataFrame([(x,) for x in left], "s string"), spark.createDataFrame([(x,) for x in right], "k string"))
-    assert {tuple(x) for x in got.collect()} == {(a, b) for a in left for b in right if lev(a, b) <= EDITS}
+    left = ["".join(r.choice(letters) for _ in range(r.randrange(1, 11))) for _ in range(120)] + [""]
+    right = ["".join(r.choice(letters) for _ in range(r.randrange(1, 11))) for _ in range(120)] + ["", "x" * 3000]
+    got = similar_keys(spark.createDataFrame([(x,) for x in left], "s string"), spark.createDataFrame([(x,) for x in right], "k string"), steps)
+    want = {(a, b) for a in left for b in right if a and b and (osa(a, b, e) <= e if (e := allowed(len(a), steps)) else a == b)}
+    assert {tuple(x) for x in got.collect()} == want
+
+
+def test_first_names_equal_brute_force(spark):
+    r = random.Random(13)
+    known = ["robert", "katherine", "kate", "jo", "joseph", "liz", "elizabeth", "ann", "anna", "theodore", "carmen", "bill", "al"]
+    typed = known + ["bob", "rob", "kat", "eliz", "joe", "ted", "ned", "will", "alexander", "carrnen"]
+    for x in known:
+        for _ in range(6):
+            i = r.randrange(len(x))
+            typed.append(r.choice([x[:i] + x[i + 1 :], x[:i] + x[i : i + 2][::-1] + x[i + 2 :], x[:i] + r.choice("aeor") + x[i:], x[: i + 1]]))
+    got = similar_given(spark.createDataFrame([(x,) for x in typed], "t string"), spark.createDataFrame([(x,) for x in known], "m string"))
+    assert {tuple(x) for x in got.collect()} == {(a, b) for a in typed for b in known if len(a) > 1 and len(b) > 1 and same_given(a, b) is not None}
+
+
+def test_a_common_surname_does_not_pair_all_who_bear_it(spark):
+    r = random.Random(14)
+    firsts = ["".join(r.choice("bcdfghklmnprstvz") + r.choice("aeiou") for _ in range(4)) for _ in range(300)]
+    read = spark.createDataFrame([(f"{f} smithson", "smithson", [f]) for f in firsts], "n string, s string, g array<string>")
+    index = spark.createDataFrame([(f"e{i}", "smithson", [f], 0) for i, f in enumerate(firsts)], "e string, k string, m array<string>, c int")
+    got = candidates(read, index)
+    n = got.count()
+    assert n < 3 * len(firsts)  # of 90,000 pairs
+    assert got.filter("g = m").select("n").distinct().count() == len(set(firsts))
 
 
 def test_banded_distance():
@@ -68,7 +89,7 @@ ALIASES = [
 def test_filers(spark, name, chamber, year, want):
     filings = spark.createDataFrame([("r", name, chamber, dt.date(year, 6, 1))] * 2, "r string, n string, chamber string, d date").withColumn("salt", F.lit("clash"))
     aliases = spark.createDataFrame(ALIASES, "alias string, chamber string, f date, t date, who string")
-    got = resolve_filers(filings, "r", "n", "chamber", "d", aliases, "alias", "who", "f", "t").collect()
+    got = resolve_filers(filings, "r", "n", "chamber", "d", aliases, "alias", "who", "f", "t", hot_rows=year % 2).collect()
     assert [x.who for x in got] == ([want] if want else [])
 
 
@@ -112,23 +133,63 @@ def test_stuffed_pages(spark):
 
     docs = [(i, page(), "en") for i in range(300)] + [(1000 + i, t, r.choice(["en", None, "xx"])) for i, t in enumerate(SPAM)] + [(2000 + i, t, "en") for i, t in enumerate(FAIR)] + [(None, SPAM[0], "en")]
     df = spark.createDataFrame(docs, "doc long, text string, lang string").withColumn("slope", F.lit("clash"))
-    got = {x.doc for x in stuffed_pages(df, "doc", "text", "lang").collect()}
+    got = {x.doc for x in stuffed_pages(df, "doc", "text").collect()}
     assert got == {1000 + i for i in range(len(SPAM))}
-    assert stuffed_pages(df.limit(0), "doc", "text", "lang").count() == 0
+    assert stuffed_pages(df.limit(0), "doc", "text").count() == 0
 
 
 def test_a_stuffed_page_with_copies_on_a_third_of_the_rows(spark):
     r = random.Random(11)
     prose = [(i, " ".join(f"A report of {r.randrange(999)} pages came late because nobody asked the {r.choice(['clerk', 'panel', 'owner'])} for it." for _ in range(7)), "en") for i in range(240)]
     copies = [(1000 + i, SPAM[0], "en") for i in range(120)]
-    got = {x.doc for x in stuffed_pages(spark.createDataFrame(prose + copies, "doc long, text string, lang string"), "doc", "text", "lang").collect()}
+    got = {x.doc for x in stuffed_pages(spark.createDataFrame(prose + copies, "doc long, text string, lang string"), "doc", "text").collect()}
     assert got == {d for d, _, _ in copies}
 
 
+TERMS = [
+    "The buyer shall pay the seller what the buyer owes the seller.", "A seller who sells to a buyer owes that buyer a note of what the seller sells.",
+    "If the agent of the seller fails, the seller and not the agent pays the buyer.", "No agent may act for the buyer where the agent acts for the seller.",
+    "The note is due when the buyer has it, and the buyer has it when the agent gives the note to the buyer.",
+]
+
+
+def test_the_curves_decide(spark):
+    """Terms that recur in every sentence look stuffed to the check of segments; their
+    curve is that of prose, so the page isn't found."""
+    r = random.Random(15)
+    legal = " ".join(TERMS)
+    assert stuffing_share(legal) > 0.5
+    nouns = [a + b for a in ("fil", "trad", "not", "pan", "rul", "mark", "own", "vot") for b in ("er", "ing", "el", "or", "ard", "ess")]
+    forms = ["The {} of the {} met and the {} was read to a {}.", "If a {} fails, the {} and not the {} is held by the {}.", "No {} may act for the {} where it acts for a {}.", "A {} who is late owes the {} a {} for what was due."]
+
+    def page():
+        few = r.sample(nouns, r.randrange(3, 30))
+        return " ".join(r.choice(forms).format(*[r.choice(few) for _ in range(4)]) for _ in range(r.randrange(3, 20)))
+
+    docs = [(i, page()) for i in range(400)] + [(1000, legal), (1001, SPAM[0]), (1002, SPAM[3])]
+    df = spark.createDataFrame(docs, "doc long, text string")
+    for broadcast_rows in (1000, -1):
+        got = {x.doc: x.extreme for x in stuffed_pages(df, "doc", "text", broadcast_rows=broadcast_rows).collect()}
+        assert 1000 not in got and {1001, 1002} <= set(got) and all(got.values())
+
+
+def test_the_curve_in_a_row_is_the_curve_by_windows(spark):
+    docs = [(i, t) for i, t in enumerate([*SPAM, *FAIR, "a", "a a a", "a b c", "Der Rat hat die Akte und das Buch."]) if t]
+    profiles = page_profiles(spark.createDataFrame(docs, "doc long, text string"))
+    a, b = ({x.doc: (x.n_words, x.n_types, x.lang, round(x.slope, 9), round(x.residual, 9)) for x in f(profiles).collect()} for f in (rank_frequency, curve_in_row))
+    assert a == b and len(a) == len(docs) and a[max(a)][2] == "de"
+    assert set(FUNCTION) == {"en", "es", "de", "fr"}
+
+
+def test_hosts_of_any_name_are_links():
+    for end in ("example", "shop", "museum"):
+        assert stuffing_share("\n".join(f"- best-pills{i}.{end}" for i in range(20))) > 0.5
+
+
 def test_the_number_of_pages_decides_nothing(spark):
     def found(times):
         docs = [(i, t, "en") for i, t in enumerate([SPAM[0]] * 4 * times + [PROSE * 4] * times)]
-        return stuffed_pages(spark.createDataFrame(docs, "doc long, text string, lang string"), "doc", "text", "lang").count()
+        return stuffed_pages(spark.createDataFrame(docs, "doc long, text string, lang string"), "doc", "text").count()
 
     assert found(5) == 20 and found(50) == 200
 
@@ -144,7 +205,7 @@ def test_swapped_letters_are_searched_as_they_are_verified(spark):
         return x
 
     typed = [mistyped(x) for x in known for _ in range(3)]
-    got = similar_keys(spark.createDataFrame([(x,) for x in typed], "s string"), spark.createDataFrame([(x,) for x in known], "k string"), swaps=True)
+    got = similar_keys(spark.createDataFrame([(x,) for x in typed], "s string"), spark.createDataFrame([(x,) for x in known], "k string"))
     want = {(a, b) for a in typed for b in known if (osa(a, b, allowed(len(a))) <= allowed(len(a)) if allowed(len(a)) else a == b)}
     assert {tuple(x) for x in got.collect()} == {x for x in want if x[0]}
 

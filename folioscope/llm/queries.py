@@ -195,8 +195,16 @@ WITH a AS (
   FROM c WINDOW g AS (PARTITION BY cik, period_end)
 )
 """
+_GRAMS = r"""
+WITH x AS (SELECT string_agg(chr(CAST(65281 + i AS INT)), '' ORDER BY i) AS wide, string_agg(chr(CAST(33 + i AS INT)), '' ORDER BY i) AS narrow FROM range(94) r(i)),
+t AS (SELECT 'd' AS k, doc_id AS id, text FROM documents WHERE text IS NOT NULL UNION ALL SELECT 'i', item_id, text FROM eval_items WHERE text IS NOT NULL),
+w AS (SELECT k, id, regexp_extract_all(lower(translate(regexp_replace(regexp_replace(regexp_replace(text, '</?a(\s[^<>]*)?>', '', 'g'), '<[^<>]*>', ' ', 'g'),
+  '[\x{ad}\x{200b}-\x{200f}\x{2060}\x{feff}]', '', 'g'), wide, narrow)), '[\p{L}\p{N}]+') AS ws FROM t, x),
+g AS (SELECT k, id, array_to_string(ws[p : p + 11], ' ') AS gram FROM (SELECT k, id, ws, unnest(range(1, len(ws) - 10)) AS p FROM w WHERE len(ws) >= 12))
+"""
 
 SQL = {
+    "p7_found": _GRAMS + "SELECT DISTINCT d.id AS doc_id, i.id AS item_id FROM g d JOIN g i USING (gram) WHERE d.k = 'd' AND i.k = 'i'",
     "p3_found": _TOP + "SELECT period, issuer_name, row_id FROM k WHERE rank <= 3",
     "p3_top": _TOP + "SELECT period, issuer_name, rank, value_usd, cik, row_id FROM k WHERE rank <= 3",
     "p5_found": _RECORDS

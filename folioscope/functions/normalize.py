@@ -134,12 +134,14 @@ def cusip(c: Column) -> Column:
 
 def cusip_check_ok(c: Column) -> Column:
     """Whether the ninth sign is the check digit of the eight before it: every second
-    value doubled, the digits of all summed."""
+    value doubled, the digits of all summed.  Digits count as they are, letters from 10,
+    and the fill signs ``* @ #`` are 36 to 38."""
     signs = F.transform(F.sequence(F.lit(1), F.lit(8)), lambda i: F.substr(c, i, F.lit(1)))
-    number = lambda s: F.when(s.rlike("[0-9]"), s.try_cast("int")).otherwise(F.ascii(s) - 55)
+    letter = lambda s: F.when(s == "*", 36).when(s == "@", 37).when(s == "#", 38).otherwise(F.ascii(s) - 55)
+    number = lambda s: F.when(s.rlike("[0-9]"), s.try_cast("int")).otherwise(letter(s))
     doubled = F.transform(signs, lambda s, i: number(s) * F.when(i % 2 == 1, 2).otherwise(1))
     total = F.aggregate(doubled, F.lit(0), lambda a, x: a + F.floor(x / 10).cast("int") + x % 10)
-    return F.when(c.rlike("^[0-9A-Z]{8}[0-9]$"), (10 - total % 10) % 10 == F.substring(c, 9, 1).try_cast("int"))
+    return F.when(c.rlike("^[0-9A-Z*@#]{8}[0-9]$"), (10 - total % 10) % 10 == F.substring(c, 9, 1).try_cast("int"))
 
 
 def issuer_name(c: Column) -> Column:
@@ -225,20 +227,37 @@ def cover_tolerance(total: Column) -> Column:
 
 
 def money_text(c: Column) -> Column:
-    """$1.5K, $2.3M, $4B: one decimal, cut, none if zero."""
+    """$999, $1.5K, $230M, $4.0B, $1.2T: one decimal, none from 100 on; losses with a minus."""
+    size, sign = F.abs(c).cast("decimal(20,0)"), F.when(c < 0, "−").otherwise("")
+
+    def scaled(div: int, unit: str) -> Column:
+        v = size / F.lit(div)
+        text = F.when(v >= 100, F.round(v, 0).cast("long").cast("string")).otherwise(F.round(v, 1).cast("decimal(38,1)").cast("string"))
+        return F.concat(sign, F.lit("$"), text, F.lit(unit))
+
+    return (
+        F.when(size >= 10**12, scaled(10**12, "T")).when(size >= 10**9, scaled(10**9, "B")).when(size >= 10**6, scaled(10**6, "M"))
+        .when(size >= 1000, scaled(1000, "K")).otherwise(F.concat(sign, F.lit("$"), size.cast("string")))
+    )
+
+
+def bound_text(c: Column) -> Column:
+    """A bound of an amount in K or M, with one decimal only where it isn't whole."""
     def scaled(div: int, unit: str) -> Column:
-        tenths = F.floor(c / (div // 10)).cast("long")
-        return F.concat(F.lit("$"), F.floor(tenths / 10).cast("string"), F.when(tenths % 10 != 0, F.concat(F.lit("."), (tenths % 10).cast("string"))).otherwise(""), F.lit(unit))
+        v = F.round(c.cast("decimal(20,0)") / F.lit(div), 1)
+        return F.concat(F.lit("$"), F.regexp_replace(v.cast("decimal(38,1)").cast("string"), r"\.0$", ""), F.lit(unit))
 
-    return F.when(c >= 10**9, scaled(10**9, "B")).when(c >= 10**6, scaled(10**6, "M")).when(c >= 1000, scaled(1000, "K")).otherwise(F.concat(F.lit("$"), c.cast("string")))
+    return F.when(c >= 10**6, scaled(10**6, "M")).otherwise(scaled(1000, "K"))
 
 
 def range_text(low: Column, high: Column) -> Column:
+    """A range between printed boundaries: a floor of $X+1 shows as $X."""
+    floor = F.when(low % 1000 == 1, low - 1).otherwise(low)
     return (
         F.when(low.isNull() & high.isNull(), F.lit(None).cast("string"))
-        .when(high.isNull(), F.concat(F.lit("Over "), money_text(low)))
-        .when(low.isNull(), F.concat(F.lit("Under "), money_text(high)))
-        .otherwise(F.concat_ws("–", money_text(low), money_text(high)))
+        .when(high.isNull(), F.concat(F.lit("Over "), bound_text(floor)))
+        .when(low.isNull(), F.concat(F.lit("Under "), bound_text(high)))
+        .otherwise(F.concat_ws("–", bound_text(floor), bound_text(high)))
     )
 
 
@@ -251,6 +270,61 @@ def earliest_term(terms: Column) -> Column:
     return F.array_min(F.transform(terms, lambda t: t["start"]))
 
 
-def row_fingerprint(*columns: Column) -> Column:
-    """SHA-256 over a canonical JSON object of the columns (flat strings and nulls)."""
-    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+def row_fingerprint(columns: dict[str, Column]) -> Column:
+    """SHA-256 over the canonical JSON object of the columns (flat strings and nulls, keys
+    in sorted order)."""
+    ordered = F.struct(*[columns[k].alias(k) for k in sorted(columns)])
+    return F.sha2(F.to_json(ordered, {"ignoreNullFields": "false"}), 256)
+
+
+def record_id(filing: Column, fingerprint: Column, nth: Column) -> Column:
+    """Identity of a row: its filing, 32 signs of its fingerprint, and a number from the
+    second equal row on."""
+    again = F.when(nth > 1, F.concat(F.lit("#"), nth.cast("string"))).otherwise("")
+    return F.concat(filing, F.lit(":"), F.substring(fingerprint, 1, 32), again)
+
+
+def provisional_security(kind: Column, value: Column) -> Column:
+    """A security's id derived from the identifier it is first known by."""
+    return F.concat(F.lit("sec:prov:"), F.substring(row_fingerprint({"id_type": kind, "value": value}), 1, 32))
+
+
+def capital_gains(c: Column, present: Column) -> Column:
+    """struct<over, flag>: null where the form has no such column, 0 for an empty cell, 1
+    for a tick, null and flagged for anything else."""
+    t = F.trim(F.coalesce(c, F.lit("")))
+    ticked = F.lower(t).isin("x", "☑", "☒", "✓", "✔", "yes", "true", "gfedcb")
+    over = F.when(~present, F.lit(None).cast("int")).when(t == "", 0).when(ticked, 1)
+    return F.struct(over.alias("over"), F.when(present & (t != "") & ~ticked, "cap_gains_unparsed").alias("flag"))
+
+
+def utc_instant(c: Column) -> Column:
+    """An ISO instant with any offset as UTC text; without an offset it is UTC already;
+    null if it is none."""
+    t = F.trim(c)
+    ok = t.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?)?$")
+    zoned = F.when(t.rlike(r"(Z|[+-]\d{2}:?\d{2})$") & t.rlike(r"[T ]"), t).otherwise(F.concat(F.when(F.length(t) == 10, F.concat(t, F.lit("T00:00:00"))).otherwise(t), F.lit("Z")))
+    return F.when(ok, F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.try_to_timestamp(F.regexp_replace(zoned, " ", "T")).cast("timestamp_ntz")), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+
+
+def year_band(year: Column) -> Column:
+    """The fixed bands of filing years; a year outside them is an error."""
+    band = F.when(year.between(2012, 2015), "2012-2015").when(year.between(2016, 2019), "2016-2019").when(year.between(2020, 2023), "2020-2023").when(year.between(2024, 2039), "2024+")
+    return F.when(year.isNotNull(), F.coalesce(band, F.raise_error(F.concat(F.lit("year out of range: "), year.cast("string"))).cast("string")))
+
+
+def seed_id(c: Column) -> Column:
+    """struct<chamber, key, kind, row> of a seed record's id such as ``house-123-ptr-4``."""
+    at = lambda i: F.nullif(F.regexp_extract(c, r"^(house|senate)[-_:]([^-_:]+)(?:[-_:]([a-z]+))?(?:[-_:](\d+))?$", i), F.lit(""))
+    return F.when(c.rlike(r"^(house|senate)[-_:]"), F.struct(at(1).alias("chamber"), at(2).alias("key"), at(3).alias("kind"), at(4).cast("int").alias("row")))
+
+
+def page_ticker(c: Column) -> Column:
+    """A ticker as pages show it: trimmed, white space inside kept; blank is null."""
+    return F.nullif(F.trim(c), F.lit(""))
+
+
+def yes_no(c: Column) -> Column:
+    """true or false as printed; anything else is null."""
+    t = F.lower(F.trim(c))
+    return F.when(t == "true", True).when(t == "false", False)

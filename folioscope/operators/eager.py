@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import require
+from .common import cut_lineage, require
 
 WIDE = "decimal(38,0)"
 
@@ -72,7 +72,11 @@ def eager_join_aggregate(
         [F.col(c).alias(f"_j{i}") for i, c in enumerate(join_keys)],
         "_nr", right_sums, "r",
     )
-    joined = ls.join(rs, [f"_j{i}" for i in range(len(join_keys))], "left")
+    # states without a key match nothing; they don't go to one partition of the join
+    names = [f"_j{i}" for i in range(len(join_keys))]
+    keyed = ~F.exists(F.array(*[F.col(k).isNull() for k in names]), lambda x: x)
+    bare = ls.filter(~keyed).select("*", *[F.lit(None).cast(rs.schema[c].dataType).alias(c) for c in rs.columns if c not in names])
+    joined = ls.filter(keyed).join(rs, names, "left").unionByName(bare)
     times = F.coalesce(F.col("_nr"), F.lit(1).cast(WIDE))
     total = lambda c: F.sum(c.cast(WIDE))
     return joined.groupBy(*[F.col(f"_g{i}").alias(c) for i, c in enumerate(group_by)]).agg(
@@ -88,9 +92,10 @@ def eager_join_aggregate(
 
 def heavy_groups(per_group: DataFrame, count: str, numerator: int, denominator: int) -> DataFrame:
     """The groups whose ``count`` is at least ``numerator / denominator`` of the sum
-    over all groups, compared in whole numbers.  The total is a scalar subquery over
-    the same compact states."""
+    over all groups, compared in whole numbers.  The groups, a row each, are written once,
+    so that the total doesn't reduce the records a second time."""
     if numerator < 0 or denominator <= 0:
         raise ValueError("a share is a non-negative fraction")
+    per_group = cut_lineage(per_group)
     total = per_group.agg(F.sum(F.col(count)).cast(WIDE).alias("t")).scalar()
     return per_group.filter(F.col(count).cast(WIDE) * denominator >= total * numerator)

@@ -58,17 +58,23 @@ def restatement_survivors(filings: DataFrame) -> DataFrame:
     return latest.filter(F.col("_latest").isNull() | F.col("filed_date").isNull() | (_order() >= F.col("_latest"))).drop("_latest")
 
 
-def suppress_affiliates(survivors: DataFrame) -> DataFrame:
-    """Without filings whose file number another survivor of the period names among its
-    other managers."""
-    edges = survivors.select(
-        F.col("period_of_report").alias("e_period"), F.col("filing_key").alias("e_key"), F.explode("other_managers").alias("m")
-    ).select("e_period", "e_key", F.col("m.file_number_norm").alias("e_number")).filter(F.col("e_number").isNotNull())
-    return survivors.join(
-        edges,
-        (F.col("period_of_report") == F.col("e_period")) & (F.col("file_number_norm") == F.col("e_number")) & (F.col("filing_key") != F.col("e_key")),
-        "left_anti",
+def mark_affiliates(survivors: DataFrame) -> DataFrame:
+    """``survivors`` with ``affiliated``: whether another survivor of the period names the
+    filing's file number among its other managers.  One row a period and number is joined,
+    with who names it, so the join is on equal keys alone."""
+    named = (
+        survivors.select(F.col("period_of_report").alias("_p"), "filing_key", F.explode("other_managers").alias("m"))
+        .select("_p", "filing_key", F.col("m.file_number_norm").alias("_n")).filter(F.col("_n").isNotNull())
+        .groupBy("_p", "_n").agg(F.min("filing_key").alias("_a"), F.max("filing_key").alias("_z"))
     )
+    other = (F.col("_a") != F.col("filing_key")) | (F.col("_z") != F.col("filing_key"))
+    j = survivors.join(named, (F.col("period_of_report") == F.col("_p")) & (F.col("file_number_norm") == F.col("_n")), "left")
+    return j.withColumn("affiliated", F.coalesce(other, F.lit(False))).drop("_p", "_n", "_a", "_z")
+
+
+def suppress_affiliates(survivors: DataFrame) -> DataFrame:
+    """Without the affiliated filings."""
+    return mark_affiliates(survivors).filter(~F.col("affiliated")).drop("affiliated")
 
 
 def within_tolerance(resolved: Column, total: Column) -> Column:
@@ -77,23 +83,26 @@ def within_tolerance(resolved: Column, total: Column) -> Column:
     return total.isNull() | (resolved - total <= F.greatest(F.lit(1000), F.expr("table_value_total_usd div 1000")))
 
 
-def covered(filings: DataFrame, holdings: DataFrame) -> DataFrame:
+def composed_filings(filings: DataFrame, holdings: DataFrame) -> DataFrame:
+    """The survivors with ``affiliated``, and ``within``: whether their resolved holdings
+    keep to the cover's total.  One pass over the holdings serves both populations."""
     resolved = (
-        holdings.filter(F.col("security_id").isNotNull()).groupBy("filing_key").agg(F.sum(F.col("value_usd").cast("decimal(38,0)")).alias("_resolved"))
+        holdings.filter(F.col("security_id").isNotNull() & F.col("filing_key").isNotNull())
+        .groupBy("filing_key").agg(F.sum(F.col("value_usd").cast("decimal(38,0)")).alias("_resolved"))
     )
-    joined = filings.join(resolved, "filing_key", "left")
     value = F.coalesce(F.col("_resolved"), F.lit(0).cast("decimal(38,0)"))
-    return joined.filter(within_tolerance(value, F.col("table_value_total_usd"))).drop("_resolved")
+    joined = mark_affiliates(restatement_survivors(filings)).join(resolved, "filing_key", "left")
+    return joined.withColumn("within", within_tolerance(value, F.col("table_value_total_usd"))).drop("_resolved")
 
 
 def default_filings(filings: DataFrame, holdings: DataFrame) -> DataFrame:
     """Survivors, affiliates counted once, within the cover's tolerance."""
-    return covered(suppress_affiliates(restatement_survivors(filings)), holdings)
+    return composed_filings(filings, holdings).filter(F.col("within") & ~F.col("affiliated")).drop("within", "affiliated")
 
 
 def filer_reported_filings(filings: DataFrame, holdings: DataFrame) -> DataFrame:
     """A filer's own book: as the default, without the suppression of affiliates."""
-    return covered(restatement_survivors(filings), holdings)
+    return composed_filings(filings, holdings).filter("within").drop("within", "affiliated")
 
 
 def is_amendment(submission: str = "submission_type", flag: str = "is_amendment") -> Column:

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .common import cut_lineage
-
 WIDE = "decimal(38,0)"
 GRAIN = ["cik", "period", "position_key", "put_call_bucket", "unit_key"]
 
@@ -37,59 +35,61 @@ def display_positions(rows: DataFrame) -> DataFrame:
     )
 
 
-def adjacent_periods(periods: DataFrame) -> DataFrame:
-    """(cik, prev_period, period): consecutive periods among those the filer filed for."""
+def period_calendar(periods: DataFrame) -> DataFrame:
+    """(cik, period, prev_period, next_period) among the periods a filer filed for, also
+    those whose filings hold no position: such a quarter parts its neighbours."""
     w = W.partitionBy("cik").orderBy("period")
-    return periods.select("cik", "period").dropna().distinct().withColumn("prev_period", F.lag("period").over(w)).filter(F.col("prev_period").isNotNull())
+    return periods.select("cik", "period").dropna().distinct().select("cik", "period", F.lag("period").over(w).alias("prev_period"), F.lead("period").over(w).alias("next_period"))
 
 
 def qoq_deltas(positions: DataFrame, periods: DataFrame) -> DataFrame:
-    """Position changes between a filer's consecutive periods.
+    """Position changes between a filer's consecutive periods, those of ``periods``.
 
     Matched in three passes: by the full grain; what is left by key and bucket where
     both sides are unique (the unit changed); what is left by CUSIP and bucket where
     both sides are unique and exactly one is a resolved security (the key changed).
-    The rest is new or gone.  Every position is put once on the current and once on the
-    preceding side of its pair of periods; passes are windows and aggregations over
-    that one set, so no pass joins tables.
+    The rest is new or gone.  Every position is put once on the current side of its
+    period and once on the preceding side of the next.  The first two passes are one
+    aggregation, which holds the few units of a key; only what it leaves is shuffled
+    again for the third, where rows without a CUSIP stand alone.
 
     Values of undisclosed positions are null, never zero; a missing position counts as
     zero.  Direction is by shares where units agree, else by value (flagged), else
     unclassified."""
-    pairs = adjacent_periods(periods)
-    state = F.struct("position_key", "unit_key", "value", "shares").alias("x")
-    keep = ["position_key", "put_call_bucket", "unit_key", "cusip", state]
-    cur = positions.join(pairs, ["cik", "period"]).select("cik", "period", "prev_period", F.lit(True).alias("now"), *keep)
-    old = positions.withColumnRenamed("period", "prev_period").join(pairs, ["cik", "prev_period"]).select("cik", "period", "prev_period", F.lit(False).alias("now"), *keep)
-    both = cur.unionByName(old)
+    x = F.struct("position_key", "unit_key", "value", "shares", "cusip")
+    now = F.when(F.col("prev_period").isNotNull(), F.struct("period", "prev_period", F.lit(True).alias("now")))
+    then = F.when(F.col("next_period").isNotNull(), F.struct(F.col("next_period").alias("period"), F.col("period").alias("prev_period"), F.lit(False).alias("now")))
+    sides = (
+        positions.join(period_calendar(periods), ["cik", "period"])
+        .select("cik", "position_key", "put_call_bucket", x.alias("x"), F.explode(F.array_compact(F.array(now, then))).alias("s"))
+        .select("cik", "s.*", "position_key", "put_call_bucket", "x")
+    )
     pair = ["cik", "period", "prev_period"]
-
-    def sides(df: DataFrame, keys: list[str]) -> DataFrame:
-        return df.groupBy(*pair, *keys).agg(
-            F.max(F.when(F.col("now"), F.col("x"))).alias("c"), F.max(F.when(~F.col("now"), F.col("x"))).alias("p")
-        )
-
-    def unique(keys: list[str]) -> Column:
-        w = W.partitionBy(*pair, *keys)
-        return (F.count_if(F.col("now")).over(w) == 1) & (F.count_if(~F.col("now")).over(w) == 1)
-
-    # pass 1: a grain occurs at most once on either side
-    grain = ["position_key", "put_call_bucket", "unit_key"]
-    first = both.withColumn("m", F.count(F.lit(1)).over(W.partitionBy(*pair, *grain)) == 2)
-    first = cut_lineage(first)
-    one = sides(first.filter("m"), grain).select(*pair, "put_call_bucket", "c", "p", F.lit(False).alias("reconciled"))
-    left = first.filter(~F.col("m")).withColumn("m", unique(["position_key", "put_call_bucket"]))
-    two = sides(left.filter("m"), ["position_key", "put_call_bucket"]).select(*pair, "put_call_bucket", "c", "p", F.lit(False).alias("reconciled"))
-    left = left.filter(~F.col("m"))
-    w3 = W.partitionBy(*pair, "cusip", "put_call_bucket")
-    resolved = F.col("position_key").startswith("sid:").cast("int")
-    third = F.col("cusip").isNotNull() & unique(["cusip", "put_call_bucket"]) & (F.sum(resolved).over(w3) == 1)
-    left = left.withColumn("m", third)
-    three = sides(left.filter("m"), ["cusip", "put_call_bucket"]).select(*pair, "put_call_bucket", "c", "p", F.lit(True).alias("reconciled"))
-    rest = left.filter(~F.col("m")).select(
-        *pair, "put_call_bucket", F.when(F.col("now"), F.col("x")).alias("c"), F.when(~F.col("now"), F.col("x")).alias("p"), F.lit(False).alias("reconciled")
+    kept = sides.groupBy(*pair, "put_call_bucket", "position_key").agg(
+        F.array_sort(F.collect_list(F.when(F.col("now"), F.col("x")))).alias("cs"), F.array_sort(F.collect_list(F.when(~F.col("now"), F.col("x")))).alias("ps")
+    )
+    none = F.lit(None).cast(sides.schema["x"].dataType)
+    both = lambda c, p: F.struct(c.alias("c"), p.alias("p"))
+    has = lambda side, e: F.exists(side, lambda o: o["unit_key"] == e["unit_key"])
+    same = F.transform(F.filter("cs", lambda c: has("ps", c)), lambda c: both(c, F.get(F.filter("ps", lambda p: p["unit_key"] == c["unit_key"]), F.lit(0))))
+    kept = kept.select(*pair, "put_call_bucket", same.alias("same"), F.filter("cs", lambda c: ~has("ps", c)).alias("lc"), F.filter("ps", lambda p: ~has("cs", p)).alias("lp"))
+    changed = F.when((F.size("lc") == 1) & (F.size("lp") == 1), F.array(both(F.get("lc", F.lit(0)), F.get("lp", F.lit(0)))))
+    alone = F.concat(F.transform("lc", lambda c: both(c, none)), F.transform("lp", lambda p: both(none, p)))
+    rows = kept.select(*pair, "put_call_bucket", F.inline(F.concat("same", F.coalesce(changed, alone))))
+    whole = F.col("c").isNotNull() & F.col("p").isNotNull()
+    matched = rows.filter(whole).withColumn("reconciled", F.lit(False))
+    left = rows.filter(~whole).withColumn("o", F.coalesce("c", "p"))
+    key = F.coalesce(F.concat(F.lit("c:"), F.col("o.cusip")), F.concat_ws("|", F.lit("k:"), "o.position_key", "o.unit_key", F.col("c").isNull().cast("string")))
+    w = W.partitionBy(*pair, "put_call_bucket", "_key")
+    left = left.withColumn("_key", key).select(
+        "*", F.max("p").over(w).alias("_p"),
+        ((F.count("c").over(w) == 1) & (F.count("p").over(w) == 1) & (F.sum(F.col("o.position_key").startswith("sid:").cast("int")).over(w) == 1)).alias("m"),
+    )
+    # of a matched pair the current side is kept and given the other
+    third = left.filter(~F.col("m") | F.col("c").isNotNull()).select(
+        *pair, "put_call_bucket", "c", F.when(F.col("m"), F.col("_p")).otherwise(F.col("p")).alias("p"), F.col("m").alias("reconciled")
     )
-    return classify(one.unionByName(two).unionByName(three).unionByName(rest))
+    return classify(matched.unionByName(third))
 
 
 def classify(m: DataFrame) -> DataFrame:
@@ -144,34 +144,42 @@ def top_holders(rows: DataFrame, issuer: Column, n: int = 25) -> DataFrame:
     return g.filter(F.col("value").isNotNull()).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
-def concentration(rows: DataFrame, n: int = 10) -> DataFrame:
-    """Per filer and period: combined share of the n largest positions, largest share
-    (basis points) and the index of squared shares; null with a flag where the total
-    isn't positive.  Rows without a key stand alone.  Exact whole numbers."""
+def concentration(rows: DataFrame, periods: DataFrame, n: int = 10) -> DataFrame:
+    """Per filer and period of ``periods``, also those without a holding: combined share of
+    the n largest positions, largest share (basis points) and the index of squared
+    shares, over the disclosed values; null with a flag where the total isn't positive.
+    Rows without a key stand alone.  Exact whole numbers."""
     key = F.coalesce("position_key", F.concat(F.lit("row:"), F.col("row_id").cast("string")))
-    pos = rows.groupBy("cik", "period", key.alias("k"), "put_call_bucket").agg(F.sum(F.col("value_usd").cast(WIDE)).alias("v"))
+    pos = rows.groupBy("cik", "period", key.alias("k"), "put_call_bucket").agg(
+        F.sum(F.col("value_usd").cast(WIDE)).alias("v"), F.count(F.lit(1)).alias("n"), F.count_if(F.col("value_usd").isNull()).alias("u")
+    )
     w = W.partitionBy("cik", "period").orderBy(F.col("v").desc_nulls_last(), "k", "put_call_bucket")
     g = pos.withColumn("r", F.row_number().over(w)).groupBy("cik", "period").agg(
-        F.count(F.lit(1)).alias("positions"), F.count_if(F.col("v").isNull()).alias("undisclosed"),
-        F.coalesce(F.sum("v"), F.lit(0).cast(WIDE)).cast(WIDE).alias("t"), F.sum(F.when(F.col("r") <= n, F.col("v"))).cast(WIDE).alias("top"),
+        F.sum("n").alias("positions"), F.sum("u").alias("undisclosed"),
+        F.sum("v").cast(WIDE).alias("t"), F.sum(F.when(F.col("r") <= n, F.col("v"))).cast(WIDE).alias("top"),
         F.max("v").alias("most"), F.sum((F.col("v").cast("decimal(19,0)") * F.col("v").cast("decimal(18,0)")).cast(WIDE)).cast(WIDE).alias("sq"),
     )
+    g = periods.select("cik", "period").distinct().join(g, ["cik", "period"], "left")
+    g = g.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ("positions", "undisclosed")}).withColumn("t", F.coalesce("t", F.lit(0).cast(WIDE)))
     ok = F.col("t") > 0
     return g.select(
         "cik", "period", "positions", "undisclosed", F.col("t").cast("long").alias("total_value"),
-        F.when(ok, F.expr("cast(top as decimal(24,0)) * 10000 div t")).alias("topn_bps"),
-        F.when(ok, F.expr("cast(most as decimal(24,0)) * 10000 div t")).alias("max_bps"),
-        F.when(ok, F.expr("cast(sq as decimal(33,0)) * 10000 div cast(cast(t as decimal(19,0)) * cast(t as decimal(19,0)) as decimal(38,0))")).alias("hhi"),
-        F.when(~ok, "total_not_positive").alias("flag"),
+        F.when(ok, F.expr("cast(top as decimal(24,0)) * 10000 div nullif(t, 0)")).alias("topn_bps"),
+        F.when(ok, F.expr("cast(most as decimal(24,0)) * 10000 div nullif(t, 0)")).alias("max_bps"),
+        F.when(ok, F.expr("cast(sq as decimal(33,0)) * 10000 div nullif(cast(cast(t as decimal(19,0)) * cast(t as decimal(19,0)) as decimal(38,0)), 0)")).alias("hhi"),
+        F.when(~ok, "concentration_unavailable").alias("flag"),
     )
 
 
-def outsized(shares: DataFrame, published: DataFrame, times_percent: int = 150, floor_bps: int = 500, window: int = 4) -> DataFrame:
+def outsized(books: DataFrame, published: DataFrame, times_percent: int = 150, floor_bps: int = 500, window: int = 4) -> DataFrame:
     """Periods whose largest share exceeds ``times_percent`` of the greatest in the
-    ``window`` published periods before, and the floor; awaiting a baseline where those
-    aren't consecutive in the published sequence or one has none."""
+    ``window`` published periods before, and the floor.  ``books`` has cik, period,
+    max_bps, undisclosed and admitted.  A book with an undisclosed value, or not
+    admitted, has no largest share; a period awaits a baseline where its own book or one
+    before has none, or those before don't follow each other in the published sequence."""
     seq = published.select("period").distinct().withColumn("i", F.row_number().over(W.orderBy("period")))  # some dozens of periods
-    s = shares.join(F.broadcast(seq), "period")
+    share = F.when((F.col("undisclosed") == 0) & F.col("admitted"), F.col("max_bps"))
+    s = books.withColumn("max_bps", share).join(F.broadcast(seq), "period")
     w = W.partitionBy("cik").orderBy("i")
     back = w.rowsBetween(-window, -1)
     base = F.when((F.count("max_bps").over(back) == window) & (F.col("i") - F.lag("i", window).over(w) == window), F.max("max_bps").over(back))
@@ -181,6 +189,31 @@ def outsized(shares: DataFrame, published: DataFrame, times_percent: int = 150,
     return s.select("cik", "period", "max_bps", base.alias("baseline_bps"), state.alias("state"))
 
 
+def latest(rows: DataFrame, key: str, period: str = "period") -> DataFrame:
+    """The rows of each key's latest period.  The periods are a row a key, joined back, so
+    no key's rows are gathered."""
+    last = rows.groupBy(key).agg(F.max(period).alias(period))
+    return rows.join(last, [key, period])
+
+
+def diff_latest(folded: DataFrame, periods: DataFrame) -> DataFrame:
+    """The positions of a filer's two newest periods, folded as a page shows them, side by
+    side.  Present on one side only: added or removed, which asserts no more than that.
+    Direction is by value, then by shares of the same unit; unclassified where neither
+    is disclosed on both sides."""
+    k = F.row_number().over(W.partitionBy("cik").orderBy(F.desc("period")))
+    two = periods.select("cik", "period").distinct().withColumn("k", k).filter(F.col("k") <= 2)
+    keys = ["cik", "position_key", "put_call_bucket", "unit_key"]
+    side = lambda i: F.max(F.when(F.col("k") == i, F.struct("value", "shares")))
+    g = folded.join(two, ["cik", "period"]).groupBy(*keys).agg(side(1).alias("c"), side(2).alias("p"))
+    dv, ds = F.col("c.value") - F.col("p.value"), F.col("c.shares") - F.col("p.shares")
+    kind = (
+        F.when(F.col("p").isNull(), "added").when(F.col("c").isNull(), "removed").when(dv > 0, "increased").when(dv < 0, "decreased")
+        .when(ds > 0, "increased").when(ds < 0, "decreased").when(dv == 0, "unchanged").otherwise("unclassified")
+    )
+    return g.select(*keys, kind.alias("kind"), dv.alias("delta_value"), ds.alias("delta_shares"))
+
+
 def coverage(filings: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     """Resolved value over the greater of declared and resolved, per filing, then summed."""
     per = rows.groupBy("filing_key").agg(

@@ -44,8 +44,9 @@ def recent_trades(
     return rows.offset(offset).limit(limit) if limit is not None else rows
 
 
-def biggest_trades(rows: DataFrame, limit: int) -> DataFrame:
+def biggest_trades(rows: DataFrame, limit: int, since=None, side: str | None = None) -> DataFrame:
     """Open-ended amounts first, then by upper end."""
+    rows = since_and_side(rows, since, side)
     is_open = R.open_ended(F.col("amount_low"), F.col("amount_high"))
     return rows.orderBy(is_open.desc(), F.col("amount_high").desc_nulls_last(), F.col("filed_date").desc_nulls_last(), "txn_id").limit(limit)
 
@@ -60,8 +61,15 @@ def flow(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def top_tickers(rows: DataFrame, limit: int) -> DataFrame:
-    return flow(rows.filter(F.col("ticker").isNotNull()), ["ticker"]).orderBy(F.desc("trades"), F.desc("members"), "ticker").limit(limit)
+def since_and_side(rows: DataFrame, since=None, side: str | None = None) -> DataFrame:
+    rows = rows if since is None else rows.filter(F.col("filed_date") >= since)
+    return rows if side is None else rows.filter(F.col("side") == side)
+
+
+def top_tickers(rows: DataFrame, limit: int, since=None, side: str | None = None) -> DataFrame:
+    """Most trades first, then ticker."""
+    rows = since_and_side(rows, since, side).filter(F.col("ticker").isNotNull())
+    return flow(rows, ["ticker"]).orderBy(F.desc("trades"), "ticker").limit(limit)
 
 
 def q_recent(spark, d):
@@ -84,6 +92,10 @@ def q_top_tickers(spark, d):
     return top_tickers(trades(spark, d), 50)
 
 
+def q_top_bought(spark, d):
+    return top_tickers(trades(spark, d), 50, since="2018-01-01", side="purchase")
+
+
 def q_member_flows(spark, d):
     return flow(trades(spark, d).filter(F.col("bioguide_id").isNotNull()), ["bioguide_id", "ticker"]).drop("members")
 
@@ -147,14 +159,28 @@ def q_net_by_ticker(spark, d):
     return net_flows(t, ["ticker"]).select("ticker", F.col("net.kind").alias("kind"), F.col("net.low").alias("low"), F.col("net.high").alias("high"), "others")
 
 
+SIDES = ["purchase", "sale", "sale_partial", "exchange", "other"]
+
+
+def quarterly_flow(t: DataFrame) -> DataFrame:
+    """(state, quarter, side, n, kind, low, high): trades and their range sum per quarter,
+    over every quarter from the first to the last dated trade, those without any too;
+    anomalous and undated trades are counted without a quarter."""
+    traded = F.col("transaction_date")
+    state = F.when(traded.isNull(), "undated").when(F.col("filed_date") < traded, "anomaly").otherwise("dated")
+    rows = t.withColumn("state", state).withColumn("quarter", F.when(F.col("state") == "dated", F.trunc("transaction_date", "quarter")))
+    rows = rows.withColumn("side", F.when(F.col("side").isin(SIDES), F.col("side")).otherwise("other"))
+    got = rows.groupBy("state", "quarter", "side").agg(F.count(F.lit(1)).alias("n"), R.range_sum(F.col("amount_low"), F.col("amount_high")).alias("r"))
+    span = rows.agg(F.min("quarter").alias("a"), F.max("quarter").alias("z")).filter(F.col("a").isNotNull())
+    every = span.select(F.explode(F.expr("sequence(a, z, interval 3 months)")).alias("quarter"), F.lit("dated").alias("state"))
+    every = every.withColumn("side", F.explode(F.array(*[F.lit(x) for x in SIDES])))
+    keys = ["state", "quarter", "side"]
+    told = got.filter(F.col("quarter").isNull()).unionByName(every.join(got, keys, "left").select(*keys, "n", "r"))
+    return told.select(*keys, F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("r.kind", F.lit("empty")).alias("kind"), F.col("r.low").alias("low"), F.col("r.high").alias("high"))
+
+
 def q_quarterly_flow(spark, d):
-    """Trades per quarter over a whole calendar: quarters without any stay, with 0."""
-    t = trades(spark, d).filter(F.col("transaction_date").between(F.lit("2012-01-01").cast("date"), F.lit("2025-12-31").cast("date")))
-    got = t.groupBy(F.trunc("transaction_date", "quarter").alias("quarter"), "side").agg(F.count(F.lit(1)).alias("n"))
-    cal = spark.sql("SELECT explode(sequence(date'2012-01-01', date'2025-10-01', interval 3 months)) AS quarter")
-    sides = spark.createDataFrame([("purchase",), ("sale",), ("sale_partial",), ("exchange",)], "side string")
-    grid = cal.withColumn("k", F.lit(1)).join(sides.withColumn("k", F.lit(1)), "k").drop("k")
-    return grid.join(got, ["quarter", "side"], "left").select("quarter", "side", F.coalesce("n", F.lit(0)).alias("n"))
+    return quarterly_flow(trades(spark, d))
 
 
 def q_habits(spark, d):
@@ -165,13 +191,27 @@ def q_habits(spark, d):
     )
 
 
+def disclosure_rankings(t: DataFrame, months: int) -> DataFrame:
+    """Who disclosed most in the months up to the newest filing, by traded or else filed
+    date, anomalies left out; filers not joined stand under their printed name."""
+    at = F.coalesce("transaction_date", "filed_date")
+    until = t.agg(F.max("filed_date").alias("m")).scalar()
+    ok = ~F.coalesce(F.col("filed_date") < F.col("transaction_date"), F.lit(False)) & (at > F.add_months(until, -months)) & (at <= until)
+    key = F.coalesce("bioguide_id", F.concat(F.lit("raw:"), F.col("filer_name_raw")))
+    return t.filter(ok).groupBy(key.alias("filer")).agg(F.count(F.lit(1)).alias("trades"), F.count_if("is_late").alias("late"), F.count("is_late").alias("datable"))
+
+
 def q_rankings(spark, d):
-    """Who discloses most, by traded or else filed date; filers not joined stand under their name."""
+    return disclosure_rankings(trades(spark, d), 12)
+
+
+def q_ticker_rankings(spark, d):
+    """Tickers by members disclosing in the 24 months up to the newest filing."""
     t = trades(spark, d)
+    until = t.agg(F.max("filed_date").alias("m")).scalar()
     at = F.coalesce("transaction_date", "filed_date")
-    ok = ~F.coalesce(F.col("filed_date") < F.col("transaction_date"), F.lit(False)) & at.between(F.lit("2023-01-01").cast("date"), F.lit("2024-12-31").cast("date"))
-    key = F.coalesce("bioguide_id", F.concat(F.lit("raw:"), F.col("filer_name_raw")))
-    return t.filter(ok).groupBy(key.alias("filer")).agg(F.count(F.lit(1)).alias("trades"), F.count_if("is_late").alias("late"))
+    ok = F.col("ticker").isNotNull() & ~F.coalesce(F.col("filed_date") < F.col("transaction_date"), F.lit(False)) & (at > F.add_months(until, -24)) & (at <= until)
+    return t.filter(ok).groupBy("ticker").agg(F.count(F.lit(1)).alias("trades"), F.countDistinct("bioguide_id").alias("members"))
 
 
 def q_stats(spark, d):
@@ -207,20 +247,30 @@ def q_pairs(spark, d):
 
 
 def q_pair_violations(spark, d):
-    return P.pair_violations(P.once(table(spark, d, "filings"), "filing_id"))
+    """Every amendment that names an original, with what is wrong about the pair."""
+    f = P.once(table(spark, d, "filings"), "filing_id")
+    bad = P.pair_violations(f)
+    return f.filter(F.col("supersedes").isNotNull()).select("filing_id", "supersedes").join(bad.select("filing_id", "violation"), "filing_id", "left").select("filing_id", "supersedes", F.coalesce("violation", F.lit("none")).alias("violation"))
 
 
 def q_orphans(spark, d):
-    """Trades without their filing, and member references without a member."""
+    """Per check how many references were looked up and how many led nowhere."""
     t = P.once(table(spark, d, "transactions"), "txn_id")
-    a = t.join(table(spark, d, "filings").select("filing_id"), "filing_id", "left_anti").select("txn_id", F.lit("no_filing").alias("problem"))
-    b = t.filter(F.col("bioguide_id").isNotNull()).join(table(spark, d, "members").select("bioguide_id"), "bioguide_id", "left_anti").select("txn_id", F.lit("no_member").alias("problem"))
-    return a.unionByName(b)
+    f = table(spark, d, "filings").select("filing_id", F.lit(1).alias("hit")).distinct()
+    m = table(spark, d, "members").select("bioguide_id", F.lit(1).alias("hit"))
+    def check(rows, target, key, name):
+        j = rows.filter(F.col(key).isNotNull()).select(key).join(target, key, "left")
+        return j.agg(F.count(F.lit(1)).alias("looked_up"), F.count_if(F.col("hit").isNull()).alias("missing")).select(F.lit(name).alias("check"), "looked_up", "missing")
+    fl = P.once(table(spark, d, "filings"), "filing_id")
+    return check(t, f, "filing_id", "trade_filing").unionByName(check(t, m, "bioguide_id", "trade_member")).unionByName(check(fl, m, "bioguide_id", "filing_member"))
+
 
+#: Newest trades a member or ticker is given in feeds.
+SLICE_ROWS = 200
 
-def feed_slices(spark, d, most):
+
+def feed_slices(t: DataFrame, most: int = SLICE_ROWS) -> DataFrame:
     """The newest trades of every member, and of every ticker, in one pass each."""
-    t = trades(spark, d)
     def top(c):
         w = W.partitionBy(c).orderBy(*by_recency())
         return t.filter(F.col(c).isNotNull()).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= most).select(F.lit(c).alias("kind"), F.col(c).alias("entity"), "rank", "txn_id")
@@ -228,23 +278,19 @@ def feed_slices(spark, d, most):
 
 
 def q_feed_slices(spark, d):
-    return feed_slices(spark, d, 20)
-
-
-def q_feed_slices_full(spark, d):
-    """As many a member and ticker as in the reference."""
-    return feed_slices(spark, d, 200)
+    return feed_slices(trades(spark, d))
 
 
 def q_dup_seq(spark, d):
     """Sequence of equal rows within a filing: fingerprint, number, id."""
-    from ..functions.normalize import row_fingerprint
+    from ..functions.normalize import record_id, row_fingerprint
 
     t = P.once(table(spark, d, "transactions"), "txn_id")
-    cols = [F.col(c).cast("string").alias(c) for c in ("ticker", "asset_name", "side", "transaction_date")]
-    fp = t.withColumn("fp", row_fingerprint(*cols))
+    cols = {c: F.col(c).cast("string") for c in ("ticker", "asset_name", "side", "transaction_date")}
+    fp = t.withColumn("fp", row_fingerprint(cols))
     seq = F.row_number().over(W.partitionBy("filing_id", "fp").orderBy("txn_id"))
-    return fp.select("txn_id", F.substring("fp", 1, 32).alias("fp32"), seq.alias("dup_seq"))
+    n = fp.withColumn("dup_seq", seq).withColumn("fp32", F.substring("fp", 1, 32))
+    return n.select("txn_id", "fp32", "dup_seq", record_id(F.col("filing_id"), F.col("fp32"), F.col("dup_seq")).alias("built_id"))
 
 
 QUERIES = {
@@ -253,7 +299,7 @@ QUERIES = {
     "date_windows": q_date_windows, "member_search": q_members_search, "latest_filings": q_latest_filings, "range_sums": q_range_sums,
     "net_by_ticker": q_net_by_ticker, "quarterly_flow": q_quarterly_flow, "habit_summary": q_habits, "disclosure_rankings": q_rankings,
     "era_stats": q_stats, "parse_gate": q_parse_gate, "join_coverage": q_join_coverage, "amendment_pairs": q_pairs,
-    "pair_violations": q_pair_violations, "orphans": q_orphans, "feed_slices": q_feed_slices, "feed_slices_full": q_feed_slices_full, "dup_seq": q_dup_seq,
+    "pair_violations": q_pair_violations, "orphans": q_orphans, "feed_slices": q_feed_slices, "top_bought": q_top_bought, "ticker_rankings": q_ticker_rankings, "dup_seq": q_dup_seq,
 }
 
 _T = """
@@ -279,7 +325,8 @@ SQL = {
     "default_population": _T + "SELECT txn_id, filing_id FROM tr",
     "biggest_trades": _T + """SELECT txn_id, amount_low, amount_high, filed_date FROM tr
  ORDER BY (amount_low IS NOT NULL AND amount_high IS NULL) DESC, amount_high DESC NULLS LAST, filed_date DESC NULLS LAST, txn_id LIMIT 100""",
-    "top_tickers": _T + f"SELECT ticker, {_FLOW} FROM tr WHERE ticker IS NOT NULL GROUP BY ticker ORDER BY trades DESC, members DESC, ticker LIMIT 50",
+    "top_tickers": _T + f"SELECT ticker, {_FLOW} FROM tr WHERE ticker IS NOT NULL GROUP BY ticker ORDER BY trades DESC, ticker LIMIT 50",
+    "top_bought": _T + f"SELECT ticker, {_FLOW} FROM tr WHERE ticker IS NOT NULL AND filed_date >= DATE '2018-01-01' AND side = 'purchase' GROUP BY ticker ORDER BY trades DESC, ticker LIMIT 50",
     "member_flows": _T + f"SELECT * EXCLUDE (members) FROM (SELECT bioguide_id, ticker, {_FLOW} FROM tr WHERE bioguide_id IS NOT NULL GROUP BY ALL)",
     "party_side_breakdown": _T + "SELECT ticker, party, side, count(*) AS trades FROM tr GROUP BY ALL",
     "amount_verdicts": _T + """SELECT chamber, CASE WHEN amount_low > 50000 THEN 'in' WHEN amount_high <= 50000 THEN 'out' ELSE 'indeterminate' END AS verdict,
@@ -302,13 +349,20 @@ SQL = {
 ), k AS (SELECT *, (bn > 0 AND bk = 0) OR (sn > 0 AND sk = 0) AS un, bn = 0 AND sn = 0 AS em FROM g)
  SELECT ticker, others, CASE WHEN un THEN 'undisclosed' WHEN em THEN 'empty' WHEN so = 0 AND bo = 0 THEN 'finite' WHEN bo = 0 THEN 'lower_open' WHEN so = 0 THEN 'upper_open' ELSE 'unbounded' END AS kind,
   CASE WHEN NOT un AND NOT em AND so = 0 THEN CAST(bl - sh AS BIGINT) END AS low, CASE WHEN NOT un AND NOT em AND bo = 0 THEN CAST(bh - sl AS BIGINT) END AS high FROM k""",
-    "quarterly_flow": _T + """, cal AS (SELECT CAST(unnest(generate_series(DATE '2012-01-01', DATE '2025-10-01', INTERVAL 3 MONTH)) AS DATE) AS quarter),
- s AS (SELECT unnest(['purchase', 'sale', 'sale_partial', 'exchange']) AS side)
- SELECT quarter, s.side, count(tr.txn_id) AS n FROM cal CROSS JOIN s LEFT JOIN tr ON tr.side = s.side AND tr.transaction_date >= quarter AND tr.transaction_date < quarter + INTERVAL 3 MONTH GROUP BY ALL""",
+    "quarterly_flow": _T + f""", k AS (SELECT *, CASE WHEN transaction_date IS NULL THEN 'undated' WHEN filed_date < transaction_date THEN 'anomaly' ELSE 'dated' END AS st,
+  CASE WHEN side IN ('purchase', 'sale', 'sale_partial', 'exchange') THEN side ELSE 'other' END AS sd FROM tr),
+ g AS (SELECT st, CASE WHEN st = 'dated' THEN CAST(date_trunc('quarter', transaction_date) AS DATE) END AS quarter, sd AS side, count(*) AS n,
+  CASE WHEN count(coalesce(amount_low, amount_high)) = 0 THEN 'undisclosed' WHEN count(*) > count(amount_high) THEN 'open' ELSE 'closed' END AS kind,
+  CASE WHEN count(coalesce(amount_low, amount_high)) > 0 THEN CAST(coalesce(sum({_FLOOR}), 0) AS BIGINT) END AS low, CASE WHEN count(*) = count(amount_high) THEN CAST(sum(amount_high) AS BIGINT) END AS high FROM k GROUP BY ALL),
+ cal AS (SELECT CAST(unnest(generate_series(min(quarter), max(quarter), INTERVAL 3 MONTH)) AS DATE) AS quarter FROM g), s AS (SELECT unnest(['purchase', 'sale', 'sale_partial', 'exchange', 'other']) AS side)
+ SELECT st AS state, quarter, side, n, kind, low, high FROM g WHERE quarter IS NULL UNION ALL
+ SELECT 'dated', cal.quarter, s.side, coalesce(n, 0), coalesce(kind, 'empty'), low, high FROM cal CROSS JOIN s LEFT JOIN g ON g.quarter = cal.quarter AND g.side = s.side""",
     "habit_summary": _T + """SELECT bioguide_id, count(*) AS trades, count(DISTINCT ticker) AS tickers, median(days_to_file) AS median_days,
  count(*) FILTER (is_late) AS late, count(is_late) AS datable FROM tr WHERE bioguide_id IS NOT NULL GROUP BY ALL""",
-    "disclosure_rankings": _T + """SELECT coalesce(bioguide_id, 'raw:' || filer_name_raw) AS filer, count(*) AS trades, count(*) FILTER (is_late) AS late FROM tr
- WHERE NOT coalesce(filed_date < transaction_date, false) AND coalesce(transaction_date, filed_date) BETWEEN DATE '2023-01-01' AND DATE '2024-12-31' GROUP BY 1""",
+    "disclosure_rankings": _T + """, u AS (SELECT max(filed_date) AS z FROM tr) SELECT coalesce(bioguide_id, 'raw:' || filer_name_raw) AS filer, count(*) AS trades, count(*) FILTER (is_late) AS late, count(is_late) AS datable FROM tr, u
+ WHERE NOT coalesce(filed_date < transaction_date, false) AND coalesce(transaction_date, filed_date) > z - INTERVAL 12 MONTH AND coalesce(transaction_date, filed_date) <= z GROUP BY 1""",
+    "ticker_rankings": _T + """, u AS (SELECT max(filed_date) AS z FROM tr) SELECT ticker, count(*) AS trades, count(DISTINCT bioguide_id) AS members FROM tr, u WHERE ticker IS NOT NULL
+ AND NOT coalesce(filed_date < transaction_date, false) AND coalesce(transaction_date, filed_date) > z - INTERVAL 24 MONTH AND coalesce(transaction_date, filed_date) <= z GROUP BY 1""",
     "era_stats": _T + """SELECT chamber, year(filed_date) AS era, count(*) AS rows, count(transaction_date) AS dated, count(*) FILTER (is_late) AS late,
  median(days_to_file) AS median_days, count(bioguide_id) AS joined FROM tr GROUP BY ALL""",
     "parse_gate": _T + """SELECT *, CASE WHEN filings = paper THEN 'no_efile_filings' WHEN parsed * 100 >= (filings - paper) * 97 THEN 'pass' ELSE 'miss' END AS status FROM (
@@ -317,16 +371,15 @@ SQL = {
  count(DISTINCT CASE WHEN bioguide_id IS NULL THEN filer_name_raw END) AS unresolved_names FROM fl GROUP BY ALL""",
     "amendment_pairs": _T + """SELECT a.filing_id AS amendment_filing_id, a.chamber, a.filed_date AS amendment_filed_date, a.lifecycle AS amendment_lifecycle,
  o.filing_id AS original_filing_id, o.filed_date AS original_filed_date, o.lifecycle AS original_lifecycle FROM fl a JOIN fl o ON o.filing_id = a.supersedes""",
-    "pair_violations": _T + """SELECT * FROM (SELECT a.filing_id, a.supersedes, CASE WHEN a.supersedes = a.filing_id THEN 'self_reference' WHEN o.filing_id IS NULL THEN 'missing_original'
- WHEN o.chamber <> a.chamber THEN 'chamber_mismatch' WHEN o.filed_date > a.filed_date THEN 'filed_before_original' END AS violation
- FROM fl a LEFT JOIN fl o ON o.filing_id = a.supersedes WHERE a.supersedes IS NOT NULL) WHERE violation IS NOT NULL""",
-    "orphans": _T + """SELECT txn_id, 'no_filing' AS problem FROM tx WHERE filing_id NOT IN (SELECT filing_id FROM fl)
- UNION ALL SELECT txn_id, 'no_member' FROM tx WHERE bioguide_id IS NOT NULL AND bioguide_id NOT IN (SELECT bioguide_id FROM members)""",
+    "pair_violations": _T + """SELECT a.filing_id, a.supersedes, CASE WHEN a.supersedes = a.filing_id THEN 'self_reference' WHEN o.filing_id IS NULL THEN 'missing_original'
+ WHEN o.chamber <> a.chamber THEN 'chamber_mismatch' WHEN o.filed_date > a.filed_date THEN 'filed_before_original' ELSE 'none' END AS violation
+ FROM fl a LEFT JOIN fl o ON o.filing_id = a.supersedes WHERE a.supersedes IS NOT NULL""",
+    "orphans": _T + """SELECT 'trade_filing' AS "check", count(*) AS looked_up, count(*) FILTER (filing_id NOT IN (SELECT filing_id FROM fl)) AS missing FROM tx WHERE filing_id IS NOT NULL
+ UNION ALL SELECT 'trade_member', count(*), count(*) FILTER (bioguide_id NOT IN (SELECT bioguide_id FROM members)) FROM tx WHERE bioguide_id IS NOT NULL
+ UNION ALL SELECT 'filing_member', count(*), count(*) FILTER (bioguide_id NOT IN (SELECT bioguide_id FROM members)) FROM fl WHERE bioguide_id IS NOT NULL""",
     "feed_slices": _T + """, k AS (SELECT 'bioguide_id' AS kind, bioguide_id AS entity, * FROM tr WHERE bioguide_id IS NOT NULL UNION ALL SELECT 'ticker', ticker, * FROM tr WHERE ticker IS NOT NULL)
- SELECT kind, entity, rank, txn_id FROM (SELECT kind, entity, txn_id, row_number() OVER (PARTITION BY kind, entity ORDER BY filed_date DESC NULLS LAST, transaction_date DESC NULLS LAST, txn_id) AS rank FROM k) WHERE rank <= 20""",
-    "dup_seq": _T + """, f AS (SELECT *, sha256('{"ticker":' || coalesce(to_json(ticker)::VARCHAR, 'null') || ',"asset_name":' || coalesce(to_json(asset_name)::VARCHAR, 'null') || ',"side":' || coalesce(to_json(side)::VARCHAR, 'null')
- || ',"transaction_date":' || coalesce(to_json(transaction_date::VARCHAR)::VARCHAR, 'null') || '}') AS fp FROM tx)
- SELECT txn_id, fp[1:32] AS fp32, row_number() OVER (PARTITION BY filing_id, fp ORDER BY txn_id) AS dup_seq FROM f""",
+ SELECT kind, entity, rank, txn_id FROM (SELECT kind, entity, txn_id, row_number() OVER (PARTITION BY kind, entity ORDER BY filed_date DESC NULLS LAST, transaction_date DESC NULLS LAST, txn_id) AS rank FROM k) WHERE rank <= 200""",
+    "dup_seq": _T + """, f AS (SELECT *, sha256('{"asset_name":' || coalesce(to_json(asset_name)::VARCHAR, 'null') || ',"side":' || coalesce(to_json(side)::VARCHAR, 'null') || ',"ticker":' || coalesce(to_json(ticker)::VARCHAR, 'null')
+ || ',"transaction_date":' || coalesce(to_json(transaction_date::VARCHAR)::VARCHAR, 'null') || '}') AS fp FROM tx), n AS (SELECT *, row_number() OVER (PARTITION BY filing_id, fp ORDER BY txn_id) AS dup_seq FROM f)
+ SELECT txn_id, fp[1:32] AS fp32, dup_seq, filing_id || ':' || fp[1:32] || CASE WHEN dup_seq > 1 THEN '#' || dup_seq ELSE '' END AS built_id FROM n""",
 }
-
-SQL["feed_slices_full"] = SQL["feed_slices"].replace("rank <= 20", "rank <= 200")

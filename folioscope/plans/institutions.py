@@ -18,19 +18,28 @@ def rows(spark: SparkSession, d: str) -> DataFrame:
     return P.once(table(spark, d, "serving_filer_rows"), "row_id")
 
 
-def default_rows(spark: SparkSession, d: str) -> DataFrame:
-    f = P.default_filings(filings(spark, d), rows(spark, d)).select("filing_key")
-    return rows(spark, d).join(f, "filing_key", "left_semi")
+def composed(spark: SparkSession, d: str) -> DataFrame:
+    """Surviving filings with their quarter and the marks of the two populations."""
+    return quarter(P.composed_filings(filings(spark, d), rows(spark, d)))
+
+
+def reported_periods(spark: SparkSession, d: str) -> DataFrame:
+    """The periods a filer reported for, also those without a holding."""
+    return composed(spark, d).filter("within").select("cik", "period").distinct()
 
 
 def reported_rows(spark: SparkSession, d: str) -> DataFrame:
-    f = P.filer_reported_filings(filings(spark, d), rows(spark, d)).select("filing_key")
-    return rows(spark, d).join(f, "filing_key", "left_semi")
+    """Every filer's own book: the rows of its composed filings."""
+    return rows(spark, d).join(composed(spark, d).filter("within").select("filing_key"), "filing_key", "left_semi")
+
+
+def default_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The rows that count across filers: as reported, affiliates counted once."""
+    return rows(spark, d).join(composed(spark, d).filter(F.col("within") & ~F.col("affiliated")).select("filing_key"), "filing_key", "left_semi")
 
 
 def deltas(spark: SparkSession, d: str) -> DataFrame:
-    r = rows(spark, d)
-    return Q.qoq_deltas(Q.fold_positions(r), r)
+    return Q.qoq_deltas(Q.fold_positions(default_rows(spark, d)), reported_periods(spark, d))
 
 
 def issuer():
@@ -59,9 +68,9 @@ def q_reported(spark, d):
 
 def q_marked(spark, d):
     """Reported holdings marked with whether they count by default."""
-    f = P.default_filings(filings(spark, d), rows(spark, d)).select("filing_key", F.lit(1).alias("m"))
-    g = reported_rows(spark, d).join(f, "filing_key", "left").groupBy("cik", "period")
-    return g.agg(F.count(F.lit(1)).alias("holdings"), F.count("m").alias("default_holdings"))
+    f = composed(spark, d).filter("within").select("filing_key", "affiliated")
+    g = rows(spark, d).join(f, "filing_key").groupBy("cik", "period")
+    return g.agg(F.count(F.lit(1)).alias("holdings"), F.count_if(~F.col("affiliated")).alias("default_holdings"))
 
 
 def q_authoritative(spark, d):
@@ -83,11 +92,11 @@ def q_groups(spark, d):
 
 
 def q_positions(spark, d):
-    return Q.fold_positions(rows(spark, d))
+    return Q.fold_positions(default_rows(spark, d))
 
 
 def q_display(spark, d):
-    return Q.display_positions(rows(spark, d))
+    return Q.display_positions(reported_rows(spark, d))
 
 
 def q_deltas(spark, d):
@@ -99,7 +108,7 @@ def q_moves(spark, d):
 
 
 def q_exits(spark, d):
-    a = quarter(P.authoritative_periods(P.filer_reported_filings(filings(spark, d), rows(spark, d))))
+    a = quarter(P.authoritative_periods(composed(spark, d).filter("within").drop("period")))
     x = Q.downgrade_exits(deltas(spark, d), a)
     return x.groupBy("period", "change_kind").agg(F.count(F.lit(1)).alias("n"))
 
@@ -109,12 +118,16 @@ def q_holders(spark, d):
 
 
 def q_concentration(spark, d):
-    return Q.concentration(rows(spark, d))
+    return Q.concentration(reported_rows(spark, d), reported_periods(spark, d))
 
 
 def q_outsized(spark, d):
-    r = rows(spark, d)
-    return Q.outsized(Q.concentration(r).select("cik", "period", "max_bps"), r.select("period"))
+    """A period is admitted if none of its surviving filings failed or conflicts with its cover."""
+    f = composed(spark, d)
+    bad = ~F.col("within") | F.coalesce(F.col("parse_status") == "failed", F.lit(False))
+    admitted = f.groupBy("cik", "period").agg((F.count_if(bad) == 0).alias("admitted"))
+    books = q_concentration(spark, d).join(admitted, ["cik", "period"])
+    return Q.outsized(books, f.filter("within"))
 
 
 def q_coverage(spark, d):
@@ -127,12 +140,13 @@ def q_covers(spark, d):
 
 
 def q_registry(spark, d):
-    """Every filer, with all its periods rolled up; filers without holdings stay."""
-    h = rows(spark, d).groupBy("cik").agg(
+    """Every filer with a reported filing, all its periods rolled up; filers without
+    holdings stay."""
+    h = reported_rows(spark, d).groupBy("cik").agg(
         F.count(F.lit(1)).alias("holdings"), F.coalesce(Q.exact_sum("value_usd"), F.lit(0)).alias("value"),
-        F.count_if(F.col("value_usd").isNull()).alias("undisclosed"), F.count_if(F.col("position_key").isNull()).alias("unkeyed"), F.max("period").alias("latest_period"),
+        F.count_if(F.col("value_usd").isNull()).alias("undisclosed"), F.count_if(F.col("position_key").isNull()).alias("unkeyed"),
     )
-    f = filings(spark, d).groupBy("cik").agg(F.count(F.lit(1)).alias("filings"), F.max("filed_date").alias("latest_filed"))
+    f = composed(spark, d).filter("within").groupBy("cik").agg(F.count(F.lit(1)).alias("filings"), F.max("filed_date").alias("latest_filed"), F.max("period").alias("latest_period"))
     z = [F.coalesce(c, F.lit(0)).alias(c) for c in ("holdings", "value", "undisclosed", "unkeyed")]
     return f.join(h, "cik", "left").select("cik", "filings", "latest_filed", *z, "latest_period")
 
@@ -148,30 +162,26 @@ def q_effective(spark, d):
 
 def q_issuer_grain(spark, d):
     """Issuer, period and filer: the value is null if a part is undisclosed; the total
-    over the default population stands beside it."""
-    known = F.when(F.count("value_usd") == F.count(F.lit(1)), Q.exact_sum("value_usd"))
-    r = reported_rows(spark, d).withColumn("issuer_key", issuer()).groupBy("issuer_key", "period", "cik").agg(known.alias("value"), F.count(F.lit(1)).alias("n"))
-    t = default_rows(spark, d).withColumn("issuer_key", issuer()).groupBy("issuer_key", "period").agg(Q.exact_sum("value_usd").alias("dedup_total"))
-    return r.join(t, ["issuer_key", "period"], "left")
+    over the default population, null likewise, stands beside it."""
+    f = composed(spark, d).filter("within").select("filing_key", "affiliated")
+    r = rows(spark, d).join(f, "filing_key").withColumn("issuer_key", issuer())
+    mine = ~F.col("affiliated")
+    g = r.groupBy("issuer_key", "period", "cik").agg(
+        F.when(F.count("value_usd") == F.count(F.lit(1)), Q.exact_sum("value_usd")).alias("value"), F.count(F.lit(1)).alias("n"),
+        F.sum(F.when(mine, F.col("value_usd").cast(Q.WIDE))).alias("_v"), F.count_if(mine & F.col("value_usd").isNull()).alias("_u"),
+    )
+    t = g.groupBy("issuer_key", "period").agg(F.when(F.sum("_u") == 0, F.coalesce(F.sum("_v"), F.lit(0).cast(Q.WIDE))).cast("long").alias("dedup_total"))
+    return g.drop("_v", "_u").join(t, ["issuer_key", "period"])
 
 
 def q_latest(spark, d):
-    """Each filer's latest period, whole."""
-    r = rows(spark, d)
-    w = W.partitionBy("cik")
-    return r.withColumn("last", F.max("period").over(w)).filter(F.col("period") == F.col("last")).select("row_id", "cik", "period")
+    """Each filer's latest period with holdings, whole."""
+    return Q.latest(reported_rows(spark, d), "cik").select("row_id", "cik", "period")
 
 
 def q_period_diff(spark, d):
-    """A filer page's comparison of the two newest periods, by value first."""
-    p = Q.fold_positions(rows(spark, d)).withColumn("k", F.dense_rank().over(W.partitionBy("cik").orderBy(F.desc("period")))).filter(F.col("k") <= 2)
-    keys = ["cik", "position_key", "put_call_bucket", "unit_key"]
-    g = p.groupBy(*keys).agg(
-        F.max(F.when(F.col("k") == 1, F.struct("value", "shares"))).alias("c"), F.max(F.when(F.col("k") == 2, F.struct("value", "shares"))).alias("p")
-    )
-    dv, ds = F.col("c.value") - F.col("p.value"), F.col("c.shares") - F.col("p.shares")
-    kind = F.when(F.col("p").isNull(), "new").when(F.col("c").isNull(), "gone").when(dv > 0, "up").when(dv < 0, "down").when(ds > 0, "up").when(ds < 0, "down").when(dv == 0, "same").otherwise("unknown")
-    return g.select(*keys, kind.alias("kind"), dv.alias("delta_value"))
+    """A filer page's comparison of the two newest periods."""
+    return Q.diff_latest(Q.display_positions(reported_rows(spark, d)), reported_periods(spark, d))
 
 
 def q_filer_covers(spark, d):
@@ -187,11 +197,11 @@ def q_lag(spark, d):
 
 
 def q_universal_flags(spark, d):
-    """Flags that every row of a filer's period carries."""
-    r = rows(spark, d).withColumn("f", F.from_json("flags", "array<string>"))
-    n = r.groupBy("cik", "period").agg(F.count(F.lit(1)).alias("n"))
-    k = r.select("cik", "period", "row_id", F.explode(F.array_distinct("f")).alias("flag")).groupBy("cik", "period", "flag").agg(F.count(F.lit(1)).alias("k"))
-    return k.join(n, ["cik", "period"]).filter(F.col("k") == F.col("n")).select("cik", "period", "flag")
+    """The flags that rows of a filer's period carry, and whether every row does."""
+    r = reported_rows(spark, d).withColumn("f", F.from_json("flags", "array<string>"))
+    n = r.groupBy("cik", "period").agg(F.count(F.lit(1)).alias("rows"))
+    k = r.select("cik", "period", F.explode(F.array_distinct("f")).alias("flag")).groupBy("cik", "period", "flag").agg(F.count(F.lit(1)).alias("carried"))
+    return k.join(n, ["cik", "period"]).withColumn("universal", F.col("carried") == F.col("rows"))
 
 
 QUERIES = {
@@ -205,17 +215,19 @@ QUERIES = {
 }
 
 _B = """
-WITH RECURSIVE r AS (SELECT DISTINCT ON (row_id) * FROM serving_filer_rows), act AS (SELECT * FROM inst_filings WHERE lifecycle = 'active'),
-sv AS (
-  SELECT f.* FROM act f WHERE NOT EXISTS (
-    SELECT 1 FROM act x WHERE x.amendment_type = 'RESTATEMENT' AND x.cik = f.cik AND x.period_of_report = f.period_of_report AND x.filing_id <> f.filing_id
-     AND (x.filed_date > f.filed_date OR (x.filed_date = f.filed_date AND coalesce(x.amendment_no, 0) > coalesce(f.amendment_no, 0))
-       OR (x.filed_date = f.filed_date AND coalesce(x.amendment_no, 0) = coalesce(f.amendment_no, 0) AND x.accession > f.accession)))
-), om AS (SELECT filing_key, cik, period_of_report, unnest(other_managers) AS m FROM sv),
-rc AS (SELECT s.* FROM sv s WHERE NOT EXISTS (SELECT 1 FROM om WHERE om.filing_key <> s.filing_key AND om.period_of_report = s.period_of_report AND om.m.file_number_norm = s.file_number_norm)),
+WITH RECURSIVE r AS (SELECT DISTINCT ON (row_id) * FROM serving_filer_rows),
+li AS (SELECT *, strftime(last_day(date_trunc('quarter', period_of_report) + INTERVAL 2 MONTH), '%Y-%m-%d') AS period,
+  {'d': filed_date, 'n': coalesce(amendment_no, 0), 'a': accession} AS place FROM inst_filings WHERE lifecycle = 'active'),
+-- the greatest restatement of a filer's period displaces all that come before it
+re AS (SELECT cik, period_of_report, max(place) AS top FROM li WHERE amendment_type = 'RESTATEMENT' AND filed_date IS NOT NULL GROUP BY ALL),
+sv AS (SELECT li.* EXCLUDE (place) FROM li LEFT JOIN re USING (cik, period_of_report) WHERE top IS NULL OR filed_date IS NULL OR place >= top),
+om AS (SELECT filing_key, cik, period_of_report, unnest(other_managers) AS m FROM sv),
+na AS (SELECT period_of_report, m.file_number_norm AS file_number_norm, list(DISTINCT filing_key) AS who FROM om WHERE m.file_number_norm IS NOT NULL GROUP BY ALL),
 rs AS (SELECT filing_key, sum(value_usd) AS s FROM r WHERE security_id IS NOT NULL GROUP BY ALL),
-df AS (SELECT rc.* FROM rc LEFT JOIN rs USING (filing_key) WHERE table_value_total_usd IS NULL OR coalesce(s, 0) - table_value_total_usd <= greatest(1000, table_value_total_usd // 1000)),
-fr AS (SELECT sv.* FROM sv LEFT JOIN rs USING (filing_key) WHERE table_value_total_usd IS NULL OR coalesce(s, 0) - table_value_total_usd <= greatest(1000, table_value_total_usd // 1000)),
+cm AS (SELECT sv.*, coalesce(len(list_filter(who, lambda k: k <> sv.filing_key)) > 0, false) AS affiliated,
+  coalesce(coalesce(s, 0) - table_value_total_usd <= greatest(1000, table_value_total_usd // 1000), true) AS within
+ FROM sv LEFT JOIN na USING (period_of_report, file_number_norm) LEFT JOIN rs USING (filing_key)),
+rc AS (SELECT * FROM cm WHERE NOT affiliated), fr AS (SELECT * FROM cm WHERE within), df AS (SELECT * FROM fr WHERE NOT affiliated), fp AS (SELECT DISTINCT cik, period FROM fr),
 dr AS (SELECT r.* FROM r SEMI JOIN df USING (filing_key)), rr AS (SELECT r.* FROM r SEMI JOIN fr USING (filing_key)),
 au AS (SELECT cik, period_of_report FROM (SELECT *, upper(regexp_replace(submission_type, '[\\s-]', '', 'g')) AS fm,
    coalesce(is_amendment, false) OR upper(regexp_replace(submission_type, '\\s', '', 'g')) LIKE '%/A' AS am FROM fr)
@@ -225,10 +237,10 @@ ps AS (
   SELECT cik, period, position_key, put_call_bucket, unit_key, CAST(sum(value_usd) AS BIGINT) AS value,
    CASE WHEN count(shares) = count(*) THEN CAST(sum(shares) AS BIGINT) END AS shares,
    CASE WHEN count(cusip) = count(*) AND min(cusip) = max(cusip) THEN min(cusip) END AS cusip
-  FROM r WHERE position_key IS NOT NULL GROUP BY ALL
+  FROM dr WHERE position_key IS NOT NULL GROUP BY ALL
 )
 """
-_Q = _B + """, cal AS (SELECT * FROM (SELECT cik, period, lag(period) OVER (PARTITION BY cik ORDER BY period) AS prev FROM (SELECT DISTINCT cik, period FROM r)) WHERE prev IS NOT NULL),
+_Q = _B + """, cal AS (SELECT * FROM (SELECT cik, period, lag(period) OVER (PARTITION BY cik ORDER BY period) AS prev FROM fp) WHERE prev IS NOT NULL),
 cu AS (SELECT p.*, cal.prev FROM ps p JOIN cal USING (cik, period)),
 pr AS (SELECT p.* REPLACE (cal.period AS period), p.period AS prev FROM ps p JOIN cal ON cal.cik = p.cik AND cal.prev = p.period),
 m1 AS (SELECT c, p, false AS rec FROM cu c JOIN pr p ON c.cik = p.cik AND c.period = p.period AND c.position_key = p.position_key AND c.put_call_bucket = p.put_call_bucket AND c.unit_key = p.unit_key),
@@ -255,17 +267,17 @@ qd AS (SELECT coalesce(c.cik, p.cik) AS cik, coalesce(c.position_key, p.position
 """
 _I = "CASE WHEN length(cusip) >= 6 THEN 'cusip6:' || cusip[1:6] ELSE 'name:' || upper(trim(regexp_replace(issuer_name, '\\s+', ' ', 'g'))) END AS issuer_key"
 _PE = "strftime(last_day(date_trunc('quarter', period_of_report) + INTERVAL 2 MONTH), '%Y-%m-%d') AS period"
-_CO = _B + """, k AS (SELECT cik, period, coalesce(position_key, 'row:' || row_id) AS k, put_call_bucket, sum(value_usd) AS v FROM r GROUP BY ALL),
+_CO = _B + """, k AS (SELECT cik, period, coalesce(position_key, 'row:' || row_id) AS k, put_call_bucket, sum(value_usd) AS v, count(*) AS c, count(*) - count(value_usd) AS u FROM rr GROUP BY ALL),
 n AS (SELECT *, row_number() OVER (PARTITION BY cik, period ORDER BY v DESC NULLS LAST, k, put_call_bucket) AS rn FROM k),
-g AS (SELECT cik, period, count(*) AS positions, count(*) - count(v) AS undisclosed, coalesce(sum(v), 0) AS t, sum(v) FILTER (rn <= 10) AS top, max(v) AS most, sum(v * v) AS sq FROM n GROUP BY ALL),
+g AS (SELECT fp.cik, fp.period, coalesce(sum(c), 0) AS positions, coalesce(sum(u), 0) AS undisclosed, coalesce(sum(v), 0) AS t, sum(v) FILTER (rn <= 10) AS top, max(v) AS most, sum(v * v) AS sq FROM fp LEFT JOIN n USING (cik, period) GROUP BY ALL),
 cc AS (SELECT cik, period, positions, undisclosed, CAST(t AS BIGINT) AS total_value, CASE WHEN t > 0 THEN CAST(top * 10000 // t AS BIGINT) END AS topn_bps, CASE WHEN t > 0 THEN CAST(most * 10000 // t AS BIGINT) END AS max_bps,
-  CASE WHEN t > 0 THEN CAST(sq * 10000 // (t * t) AS BIGINT) END AS hhi, CASE WHEN t <= 0 THEN 'total_not_positive' END AS flag FROM g)
+  CASE WHEN t > 0 THEN CAST(sq * 10000 // (t * t) AS BIGINT) END AS hhi, CASE WHEN t <= 0 THEN 'concentration_unavailable' END AS flag FROM g)
 """
 
 SQL = {
     "restatement_survivors": _B + "SELECT filing_key FROM sv", "reconciled_filings": _B + "SELECT filing_key FROM rc",
     "default_filings": _B + "SELECT filing_key FROM df", "reported_filings": _B + "SELECT filing_key FROM fr",
-    "default_marks": _B + "SELECT cik, period, count(*) AS holdings, count(df.filing_key) AS default_holdings FROM rr LEFT JOIN df USING (filing_key) GROUP BY ALL".replace("SELECT cik, period", "SELECT rr.cik, rr.period"),
+    "default_marks": _B + "SELECT rr.cik, rr.period, count(*) AS holdings, count(df.filing_key) AS default_holdings FROM rr LEFT JOIN df USING (filing_key) GROUP BY ALL",
     "authoritative_periods": _B + "SELECT * FROM au",
     "amendment_links": _B + """, f AS (SELECT *, coalesce(is_amendment, false) OR upper(regexp_replace(submission_type, '\\s', '', 'g')) LIKE '%/A' AS am FROM inst_filings WHERE filed_date IS NOT NULL)
  SELECT a.filing_id, CASE WHEN count(b.filing_id) = 1 THEN min(b.filing_id) END AS base_filing_id, count(b.filing_id) <> 1 AS amendment_unresolved
@@ -278,7 +290,7 @@ SQL = {
     "position_fold": _B + "SELECT * FROM ps",
     "display_positions": _B + """SELECT cik, period, position_key, put_call_bucket, unit_key, CASE WHEN count(value_usd) = count(*) THEN CAST(sum(value_usd) AS BIGINT) END AS value,
  CASE WHEN count(shares) = count(*) THEN CAST(sum(shares) AS BIGINT) END AS shares, to_json(list_sort(list_distinct(flatten(list(from_json(flags, '["VARCHAR"]'))))))::VARCHAR AS flags, count(*) AS parts
- FROM r WHERE position_key IS NOT NULL GROUP BY ALL""",
+ FROM rr WHERE position_key IS NOT NULL GROUP BY ALL""",
     "qoq_deltas": _Q + "SELECT * FROM qd",
     "biggest_moves": _Q + "SELECT cik, position_key, put_call_bucket, unit_key, period, change_kind, delta_value FROM qd ORDER BY abs(delta_value) DESC NULLS LAST, cik, position_key, put_call_bucket, unit_key, period LIMIT 100",
     "exit_downgrade": _Q + f""", ap AS (SELECT DISTINCT cik, {_PE} FROM au)
@@ -286,29 +298,34 @@ SQL = {
     "issuer_top_holders": _B + f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY issuer_key, period ORDER BY value DESC, cik) AS rank FROM (
  SELECT {_I}, period, cik, CAST(sum(value_usd) AS BIGINT) AS value, count(DISTINCT position_key) AS positions FROM dr GROUP BY ALL) WHERE value IS NOT NULL) WHERE rank <= 25""",
     "filer_concentration": _CO + "SELECT * FROM cc",
-    "outsized_periods": _CO + """, sq AS (SELECT period, row_number() OVER (ORDER BY period) AS i FROM (SELECT DISTINCT period FROM r)), s AS (SELECT cc.cik, cc.period, max_bps, i FROM cc JOIN sq USING (period)),
+    "outsized_periods": _CO + """, sq AS (SELECT period, row_number() OVER (ORDER BY period) AS i FROM (SELECT DISTINCT period FROM fp)), ad AS (SELECT cik, period, count(*) FILTER (NOT within OR parse_status = 'failed') = 0 AS admitted FROM cm GROUP BY ALL),
+ s AS (SELECT cik, period, CASE WHEN undisclosed = 0 AND admitted THEN max_bps END AS max_bps, i FROM cc JOIN sq USING (period) JOIN ad USING (cik, period)),
  b AS (SELECT *, count(max_bps) OVER w AS k, max(max_bps) OVER w AS mx, lag(i, 4) OVER (PARTITION BY cik ORDER BY i) AS l FROM s WINDOW w AS (PARTITION BY cik ORDER BY i ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING)),
  z AS (SELECT cik, period, max_bps, CASE WHEN k = 4 AND i - l = 4 THEN mx END AS baseline_bps FROM b)
  SELECT *, CASE WHEN baseline_bps IS NULL OR max_bps IS NULL THEN 'awaiting_baseline' WHEN max_bps * 100 > baseline_bps * 150 AND max_bps >= 500 THEN 'outsized' ELSE 'not_outsized' END AS state FROM z""",
-    "period_coverage": _B + f""", f AS (SELECT {_PE}, filing_key, table_value_total_usd AS t FROM sv), g AS (SELECT period, count(*) AS filings, count(*) - count(t) AS unmeasurable,
+    "period_coverage": _B + """, f AS (SELECT period, filing_key, table_value_total_usd AS t FROM sv), g AS (SELECT period, count(*) AS filings, count(*) - count(t) AS unmeasurable,
   CAST(sum(coalesce(s, 0)) AS BIGINT) AS resolved, CAST(sum(greatest(coalesce(t, 0), coalesce(s, 0))) AS BIGINT) AS denominator FROM f LEFT JOIN rs USING (filing_key) GROUP BY ALL)
  SELECT *, round(resolved / nullif(denominator, 0), 6) AS coverage, unmeasurable = 0 AND coalesce(resolved / nullif(denominator, 0) >= 0.95, false) AS certifiable FROM g""",
     "cover_dispositions": _B + """, p AS (SELECT filing_key, CAST(sum(value_usd) AS BIGINT) AS reported, count(*) AS n_rows, count(security_id) AS resolved_rows FROM r GROUP BY ALL)
  SELECT f.filing_key, n_rows, resolved_rows, reported, reported - table_value_total_usd AS delta, CASE WHEN reported - table_value_total_usd IS NULL THEN 'unknown' WHEN reported = table_value_total_usd THEN 'exact'
  WHEN abs(reported - table_value_total_usd) <= greatest(1000, table_value_total_usd // 1000) THEN 'rounding' ELSE 'conflict' END AS disposition FROM inst_filings f JOIN p USING (filing_key)""",
-    "filer_registry": _B + """, h AS (SELECT cik, count(*) AS holdings, CAST(coalesce(sum(value_usd), 0) AS BIGINT) AS value, count(*) - count(value_usd) AS undisclosed, count(*) - count(position_key) AS unkeyed, max(period) AS latest_period FROM r GROUP BY ALL)
+    "filer_registry": _B + """, h AS (SELECT cik, count(*) AS holdings, CAST(coalesce(sum(value_usd), 0) AS BIGINT) AS value, count(*) - count(value_usd) AS undisclosed, count(*) - count(position_key) AS unkeyed FROM rr GROUP BY ALL)
  SELECT f.cik, filings, latest_filed, coalesce(holdings, 0) AS holdings, coalesce(value, 0) AS value, coalesce(undisclosed, 0) AS undisclosed, coalesce(unkeyed, 0) AS unkeyed, latest_period
- FROM (SELECT cik, count(*) AS filings, max(filed_date) AS latest_filed FROM inst_filings GROUP BY ALL) f LEFT JOIN h USING (cik)""",
+ FROM (SELECT cik, count(*) AS filings, max(filed_date) AS latest_filed, max(period) AS latest_period FROM fr GROUP BY ALL) f LEFT JOIN h USING (cik)""",
     "effective_filers": _B + "SELECT cik, CAST(sum(table_value_total_usd) AS BIGINT) AS value FROM sv GROUP BY cik HAVING count(*) FILTER (parse_status = 'failed') = 0 AND sum(table_value_total_usd) IS NOT NULL ORDER BY value DESC, cik LIMIT 500",
     "issuer_holder_grain": _B + f""", a AS (SELECT {_I}, period, cik, CASE WHEN count(value_usd) = count(*) THEN CAST(sum(value_usd) AS BIGINT) END AS value, count(*) AS n FROM rr GROUP BY ALL),
- b AS (SELECT {_I}, period, CAST(sum(value_usd) AS BIGINT) AS dedup_total FROM dr GROUP BY ALL) SELECT a.*, b.dedup_total FROM a LEFT JOIN b USING (issuer_key, period)""",
-    "latest_period_rows": _B + "SELECT row_id, cik, period FROM r QUALIFY period = max(period) OVER (PARTITION BY cik)",
-    "period_diff": _B + """, k AS (SELECT *, dense_rank() OVER (PARTITION BY cik ORDER BY period DESC) AS k FROM ps), c AS (SELECT * FROM k WHERE k = 1), p AS (SELECT * FROM k WHERE k = 2),
+ b AS (SELECT {_I}, period, CASE WHEN count(value_usd) = count(*) THEN CAST(sum(value_usd) AS BIGINT) END AS total, true AS has FROM dr GROUP BY ALL)
+ SELECT a.*, CASE WHEN has THEN total ELSE 0 END AS dedup_total FROM a LEFT JOIN b USING (issuer_key, period)""",
+    "latest_period_rows": _B + "SELECT row_id, cik, period FROM rr QUALIFY period = max(period) OVER (PARTITION BY cik)",
+    "period_diff": _B + """, dp AS (SELECT cik, period, position_key, put_call_bucket, unit_key, CASE WHEN count(value_usd) = count(*) THEN CAST(sum(value_usd) AS BIGINT) END AS value,
+  CASE WHEN count(shares) = count(*) THEN CAST(sum(shares) AS BIGINT) END AS shares FROM rr WHERE position_key IS NOT NULL GROUP BY ALL),
+ k AS (SELECT *, row_number() OVER (PARTITION BY cik ORDER BY period DESC) AS k FROM fp), c AS (SELECT dp.* FROM dp JOIN k USING (cik, period) WHERE k = 1), p AS (SELECT dp.* FROM dp JOIN k USING (cik, period) WHERE k = 2),
  j AS (SELECT cik, position_key, put_call_bucket, unit_key, c.period AS a, p.period AS b, c.value - p.value AS dv, c.shares - p.shares AS ds FROM c FULL JOIN p USING (cik, position_key, put_call_bucket, unit_key))
- SELECT cik, position_key, put_call_bucket, unit_key, CASE WHEN b IS NULL THEN 'new' WHEN a IS NULL THEN 'gone' WHEN dv > 0 THEN 'up' WHEN dv < 0 THEN 'down' WHEN ds > 0 THEN 'up' WHEN ds < 0 THEN 'down' WHEN dv = 0 THEN 'same' ELSE 'unknown' END AS kind, dv AS delta_value FROM j""",
-    "composition_latest": _B + f"SELECT cik, {_PE}, arg_max(filing_key, (filed_date, accession)) AS latest_filing, max(filed_date) AS filed, count(*) AS filings FROM fr WHERE filed_date IS NOT NULL GROUP BY ALL",
+ SELECT cik, position_key, put_call_bucket, unit_key, CASE WHEN b IS NULL THEN 'added' WHEN a IS NULL THEN 'removed' WHEN dv > 0 THEN 'increased' WHEN dv < 0 THEN 'decreased' WHEN ds > 0 THEN 'increased' WHEN ds < 0 THEN 'decreased' WHEN dv = 0 THEN 'unchanged' ELSE 'unclassified' END AS kind,
+  dv AS delta_value, ds AS delta_shares FROM j""",
+    "composition_latest": _B + "SELECT cik, period, arg_max(filing_key, (filed_date, accession)) AS latest_filing, max(filed_date) AS filed, count(*) AS filings FROM fr WHERE filed_date IS NOT NULL GROUP BY ALL",
     "reporting_lag": """SELECT filing_key, year(period_of_report) || 'q' || quarter(period_of_report) AS quarter, date_diff('day', qe, filed_date) AS lag_days, filed_date > qe + 45 AS late
  FROM (SELECT *, last_day(date_trunc('quarter', period_of_report) + INTERVAL 2 MONTH) AS qe FROM inst_filings)""",
-    "universal_flags": _B + """, x AS (SELECT cik, period, unnest(list_distinct(from_json(flags, '["VARCHAR"]'))) AS flag FROM r), n AS (SELECT cik, period, count(*) AS n FROM r GROUP BY ALL)
- SELECT x.cik, x.period, flag FROM x JOIN n ON n.cik = x.cik AND n.period = x.period GROUP BY x.cik, x.period, flag, n.n HAVING count(*) = n.n""",
+    "universal_flags": _B + """, x AS (SELECT cik, period, unnest(list_distinct(from_json(flags, '["VARCHAR"]'))) AS flag FROM rr), n AS (SELECT cik, period, count(*) AS rows FROM rr GROUP BY ALL)
+ SELECT x.cik, x.period, flag, count(*) AS carried, n.rows, count(*) = n.rows AS universal FROM x JOIN n ON n.cik = x.cik AND n.period = x.period GROUP BY x.cik, x.period, flag, n.rows""",
 }

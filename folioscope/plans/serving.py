@@ -33,18 +33,13 @@ def q_merge(spark, d):
 
 
 def q_cap(spark, d):
-    t = table(spark, d, "documents").select("doc_id", "source", "text")
-    return K.cap_rows(t, "source", [F.col("doc_id")], F.octet_length("text"), 200, 100_000).select("doc_id", "source")
-
-
-def q_cap_full(spark, d):
     t = table(spark, d, "documents").select("doc_id", "source", "text")
     return K.cap_rows(t, "source", [F.col("doc_id")], F.octet_length("text"), EMBED_ROWS, EMBED_BYTES).select("doc_id", "source")
 
 
 def q_cap_bounds(spark, d):
     """How many documents of a source there are, how many are embedded, and what bounds them."""
-    return K.cap_bounds(table(spark, d, "documents"), q_cap_full(spark, d), "source", EMBED_ROWS)
+    return K.cap_bounds(table(spark, d, "documents"), q_cap(spark, d), "source", EMBED_ROWS)
 
 
 def q_shards(spark, d):
@@ -89,7 +84,7 @@ def q_page(spark, d):
 
 
 QUERIES = {
-    "serving_row_ids": q_row_ids, "dense_filing_keys": q_filing_keys, "merge_sink": q_merge, "embed_cap": q_cap, "embed_cap_full": q_cap_full, "embed_bounds": q_cap_bounds, "byte_shards": q_shards, "member_payloads": q_payloads,
+    "serving_row_ids": q_row_ids, "dense_filing_keys": q_filing_keys, "merge_sink": q_merge, "embed_cap": q_cap, "embed_bounds": q_cap_bounds, "byte_shards": q_shards, "member_payloads": q_payloads,
     "trade_digest": q_digest, "holdings_digest": q_holdings_digest, "audit_sample": q_sample, "search_index": q_search, "merged_feed": q_feed_merge, "trade_page": q_page,
 }
 
@@ -104,7 +99,11 @@ SQL = {
     "dense_filing_keys": "SELECT filing_id, row_number() OVER (ORDER BY filing_id) - 1 AS dense_key FROM inst_filings",
     "merge_sink": "SELECT DISTINCT filing_id, lifecycle, coalesce(row_count, 0) AS row_count FROM filings",
     "embed_cap": """SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER w AS n, sum(coalesce(strlen(text), 0)) OVER w AS b FROM documents
- WINDOW w AS (PARTITION BY source ORDER BY doc_id ROWS UNBOUNDED PRECEDING)) WHERE n = 1 OR (n <= 200 AND b <= 100000)""",
+ WINDOW w AS (PARTITION BY source ORDER BY doc_id ROWS UNBOUNDED PRECEDING)) WHERE n = 1 OR (n <= 20000 AND b <= 2097152)""",
+    "byte_shards": """WITH RECURSIVE d AS (SELECT source, doc_id, coalesce(strlen(text), 0) AS b, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM documents),
+ w AS (SELECT source, doc_id, i, b AS used, 0 AS shard FROM d WHERE i = 1
+  UNION ALL SELECT d.source, d.doc_id, d.i, CASE WHEN w.used + d.b > 65536 THEN d.b ELSE w.used + d.b END, CASE WHEN w.used + d.b > 65536 THEN w.shard + 1 ELSE w.shard END FROM w JOIN d ON d.source = w.source AND d.i = w.i + 1)
+ SELECT source, doc_id, CAST(shard AS BIGINT) AS shard FROM w""",
     "member_payloads": _T + """SELECT bioguide_id, '[' || string_agg('{"txn_id":"' || txn_id || '"}', ',' ORDER BY txn_id) || ']' AS payload, count(*) AS n FROM tr WHERE bioguide_id IS NOT NULL GROUP BY ALL""",
     "trade_digest": _T + f"SELECT {_DIG.replace('{r}', _ROW)} FROM tx",
     "holdings_digest": f"SELECT {_DIG.replace('{r}', _HOLD)} FROM (SELECT DISTINCT ON (row_id) * FROM serving_filer_rows)",
@@ -117,6 +116,5 @@ SQL = {
     "trade_page": _T + "SELECT txn_id FROM tr ORDER BY filed_date DESC NULLS LAST, transaction_date DESC NULLS LAST, txn_id LIMIT 50 OFFSET 100",
 }
 
-SQL["embed_cap_full"] = SQL["embed_cap"].replace("n <= 200", "n <= 20000").replace("b <= 100000", "b <= 2097152")
 SQL["embed_bounds"] = f"""SELECT source, total, kept, CASE WHEN kept < least(total, 20000) THEN 'bytes' WHEN kept < total THEN 'rows' END AS bound_by
- FROM (SELECT source, count(*) AS total FROM documents GROUP BY ALL) a JOIN (SELECT source, count(*) AS kept FROM ({SQL["embed_cap_full"]}) GROUP BY ALL) b USING (source)"""
+ FROM (SELECT source, count(*) AS total FROM documents GROUP BY ALL) a JOIN (SELECT source, count(*) AS kept FROM ({SQL["embed_cap"]}) GROUP BY ALL) b USING (source)"""

@@ -9,6 +9,9 @@ from ..operators import populations as P, positions as Q, ranges as R
 from ..sources import table
 from . import congress as C, institutions as I
 
+#: Filers with a page of their own.
+FILER_PAGES = 1_500
+
 
 def q_feed_counts(spark, d):
     """A filtered feed: shown, indeterminate by amount, and all, per side and owner group."""
@@ -20,19 +23,34 @@ def q_feed_counts(spark, d):
     )
 
 
+def watched(t, paper, members, tickers, last_seen):
+    """(kind, entity, latest, new, coverage): what is new since a day for the watched
+    members and tickers, each one's latest filing, and whether what is retained, trades
+    and paper filings, reaches back to that day (else gap).  ``members`` has bioguide_id,
+    ``tickers`` ticker; None watches all."""
+    since = t.select("filed_date").unionByName(paper.select("filed_date")).agg(F.min("filed_date").alias("m")).scalar()
+    def by(c, who):
+        rows = t.filter(F.col(c).isNotNull()) if who is None else t.join(who.select(c).distinct(), c, "left_semi")
+        return rows.groupBy(F.lit(c).alias("kind"), F.col(c).alias("entity")).agg(F.max("filed_date").alias("latest"), F.count_if(F.col("filed_date") > last_seen).alias("new"))
+    out = by("bioguide_id", members).unionByName(by("ticker", tickers))
+    day = F.lit(last_seen).cast("date")
+    return out.withColumn("coverage", F.when(day.isNull(), "none").when(day < since, "gap").otherwise("current"))
+
+
 def q_watch(spark, d):
-    """What is new for watched members since a day, and each one's latest filing."""
-    watched = ["Kenneth F. Barzemtar"]
-    t = C.trades(spark, d).filter(F.col("member").isin(watched) | F.col("ticker").startswith("A"))
-    return t.groupBy(F.coalesce("bioguide_id", "ticker").alias("entity")).agg(F.max("filed_date").alias("latest"), F.min("filed_date").alias("earliest"), F.count_if(F.col("filed_date") > "2022-06-30").alias("new"))
+    """The members of one state, and the tickers they traded, since a day."""
+    t = C.trades(spark, d)
+    m = table(spark, d, "members").filter(F.col("state") == "CA")
+    paper = P.once(table(spark, d, "filings"), "filing_id").filter((F.col("lifecycle") == "active") & (F.col("parse_status") == "needs_ocr"))
+    k = t.join(m.select("bioguide_id"), "bioguide_id", "left_semi").filter(F.col("ticker").isNotNull())
+    return watched(t, paper, m, k.select("ticker"), "2022-06-30")
 
 
 def q_watch_all(spark, d):
-    """What is new since a day for every member and every ticker, and each one's latest filing."""
+    """The same of every member and every ticker, since a day before anything retained."""
     t = C.trades(spark, d)
-    by = lambda c: t.filter(F.col(c).isNotNull()).groupBy(F.lit(c).alias("kind"), F.col(c).alias("entity"))
-    told = [F.max("filed_date").alias("latest"), F.min("filed_date").alias("earliest"), F.count_if(F.col("filed_date") > "2022-06-30").alias("new")]
-    return by("bioguide_id").agg(*told).unionByName(by("ticker").agg(*told))
+    paper = P.once(table(spark, d, "filings"), "filing_id").filter((F.col("lifecycle") == "active") & (F.col("parse_status") == "needs_ocr"))
+    return watched(t, paper, None, None, "2010-06-30")
 
 
 def q_crosswalk(spark, d):
@@ -80,7 +98,7 @@ def q_pair_flags(spark, d):
 
 def q_composition(spark, d):
     """What a filer's period is composed of, and why it may be incomplete."""
-    f = I.quarter(P.filer_reported_filings(I.filings(spark, d), I.rows(spark, d)))
+    f = I.composed(spark, d).filter("within")
     am = P.is_amendment()
     full = ~am | F.coalesce(F.col("amendment_type") == "RESTATEMENT", F.lit(False))
     additive = am & F.coalesce(F.col("amendment_type") == "NEW_HOLDINGS", F.lit(False))
@@ -91,7 +109,7 @@ def q_composition(spark, d):
 
 def q_provenance(spark, d):
     """Accessions of a composition in order, the latest date and its lag."""
-    f = I.quarter(P.filer_reported_filings(I.filings(spark, d), I.rows(spark, d)))
+    f = I.composed(spark, d).filter("within")
     g = f.groupBy("cik", "period").agg(
         F.array_join(F.array_sort(F.collect_list("accession")), ",").alias("accessions"), F.max("filed_date").alias("latest"), (F.count("filed_date") == F.count(F.lit(1))).alias("known")
     )
@@ -101,7 +119,7 @@ def q_provenance(spark, d):
 def q_disclosed_totals(spark, d):
     """Disclosed value and undisclosed rows, resolved and not, per filer and period."""
     res = F.col("security_id").isNotNull()
-    return I.rows(spark, d).groupBy("cik", "period").agg(
+    return I.reported_rows(spark, d).groupBy("cik", "period").agg(
         Q.exact_sum("value_usd").alias("disclosed"), F.count_if(F.col("value_usd").isNull()).alias("undisclosed_rows"),
         F.sum(F.when(res, F.col("value_usd").cast("decimal(38,0)"))).cast("long").alias("resolved"), F.count_if(res).alias("resolved_rows"),
     )
@@ -110,12 +128,12 @@ def q_disclosed_totals(spark, d):
 def q_keying(spark, d):
     """How issuers are keyed: by CUSIP block or by name."""
     k = F.substring_index(I.issuer(), ":", 1)
-    return I.rows(spark, d).groupBy("period", k.alias("keyed_by")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("cik").alias("filers"))
+    return I.reported_rows(spark, d).groupBy("period", k.alias("keyed_by")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("cik").alias("filers"))
 
 
 def q_display_names(spark, d):
     """A position's issuer name in its period, else in the period before."""
-    r = I.rows(spark, d).filter(F.col("position_key").isNotNull())
+    r = I.reported_rows(spark, d).filter(F.col("position_key").isNotNull())
     n = r.groupBy("cik", "period", "position_key").agg(F.min("issuer_name").alias("name"))
     deltas = I.deltas(spark, d).select("cik", "period", "prev_period", "position_key")
     a = deltas.join(n, ["cik", "period", "position_key"], "left")
@@ -123,22 +141,12 @@ def q_display_names(spark, d):
     return a.join(b, ["cik", "prev_period", "position_key"], "left").select("cik", "period", "position_key", F.coalesce("name", "old_name").alias("name")).distinct()
 
 
-def tiers(spark, d, most):
+def q_tiers(spark, d, most=FILER_PAGES):
     """Filers by the value of their latest period: the top tier and the rest."""
-    l = I.q_latest(spark, d).select("row_id")
-    v = I.rows(spark, d).join(l, "row_id", "left_semi").groupBy("cik").agg(Q.exact_sum("value_usd").alias("value"))
-    # the cut is the value and cik of the last of the top, so no global ranking is made
-    cut = v.orderBy(F.col("value").desc_nulls_last(), "cik").limit(most).select("cik", F.lit(True).alias("top"))
-    return v.join(F.broadcast(cut), "cik", "left").select("cik", "value", F.when(F.col("top"), "top").otherwise("tail").alias("tier"))
-
-
-def q_tiers(spark, d):
-    return tiers(spark, d, 20)
-
-
-def q_tiers_full(spark, d):
-    """As many filers at the top as in the reference."""
-    return tiers(spark, d, 1_500)
+    v = Q.latest(I.reported_rows(spark, d), "cik").groupBy("cik").agg(Q.exact_sum("value_usd").alias("value"))
+    # a top-k, not a global ranking; its size is the parameter
+    top = v.orderBy(F.col("value").desc_nulls_last(), "cik").limit(most).select("cik", F.lit(True).alias("top"))
+    return v.join(F.broadcast(top), "cik", "left").select("cik", "value", F.when(F.col("top"), "top").otherwise("tail").alias("tier"))
 
 
 def q_comparable(spark, d):
@@ -148,10 +156,9 @@ def q_comparable(spark, d):
 
 def q_routing(spark, d):
     """Filer periods by whether they lie in the two newest published periods."""
-    r = I.rows(spark, d)
-    last = [x.period for x in r.select("period").distinct().orderBy(F.desc("period")).limit(2).collect()]  # two values
-    pub = F.col("period").isin(last)
-    return r.groupBy("period").agg(F.countDistinct("cik").alias("filers")).select("period", "filers", F.when(pub, "published").when(F.col("period") > max(last), "post_snapshot").otherwise("off_universe").alias("route"))
+    g = I.reported_rows(spark, d).groupBy("period").agg(F.countDistinct("cik").alias("filers"))  # a row a period
+    k = F.row_number().over(W.orderBy(F.desc("period")))
+    return g.withColumn("k", k).select("period", "filers", F.when(F.col("k") <= 2, "published").otherwise("off_universe").alias("route"))
 
 
 def q_grid(spark, d):
@@ -196,17 +203,24 @@ def q_notable(spark, d):
 QUERIES = {
     "feed_counts": q_feed_counts, "watchlist": q_watch, "watch_all": q_watch_all, "crosswalk": q_crosswalk, "index_reconciliation": q_reconcile, "corpus_floor": q_floor, "reparse_targets": q_reparse,
     "gate_severity": q_severity, "pair_flags": q_pair_flags, "composition": q_composition, "provenance": q_provenance, "disclosed_totals": q_disclosed_totals,
-    "issuer_keying": q_keying, "display_names": q_display_names, "filer_tiers": q_tiers, "filer_tiers_full": q_tiers_full, "comparable_hhi": q_comparable, "published_routing": q_routing,
+    "issuer_keying": q_keying, "display_names": q_display_names, "filer_tiers": q_tiers, "comparable_hhi": q_comparable, "published_routing": q_routing,
     "stratum_grid": q_grid, "document_sizes": q_sizes, "member_rates": q_rates, "effective_flags": q_defects, "notable_trades": q_notable,
 }
 
 _B, _Q, _CO, _T, _PE, _I = I._B, I._Q, I._CO, C._T, I._PE, I._I
 _PCT = "CASE WHEN {w} <= 0 THEN NULL WHEN {p} = {w} THEN 100.0 ELSE least(floor({p} * 1000 / {w}) / 10, 99.9) END"
 
+_WATCH = ", mn AS (SELECT min(filed_date) AS since FROM (SELECT filed_date FROM tr UNION ALL SELECT filed_date FROM ac WHERE parse_status = 'needs_ocr'))"
+_SEEN = "max(filed_date) AS latest, count(*) FILTER (filed_date > DATE '{day}') AS new, CASE WHEN DATE '{day}' < any_value(since) THEN 'gap' ELSE 'current' END AS coverage"
+
 SQL = {
     "feed_counts": _T + """, k AS (SELECT *, coalesce(owner, 'none') AS owner_group, coalesce(owner, 'none') IN ('none', 'self', 'spouse') AND (contains(lower(coalesce(member, filer_name_raw)), 'a') OR coalesce(ticker LIKE 'A%', false)) AS ok FROM tr)
  SELECT side, owner_group, count(*) AS total, count(*) FILTER (ok AND coalesce(amount_low > 15000, false)) AS shown, count(*) FILTER (ok AND NOT coalesce(amount_low > 15000, false) AND NOT coalesce(amount_high <= 15000, false)) AS indeterminate FROM k GROUP BY ALL""",
-    "watchlist": _T + "SELECT coalesce(bioguide_id, ticker) AS entity, max(filed_date) AS latest, min(filed_date) AS earliest, count(*) FILTER (filed_date > DATE '2022-06-30') AS new FROM tr WHERE member = 'Kenneth F. Barzemtar' OR ticker LIKE 'A%' GROUP BY 1",
+    "watchlist": _T + f"""{_WATCH}, ca AS (SELECT bioguide_id FROM members WHERE state = 'CA'), k AS (SELECT DISTINCT ticker FROM tr SEMI JOIN ca USING (bioguide_id) WHERE ticker IS NOT NULL)
+ SELECT 'bioguide_id' AS kind, bioguide_id AS entity, {_SEEN.replace('{day}', '2022-06-30')} FROM tr, mn WHERE bioguide_id IN (FROM ca) GROUP BY ALL
+ UNION ALL SELECT 'ticker', ticker, {_SEEN.replace('{day}', '2022-06-30')} FROM tr, mn WHERE ticker IN (FROM k) GROUP BY ALL""",
+    "watch_all": _T + f"""{_WATCH} SELECT 'bioguide_id' AS kind, bioguide_id AS entity, {_SEEN.replace('{day}', '2010-06-30')} FROM tr, mn WHERE bioguide_id IS NOT NULL GROUP BY ALL
+ UNION ALL SELECT 'ticker', ticker, {_SEEN.replace('{day}', '2010-06-30')} FROM tr, mn WHERE ticker IS NOT NULL GROUP BY ALL""",
     "crosswalk": _T + "SELECT f.filing_id, CASE WHEN p.filing_id IS NOT NULL THEN 'retired' ELSE f.lifecycle END AS lifecycle FROM fl f LEFT JOIN fl p ON p.filing_id = f.primary_filing_id AND p.chamber = f.chamber AND p.parse_status = 'parsed' WHERE f.primary_filing_id IS NOT NULL",
     "index_reconciliation": _T + """SELECT chamber, parse_status, CASE WHEN row_count IS NULL THEN CASE WHEN found IS NULL THEN 'nothing_declared' ELSE 'undeclared' END WHEN coalesce(found, 0) = row_count THEN 'agrees' ELSE 'differs' END AS state, count(*) AS filings
  FROM fl LEFT JOIN (SELECT filing_id, count(*) AS found FROM tx GROUP BY ALL) USING (filing_id) GROUP BY ALL""",
@@ -215,19 +229,19 @@ SQL = {
     "gate_severity": _T + """SELECT chamber, year, filings, paper AS unmeasurable, filings - paper - parsed AS shortfall FROM (SELECT chamber, year(filed_date) AS year, count(*) AS filings, count(*) FILTER (parse_status = 'parsed') AS parsed,
  count(*) FILTER (parse_status = 'needs_ocr') AS paper FROM ac GROUP BY ALL) WHERE filings = paper OR parsed * 100 < (filings - paper) * 97""",
     "pair_flags": _T + "SELECT a.filing_id FROM fl a JOIN fl o ON o.filing_id = a.supersedes UNION SELECT o.filing_id FROM fl a JOIN fl o ON o.filing_id = a.supersedes",
-    "composition": _B + f""", f AS (SELECT cik, {_PE}, parse_status, coalesce(is_amendment, false) OR upper(regexp_replace(submission_type, '\\s', '', 'g')) LIKE '%/A' AS am, amendment_type AS t FROM fr),
+    "composition": _B + f""", f AS (SELECT cik, period, parse_status, coalesce(is_amendment, false) OR upper(regexp_replace(submission_type, '\\s', '', 'g')) LIKE '%/A' AS am, amendment_type AS t FROM fr),
  g AS (SELECT cik, period, count(*) FILTER (NOT am OR coalesce(t = 'RESTATEMENT', false)) AS full_reports, count(*) FILTER (am AND coalesce(t = 'NEW_HOLDINGS', false)) AS additive,
   count(*) FILTER (am AND NOT coalesce(t IN ('RESTATEMENT', 'NEW_HOLDINGS'), false)) AS unknown, count(*) FILTER (parse_status <> 'parsed') AS unparsed FROM f GROUP BY ALL)
  SELECT *, '[' || array_to_string(list_filter([CASE WHEN full_reports = 0 THEN '"no_full_report"' END, CASE WHEN full_reports > 1 THEN '"several_full_reports"' END, CASE WHEN unknown > 0 THEN '"unknown_amendment"' END, CASE WHEN unparsed > 0 THEN '"unparsed_member"' END], lambda x: x IS NOT NULL), ',') || ']' AS reasons FROM g""",
-    "provenance": _B + f"SELECT *, date_diff('day', CAST(period AS DATE), latest) AS lag_days FROM (SELECT cik, {_PE}, string_agg(accession, ',' ORDER BY accession) AS accessions, max(filed_date) AS latest, count(filed_date) = count(*) AS known FROM fr GROUP BY cik, period)",
-    "disclosed_totals": _B + "SELECT cik, period, CAST(sum(value_usd) AS BIGINT) AS disclosed, count(*) - count(value_usd) AS undisclosed_rows, CAST(sum(value_usd) FILTER (security_id IS NOT NULL) AS BIGINT) AS resolved, count(security_id) AS resolved_rows FROM r GROUP BY ALL",
-    "issuer_keying": _B + "SELECT period, CASE WHEN length(cusip) >= 6 THEN 'cusip6' ELSE 'name' END AS keyed_by, count(*) AS n, count(DISTINCT cik) AS filers FROM r GROUP BY ALL",
-    "display_names": _Q + """, n AS (SELECT cik, period, position_key, min(issuer_name) AS name FROM r WHERE position_key IS NOT NULL GROUP BY ALL)
+    "provenance": _B + f"SELECT *, date_diff('day', CAST(period AS DATE), latest) AS lag_days FROM (SELECT cik, period, string_agg(accession, ',' ORDER BY accession) AS accessions, max(filed_date) AS latest, count(filed_date) = count(*) AS known FROM fr GROUP BY cik, period)",
+    "disclosed_totals": _B + "SELECT cik, period, CAST(sum(value_usd) AS BIGINT) AS disclosed, count(*) - count(value_usd) AS undisclosed_rows, CAST(sum(value_usd) FILTER (security_id IS NOT NULL) AS BIGINT) AS resolved, count(security_id) AS resolved_rows FROM rr GROUP BY ALL",
+    "issuer_keying": _B + "SELECT period, CASE WHEN length(cusip) >= 6 THEN 'cusip6' ELSE 'name' END AS keyed_by, count(*) AS n, count(DISTINCT cik) AS filers FROM rr GROUP BY ALL",
+    "display_names": _Q + """, n AS (SELECT cik, period, position_key, min(issuer_name) AS name FROM rr WHERE position_key IS NOT NULL GROUP BY ALL)
  SELECT DISTINCT q.cik, q.period, q.position_key, coalesce(a.name, b.name) AS name FROM qd q LEFT JOIN n a ON a.cik = q.cik AND a.period = q.period AND a.position_key = q.position_key LEFT JOIN n b ON b.cik = q.cik AND b.period = q.prev_period AND b.position_key = q.position_key""",
-    "filer_tiers": _B + """, l AS (SELECT * FROM r QUALIFY period = max(period) OVER (PARTITION BY cik)), v AS (SELECT cik, CAST(sum(value_usd) AS BIGINT) AS value FROM l GROUP BY cik)
- SELECT cik, value, CASE WHEN row_number() OVER (ORDER BY value DESC NULLS LAST, cik) <= 20 THEN 'top' ELSE 'tail' END AS tier FROM v""",
+    "filer_tiers": _B + """, l AS (SELECT * FROM rr QUALIFY period = max(period) OVER (PARTITION BY cik)), v AS (SELECT cik, CAST(sum(value_usd) AS BIGINT) AS value FROM l GROUP BY cik)
+ SELECT cik, value, CASE WHEN row_number() OVER (ORDER BY value DESC NULLS LAST, cik) <= 1500 THEN 'top' ELSE 'tail' END AS tier FROM v""",
     "comparable_hhi": _CO + "SELECT cik, period, CASE WHEN undisclosed = 0 THEN hhi END AS hhi, undisclosed > 0 AS withheld FROM cc",
-    "published_routing": _B + "SELECT period, count(DISTINCT cik) AS filers, CASE WHEN period IN (SELECT DISTINCT period FROM r ORDER BY period DESC LIMIT 2) THEN 'published' ELSE 'off_universe' END AS route FROM r GROUP BY period",
+    "published_routing": _B + "SELECT period, count(DISTINCT cik) AS filers, CASE WHEN period IN (SELECT DISTINCT period FROM rr ORDER BY period DESC LIMIT 2) THEN 'published' ELSE 'off_universe' END AS route FROM rr GROUP BY period",
     "stratum_grid": _T + """, g AS (SELECT * FROM (SELECT unnest(['house', 'senate']) AS chamber), (SELECT unnest(['2012-2015', '2016-2019', '2020-2023', '2024+']) AS band), (SELECT unnest(['equity', 'other']) AS class)),
  x AS (SELECT chamber, CASE WHEN year(filed_date) < 2016 THEN '2012-2015' WHEN year(filed_date) < 2020 THEN '2016-2019' WHEN year(filed_date) < 2024 THEN '2020-2023' ELSE '2024+' END AS band, CASE WHEN asset_type IN ('ST', 'OP') THEN 'equity' ELSE 'other' END AS class FROM tx)
  SELECT g.chamber, g.band, g.class, count(x.chamber) AS n FROM g LEFT JOIN x ON x.chamber = g.chamber AND x.band = g.band AND x.class = g.class GROUP BY ALL""",
@@ -239,7 +253,3 @@ SQL = {
     "notable_trades": _T + """, k AS (SELECT *, CAST(date_trunc('week', filed_date) AS DATE) AS week, CASE WHEN filed_date < transaction_date THEN 'anomaly' WHEN amount_low IS NULL THEN 'unrankable' ELSE 'ranked' END AS standing FROM tr)
  SELECT week, standing, rank, txn_id FROM (SELECT *, row_number() OVER (PARTITION BY week, standing ORDER BY amount_low DESC NULLS LAST, txn_id) AS rank FROM k) WHERE rank <= 3""",
 }
-
-SQL["filer_tiers_full"] = SQL["filer_tiers"].replace("<= 20 ", "<= 1500 ")
-_NEW = "max(filed_date) AS latest, min(filed_date) AS earliest, count(*) FILTER (filed_date > DATE '2022-06-30') AS new FROM tr"
-SQL["watch_all"] = _T + f"SELECT 'bioguide_id' AS kind, bioguide_id AS entity, {_NEW} WHERE bioguide_id IS NOT NULL GROUP BY ALL UNION ALL SELECT 'ticker', ticker, {_NEW} WHERE ticker IS NOT NULL GROUP BY ALL"

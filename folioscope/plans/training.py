@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.common import cut_lineage
 from ..operators.asof import asof_join, disjoint_versions
 from ..operators.eager import distinct_records, eager_join_aggregate, heavy_groups
 from ..operators.snapshots import diff_snapshots_of
@@ -41,6 +42,18 @@ def p1_per_filer(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p1_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Holdings beside every filing of their filer: each holding meets as many rows as the
+    filer has filings, and each filing as many as it has holdings."""
+    holdings = distinct_records(table(spark, d, "serving_filer_rows"), "row_id", ["cik", "period", "value_usd"])
+    reports = table(spark, d, "inst_filings").select("cik", "table_value_total_usd")
+    pairs = eager_join_aggregate(holdings, reports, ["cik"], ["cik", "period"], ["value_usd"], ["table_value_total_usd"])
+    return pairs.select(
+        "cik", "period", "n_left", F.col("n_joined").cast("long").alias("n_joined"), "n_matched",
+        F.col("sum_value_usd").cast("string").alias("sum_value_usd"), F.col("sum_table_value_total_usd").cast("string").alias("sum_cover_total_usd"),
+    )
+
+
 def p2_changes(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "serving_filer_rows")
     keyed = rows.filter(F.col("position_key").isNotNull())
@@ -69,6 +82,7 @@ def party_at_trade(spark: SparkSession, d: str) -> DataFrame:
         .select("txn_id", "bioguide_id", "transaction_date")
         .dropDuplicates(["txn_id"])
     )
+    trades = cut_lineage(trades)  # read for the cuts and for the merge
     joined = asof_join(
         trades, versions, "bioguide_id", "transaction_date", "valid_from", "valid_to", ["party", "roster_party", "on_roster"]
     )
@@ -88,6 +102,7 @@ def p6_party_at_trade(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_per_filer": p1_per_filer,
+    "p1_pairs": p1_pairs,
     "p2_found": p2_found,
     "p2_changes": p2_changes,
     "p6_found": p6_found,
@@ -142,6 +157,11 @@ SELECT h.cik, count(*) AS n_left, count(*) AS n_joined, count(f.filing_key) AS n
        CAST(sum(h.shares) AS BIGINT) AS sum_shares, CAST(sum(f.table_value_total_usd) AS VARCHAR) AS sum_cover_total_usd
 FROM (SELECT DISTINCT row_id, cik, filing_key, value_usd, shares FROM serving_filer_rows) h
 LEFT JOIN inst_filings f USING (filing_key) GROUP BY h.cik
+""",
+    "p1_pairs": """
+SELECT h.cik, h.period, count(DISTINCT h.row_id) AS n_left, count(*) AS n_joined, count(DISTINCT h.row_id) FILTER (f.filing_key IS NOT NULL) AS n_matched,
+       CAST(sum(h.value_usd) AS VARCHAR) AS sum_value_usd, CAST(sum(f.table_value_total_usd) AS VARCHAR) AS sum_cover_total_usd
+FROM (SELECT DISTINCT row_id, cik, period, value_usd FROM serving_filer_rows) h LEFT JOIN inst_filings f ON f.cik = h.cik GROUP BY h.cik, h.period
 """,
     "p2_found": _CHANGES + "SELECT cik, period, position_key, put_call_bucket, unit_key, change_kind FROM f",
     "p2_changes": _CHANGES + "SELECT * FROM f",

@@ -149,9 +149,38 @@ def test_qoq_passes(spark):
 
 def test_concentration_exact(spark):
     r = spark.createDataFrame([("a", "q", i, f"k{i}", "LONG", v) for i, v in enumerate([1, 2, 3, 4])] + [("b", "q", 9, None, "LONG", None), ("b", "q", 10, None, "LONG", 0)], "cik string, period string, row_id int, position_key string, put_call_bucket string, value_usd long")
-    got = {x.cik: x for x in Q.concentration(r, 2).collect()}
+    periods = spark.createDataFrame([("a", "q"), ("b", "q"), ("none", "q")], "cik string, period string")
+    got = {x.cik: x for x in Q.concentration(r, periods, 2).collect()}
+    assert (got["none"].positions, got["none"].total_value, got["none"].flag) == (0, 0, "concentration_unavailable")
     assert (got["a"].topn_bps, got["a"].max_bps, got["a"].hhi, got["a"].flag) == (7000, 4000, 3000, None)
-    assert (got["b"].positions, got["b"].hhi, got["b"].flag) == (2, None, "total_not_positive")
+    assert (got["b"].positions, got["b"].hhi, got["b"].flag) == (2, None, "concentration_unavailable")
+
+
+def test_outsized_needs_whole_admitted_books(spark):
+    seq = [f"q{i}" for i in range(8)]
+    def book(cik, shares, hide=(), refuse=(), skip=()):
+        return [(cik, q, s, int(i in hide), i not in refuse) for i, (q, s) in enumerate(zip(seq, shares)) if i not in skip]
+    rows = (
+        book("big", [1000] * 4 + [1501]) + book("edge", [1000] * 4 + [1500]) + book("floor", [100] * 4 + [499]) + book("hidden", [1000] * 4 + [9000], hide=[4])
+        + book("base_hidden", [1000] * 4 + [9000], hide=[2]) + book("refused", [1000] * 4 + [9000], refuse=[1]) + book("own_refused", [1000] * 4 + [9000], refuse=[4])
+        + book("short", [1000] * 3 + [9000]) + book("gap", [1000] * 5 + [9000], skip=[2]) + book("none", [1000] * 4 + [None])
+    )
+    df = spark.createDataFrame(rows, "cik string, period string, max_bps long, undisclosed int, admitted boolean")
+    last = {}
+    for x in Q.outsized(df, df).collect():
+        if x.cik not in last or x.period > last[x.cik][0]:
+            last[x.cik] = (x.period, x.state)
+    assert {k: v[1] for k, v in last.items()} == {
+        "big": "outsized", "edge": "not_outsized", "floor": "not_outsized", "hidden": "awaiting_baseline", "base_hidden": "awaiting_baseline", "refused": "awaiting_baseline",
+        "own_refused": "awaiting_baseline", "short": "awaiting_baseline", "gap": "awaiting_baseline", "none": "awaiting_baseline",
+    }
+
+
+def test_a_quarter_without_positions_parts_its_neighbours(spark):
+    p = spark.createDataFrame([("a", "q1", "sid:1", "LONG", "SH", 1, 1, None), ("a", "q3", "sid:1", "LONG", "SH", 1, 1, None)], "cik string, period string, position_key string, put_call_bucket string, unit_key string, value long, shares long, cusip string")
+    periods = spark.createDataFrame([("a", q) for q in ("q1", "q2", "q3")], "cik string, period string")
+    assert {(x.period, x.change_kind) for x in Q.qoq_deltas(p, periods).collect()} == {("q2", "exit"), ("q3", "new")}
+    assert {(x.period, x.change_kind) for x in Q.qoq_deltas(p, p).collect()} == {("q3", "add")}
 
 
 def test_sinks(spark, tmp_path):
@@ -200,10 +229,13 @@ def test_digests(spark):
 def test_members_and_committees(spark):
     terms = "array<struct<type:string,start:date,end:date,state:string,district:string,party:string>>"
     m = spark.createDataFrame([("M1", "Ann Böhm", [("rep", day(0), day(100), "X", "1", "D")]), ("M2", "Ann C. Böhm", [("rep", day(200), None, "X", "1", "D")]), ("M3", "Al Twin", [("sen", day(0), None, "X", None, "R")]), ("M4", "Al Twin", [("sen", day(0), None, "Y", None, "R")])], f"bioguide_id string, full_name string, terms {terms}")
-    al = spark.createDataFrame([("Smith, Zed", "house", day(0), day(50), "M1"), ("Both One", "house", day(0), None, "M1"), ("One, Both", "house", day(0), None, "M2")], "alias string, chamber string, valid_from date, valid_to date, bioguide_id string")
+    al = spark.createDataFrame([("Smith, Zed", "house", day(0), day(50), "M1"), ("Both One", "house", day(0), None, "M1"), ("One, Both", "house", day(0), None, "M2")], "alias string, chamber string, valid_from date, valid_to date, bioguide_id string").withColumns({"state": F.lit("X"), "district": F.lit("1")})
     f = spark.createDataFrame([("a", "house", "Hon. Zed Smith", day(1)), ("b", "house", "Zed Smith", day(50)), ("c", "house", "Bohm, Ann", day(100)), ("d", "house", "Ann Bohm", day(250)), ("e", "senate", "AL TWIN", day(1)), ("g", "house", "Both One", day(1)), ("h", None, None, None)], "filing_id string, chamber string, filer_name_raw string, filed_date date")
     got = {r.filing_id: (r.bioguide_id, r.outcome) for r in M.resolve_members(f, al, m).collect()}
-    assert got == {"a": ("M1", "alias"), "b": (None, "unmatched"), "c": ("M1", "matched"), "d": ("M2", "matched"), "e": (None, "ambiguous"), "g": (None, "alias_conflict"), "h": (None, "unmatched")}
+    assert got == {"a": ("M1", "alias"), "b": (None, "unmatched"), "c": ("M1", "matched"), "d": ("M2", "matched"), "e": (None, "ambiguous"), "g": ("M1", "alias"), "h": (None, "unmatched")}
+    hinted = f.filter("filing_id in ('a', 'c')").withColumn("state", F.lit("X")).withColumn("district", F.lit("1"))
+    assert {r.bioguide_id for r in M.resolve_members(hinted, al, m).collect()} == {"M1"}
+    assert {r.outcome for r in M.resolve_members(hinted.withColumn("district", F.lit("2")), al, m).collect()} == {"unmatched"}  # never given up
     seats = spark.createDataFrame([("AG", "M1", day(0), day(10)), ("FI", "M2", day(5), day(20))], "committee_id string, bioguide_id string, valid_from date, valid_to date")
     t = spark.createDataFrame([(1, "M1", day(5), "XX"), (2, "M1", day(15), "YY"), (3, "M1", day(30), "XX"), (4, "M2", day(6), None)], "i int, who string, at date, ticker string")
     got = {r.i: r.committees for r in C.membership_as_of(t, "who", "at", seats).collect()}
@@ -213,19 +245,68 @@ def test_members_and_committees(spark):
     assert got == {1: ("Agriculture", "overlap"), 2: ("no_sic", "unmapped"), 3: ("Agriculture", "undatable"), 4: ("no_ticker", "unmapped")}
 
 
+def test_names_of_filers(spark):
+    names = {"Beyer, Donald Sternoff Jr": "donald sternoff beyer", "Dunn, Neal Patrick MD, Facs": "neal patrick dunn", "Begich, Nicholas III": "nicholas begich", "HÖBFOLTAR, José": "jose hobfoltar", "Ann O'Brien-Smith": "ann o brien smith", " ": "", "Ñandú ǅ": None}
+    df = spark.createDataFrame([(k,) for k in names], "n string")
+    got = {r.n: r.x for r in df.select("n", M.filer_name(F.col("n")).alias("x")).collect()}
+    assert {k: v for k, v in got.items() if names[k] is not None} == {k: v for k, v in names.items() if v is not None}
+    hints = M.index_hints(spark.createDataFrame([("7", "MO04"), ("8", "AK00"), ("9", "??")], "doc_id string, state_dst string"))
+    assert sorted(tuple(r) for r in hints.collect()) == [("house:7", "MO", "4"), ("house:8", "AK", "0")]
+    seed = spark.createDataFrame([("1", "congress", "house", None, "U.S. Representative · CT-04"), ("2", "congress", "senate", "TX", "x"), ("3", "executive", "house", "TX", "")], "id string, branch string, chamber string, state string, office string")
+    assert sorted(tuple(r) for r in M.seed_hints(seed).collect()) == [("kadoa:1", "CT", "4"), ("kadoa:2", "TX", None)]
+    f = spark.createDataFrame([("a1", "amendment", "senate", "X", day(9), day(1)), ("o1", "ptr", "senate", "X", day(1), None), ("a2", "amendment", "senate", "Y", day(9), day(2)), ("o2", "ptr", "senate", "Y", day(3), day(2)), ("o3", "ptr", "senate", "Y", day(2), None)], "filing_id string, filing_kind string, chamber string, filer_name_raw string, filed_date date, title_date date")
+    assert {r.filing_id: (r.supersedes, r.candidates) for r in M.pair_amendments(f).collect()} == {"a1": ("o1", 1), "a2": (None, 2)}
+
+
 def test_clusters(spark):
     r = random.Random(5)
     rows = [(f"t{i}", f"m{r.randrange(8)}", r.choice("ab"), "purchase", day(r.randrange(60)), day(90), 1001) for i in range(120)]
     df = spark.createDataFrame(rows, "txn_id string, bioguide_id string, ticker string, side string, transaction_date date, filed_date date, amount_low long")
-    got = {(x.ticker, x["at"]): x.members for x in S.cooccurrence(df).collect()}
-    want = {}
-    for k, d in {(x[2], x[4]) for x in rows}:
-        n = len({x[1] for x in rows if x[2] == k and 0 <= (d - x[4]).days <= 13})
-        if n >= 4:
-            want[k, d] = n
-    assert got == want
-    g = S.gate(spark.createDataFrame([("s1",)] * 9 + [("s9",)], "kind string"), df.withColumn("filed_date", F.col("transaction_date")), {"s1": (0.0, 1.0)}, 10)
-    assert {x.kind: x.withheld for x in g.collect()} == {"s1": "volume-out-of-bounds", "s9": "inputs-not-in-build"}
+    got = {(x.ticker, x["at"]) for x in S.cooccurrence(df).collect()}
+    want = set()
+    for k in "ab":
+        last = None
+        for d in sorted({x[4] for x in rows if x[2] == k}):
+            n = len({x[1] for x in rows if x[2] == k and 0 <= (x[4] - d).days <= 13})
+            if n >= 4 and (last is None or (d - last).days >= 14):
+                want.add((k, d))
+                last = d
+    assert got == want and want
+
+
+def test_gate_by_cohort_and_lifecycle(spark):
+    def sig(kind, n, chamber="house", at=day(400)):
+        return [(kind, chamber, f"{kind}{chamber}{i}{at}", at) for i in range(n)]
+    bounds = {"a": S.Bound(120, 1, 0), "b": S.Bound(120, 1, 0), "c": S.Bound(120, 1, 9999), "d": S.Bound(9, 50, 0)}
+    df = spark.createDataFrame(sig("a", 361) + sig("b", 200) + sig("b", 100, "senate") + sig("b", 4000, at=day(1)) + sig("c", 5) + sig("d", 5), "kind string, chamber string, dedupe_key string, at date")
+    history = spark.createDataFrame([(day(0),), (day(400),)], "filed_date date")
+    g = S.gate(df, history, bounds, ["a", "b", "c", "d", "e"])
+    assert {x.kind: x.withheld for x in g.collect()} == {"a": "volume-out-of-bounds", "b": None, "c": "insufficient-history", "d": "volume-out-of-bounds", "e": "inputs-not-in-build"}
+    assert S.retained(df, g, history).groupBy("kind").count().collect()[0]["count"] == 300
+    build = lambda *keys: spark.createDataFrame([("k", x) for x in keys], "kind string, dedupe_key string")
+    one = S.lifecycle(None, build("x", "y"), "A")
+    two = S.lifecycle(one, build("x", "z"), "B")
+    three = S.lifecycle(two, build("x"), "C")
+    got = {r.id: tuple(r)[1:] for r in three.collect()}
+    assert got == {"k:x": ("active", "A", "C", None), "k:y": ("superseded", "A", "A", "B"), "k:z": ("superseded", "B", "B", "C")}
+
+
+def test_texts_and_identities(spark):
+    L = F.lit
+    r = one(
+        spark, a=N.money_text(L(999)), b=N.money_text(L(1500)), c=N.money_text(L(230_400_000)), d=N.money_text(L(1_250_000_000_000)), e=N.money_text(L(-7_460)), f=N.range_text(L(None).cast("long"), L(1_500_000)),
+        g=N.cusip_check_ok(L("G0084W101")), h=N.provisional_security(L("cusip"), L("037833100")), i=N.capital_gains(L(" "), L(True)), j=N.capital_gains(L("X"), L(True)), k=N.capital_gains(L("?"), L(True)), l=N.capital_gains(L(None).cast("string"), L(False)),
+        m=N.utc_instant(L("2024-01-02T03:04:05+02:00")), n=N.utc_instant(L("2024-01-02")), o=N.utc_instant(L("x")), p=N.seed_id(L("house-12-ptr-3")), q=N.seed_id(L("oge-1")), s=N.year_band(L(2019)), t=N.page_ticker(L(" BRK B ")), u=N.yes_no(L("TRUE")), v=N.yes_no(L("1")),
+    )
+    assert (r.a, r.b, r.c, r.d, r.e, r.f) == ("$999", "$1.5K", "$230M", "$1.3T", "−$7.5K", "Under $1.5M")
+    import hashlib
+
+    assert r.h == "sec:prov:" + hashlib.sha256(b'{"id_type":"cusip","value":"037833100"}').hexdigest()[:32]
+    assert (r.i.over, r.j.over, r.k.over, r.k.flag, r.l.over) == (0, 1, None, "cap_gains_unparsed", None)
+    assert (r.m, r.n, r.o) == ("2024-01-02T01:04:05Z", "2024-01-02T00:00:00Z", None)
+    assert tuple(r.p) == ("house", "12", "ptr", 3) and r.q is None and r.s == "2016-2019" and r.t == "BRK B" and r.u is True and r.v is None
+    with pytest.raises(Exception, match="out of range"):
+        one(spark, x=N.year_band(L(1999)))
 
 
 def test_core_does_not_need_llm():

@@ -9,7 +9,7 @@ from folioscope import plans
 from verify import canonical
 
 SF = "/root/testdata/sf0.001"
-NAMES = ["p1_found", "p1_per_filer", "p2_found", "p2_changes", "p6_found", "p6_party_at_trade", "qoq_deltas", "default_filings", "filer_concentration", "net_by_ticker", "cusip_as_of", "member_resolution"]
+NAMES = sorted(plans.oracle_sql())
 
 
 @pytest.fixture(scope="module")

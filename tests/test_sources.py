@@ -31,7 +31,7 @@ def test_house_index(spark, tmp_path):
 
 
 def test_senate_index_and_pages(spark, tmp_path):
-    u = "029f67f3-121a-406c-bddf-a9a7e7d6267b"
+    u = "11112222-3333-4444-5555-666677778888"
     row = ["A", "B", "B, A", f'<a href="/view/ptr/{u}/">PTR</a>', "01/02/2020"]
     p = write(tmp_path, "i.json", json.dumps({"draw": 1, "data": [row, row, ["x"], [*row[:3], "none", row[4]]]}))
     assert [k for *_, k in kinds(S.senate_index(spark, p), "uuid")] == ["invalid", "invalid", "accepted", "duplicate"]
@@ -53,10 +53,12 @@ def test_submissions_and_forms(spark, tmp_path):
 
 def test_holdings_xml(spark, tmp_path):
     cover = """<edgarSubmission><headerData><submissionType>13F-HR/A</submissionType><filerInfo><filer><credentials><cik>123</cik></credentials></filer><periodOfReport>03-31-2022</periodOfReport></filerInfo></headerData>
-<formData><coverPage><isAmendment>true</isAmendment><amendmentInfo><amendmentType>RESTATEMENT</amendmentType><amendmentNo>2</amendmentNo></amendmentInfo><filingManager><name>Acme</name></filingManager><form13FFileNumber>028-04545</form13FFileNumber></coverPage>
-<summaryPage><tableValueTotal>1000</tableValueTotal></summaryPage></formData></edgarSubmission>"""
+<formData><coverPage><reportCalendarOrQuarter>06-30-2022</reportCalendarOrQuarter><otherManagerInfo><otherManager><form13FFileNumber>28-88</form13FFileNumber><name>Named</name></otherManager></otherManagerInfo><isAmendment>true</isAmendment><amendmentInfo><amendmentType>RESTATEMENT</amendmentType><amendmentNo>2</amendmentNo></amendmentInfo><filingManager><name>Acme</name></filingManager><form13FFileNumber>028-04545</form13FFileNumber></coverPage>
+<summaryPage><tableEntryTotal>3</tableEntryTotal><tableValueTotal>1000</tableValueTotal><otherManagers2Info><otherManager2><sequenceNumber>2</sequenceNumber><otherManager><cik>9</cik><form13FFileNumber>028-00077</form13FFileNumber><name>Other</name></otherManager></otherManager2></otherManagers2Info></summaryPage></formData></edgarSubmission>"""
     r = S.covers(spark, write(tmp_path, "c.xml", cover)).first()
-    assert (r.cik, r.period_of_report, r.is_amendment, r.amendment_no, r.file_number_norm, r.table_value_total_usd, r.disposition) == ("0000000123", dt.date(2022, 3, 31), True, 2, "028-4545", 1000, "parsed")
+    assert (r.cik, r.period_of_report, r.is_amendment, r.amendment_no, r.file_number_norm, r.table_value_total_usd, r.disposition) == ("0000000123", dt.date(2022, 6, 30), True, 2, "028-4545", 1000, "parsed")
+    assert [(m.seq, m.file_number_norm) for m in r.other_managers] == [(2, "028-77"), (None, "028-88")] and r.amendment_type == "RESTATEMENT"
+    assert S.covers(spark, write(tmp_path, "e.xml", cover.replace("<tableEntryTotal>3</tableEntryTotal>", ""))).first().disposition == "failed"
     assert S.covers(spark, write(tmp_path, "d.xml", "<edgarSubmission><headerData><submissionType>13F-HR</submissionType></headerData></edgarSubmission>")).first().disposition == "failed"
     row = "<infoTable><nameOfIssuer>APPLE  INC</nameOfIssuer><titleOfClass>COM</titleOfClass><cusip>{}</cusip><value>{}</value><shrsOrPrnAmt><sshPrnamt>10</sshPrnamt><sshPrnamtType>SH</sshPrnamtType></shrsOrPrnAmt><putCall>Put</putCall><otherManager>{}</otherManager><votingAuthority><Sole>10</Sole><Shared>0</Shared><None>0</None></votingAuthority></infoTable>"
     raw = S.info_table(spark, write(tmp_path, "t.xml", "<informationTable>" + row.format("037833100", "5", "1,2") + row.format("bad", "x", "1,,2") + "</informationTable>"))
@@ -66,29 +68,44 @@ def test_holdings_xml(spark, tmp_path):
 
 
 def test_registries(spark, tmp_path):
-    line = lambda c, name, status: f"{c:<9}*{name:<30}{'COM':<27}{status:<3}".ljust(80)
-    p = write(tmp_path, "l.txt", "\n".join([line("037833100", "APPLE", ""), line("037833100", "APPLE", ""), line("037833101", "BAD", ""), line("594918104", "MSFT", ""), line("594918104", "MSFT", "ADD"), "short"]))
-    assert [k for *_, k in kinds(S.list13f(spark, p), "cusip")] == ["accepted", "duplicate", "check_digit_failed", "status_conflict", "status_conflict"]
+    line = lambda c, name, status, kind="COM": f"{c:<9}*{name:<30}{kind:<27}{status:<3}".ljust(80)
+    p = write(tmp_path, "l.txt", "\n".join([line("037833100", "APPLE", ""), line("037833100", "APPLE", ""), line("037833101", "BAD", ""), line("594918104", "MSFT", "*A*"), line("594918104", "MSFT", "*D*"), line("037833908", "APPLE", "", "CALL"), line("02079K305", "A", ""), line("02079K305", "B", ""), line("88160R101", "T", "*D*"), line("11135F101", "X", "*Z*"), "short"]))
+    got = S.list13f(spark, p)
+    assert sorted((r.cusip_raw.strip(), r.disposition) for r in got.collect()) == sorted([
+        ("037833100", "accepted"), ("037833100", "duplicate"), ("037833101", "check_digit_failed"), ("594918104", "status_conflict"), ("594918104", "status_conflict"),
+        ("037833908", "accepted_option"), ("02079K305", "definition_conflict"), ("02079K305", "definition_conflict"), ("88160R101", "deleted"), ("11135F101", "bad_field"), ("short", "bad_width"),
+    ])
+    cells = [(0, "cusip", 0, "037833 10"), (0, "cusip", 1, "0"), (0, "issuer", 0, "APPLE"), (0, "class", 0, "COM"), (0, "mark", 0, "*"), (0, "status", 0, "")]
+    read = S.list_cells(spark.createDataFrame(cells, "line int, column string, part int, text string"))
+    assert [(r.cusip, r.has_options, r.disposition) for r in read.collect()] == [("037833100", True, "accepted")]
+    assert S.same_lines(read, got.filter("disposition in ('accepted')").limit(1), ["cusip", "issuer_name"]).count() == 0
+    files = spark.createDataFrame([("a", "primary_doc.xml"), ("a", "t.xml"), ("b", "primary_doc.xml"), ("c", "x.xml"), ("c", "y.xml")], "accession string, name string")
+    assert {r.accession: r.outcome for r in S.info_table_name(files).collect()} == {"a": "found", "b": "missing", "c": "ambiguous"}
     p = write(tmp_path, "f.txt", "SETTLEMENT DATE|CUSIP|SYMBOL|QUANTITY (FAILS)|DESCRIPTION|PRICE\n20220103|037833100|AAPL|10|APPLE|1\n20220103|037833100|AAPL|10|APPLE|1\n20220103|037833100||5|APPLE|1\nTrailer 3\n")
     assert [k for *_, k in kinds(S.fails_to_deliver(spark, p), "cusip")] == ["invalid", "accepted", "blank_symbol", "duplicate"]
     p = write(tmp_path, "t.json", json.dumps({"0": {"cik_str": 1, "ticker": "AA", "title": "A"}, "1": {"cik_str": 1, "ticker": "AA", "title": "A"}, "2": {"cik_str": 2, "ticker": "BB", "title": "B"}, "3": {"cik_str": 2, "ticker": "BC", "title": "B2"}}))
     assert [k for *_, k in kinds(S.company_tickers(spark, p), "cik", "ticker")] == ["accepted", "duplicate", "title_conflict", "title_conflict"]
-    p = write(tmp_path, "k.json", '{"id": "house-1"}\n{"id": "oge-2"}\n{"id": null}\n')
+    p = write(tmp_path, "k.json", '{"id": "house-1-ptr-4", "transaction_date": "2020-01-02", "type": "P", "amount": "$1,001 - $15,000"}\n{"id": "oge-2"}\n{"id": null}\n')
     assert sorted(r.disposition for r in S.seed_rows(spark, p).collect()) == ["congress", "invalid", "oge"]
 
 
-def test_cursor_and_envelope(spark):
-    df = spark.range(25).orderBy("id")
-    page, seen = catalog.envelope(df, "2024-01-01", 10), []
+def test_bookmarks_and_envelope(spark):
+    r = [(i, i % 4 if i % 5 else None, f"n{i % 3}") for i in range(40)]
+    df = spark.createDataFrame(r, "id int, v int, s string")
+    keys = [catalog.Key("v", True), catalog.Key("s"), catalog.Key("id")]
+    page, seen = catalog.envelope("q", df, keys, "2024-01-01", 7), []
     while True:
-        seen += [r["id"] for r in page["results"]]
-        if page["next_cursor"] is None:
+        seen += [x["id"] for x in page["results"]]
+        if page["next"] is None:
             break
-        page = catalog.envelope(df, "2024-01-01", 10, page["next_cursor"])
-    assert seen == list(range(25))
-    for bad in ("x", catalog.encode_cursor(-1), "e30="):
+        page = catalog.envelope("q", df, keys, "2024-01-01", 7, page["next"])
+    assert seen == [x[0] for x in sorted(r, key=lambda x: (x[1] is None, -(x[1] or 0), x[2], x[0]))]
+    mark = catalog.bookmark("q", [1, "n0", 5])
+    for bad in ("x", "e30="):
         with pytest.raises(ValueError):
-            catalog.decode_cursor(bad)
+            catalog.opened(bad, "q", keys)
+    with pytest.raises(ValueError):
+        catalog.opened(mark, "other", keys)
 
 
 def test_questions(spark):
@@ -102,6 +119,10 @@ def test_questions(spark):
     assert len(c.questions()) == 13
     with pytest.raises(ValueError):
         c.biggest_moves("up")
+    assert c.filer_snapshot(top.cik)["concentration"] and c.filer_snapshot("0") is None and c.filer_snapshot(top.cik, "1999-12-31")["available"]
+    assert c.absent_changes(top.cik, top.period) is None and "no report" in c.absent_changes(top.cik, "1999-12-31") and c.absent_changes("0", "x") == "no such filer"
+    names = spark.createDataFrame([(top.cik, "Acme Capital")], "cik string, filer_name string")
+    assert [r.cik for r in c.filer_lookup("CAPIT", names).collect()] == [top.cik]
 
 
 def test_stream_equals_batch(spark, tmp_path):

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import cut_lineage, require
 
 WIDE = "decimal(38,0)"
+#: Parts into which states without a join key are dealt.
+NULL_SALTS = 64
 
 
 def distinct_records(df: DataFrame, record_id: str, columns: Sequence[str]) -> DataFrame:
@@ -72,11 +74,11 @@ def eager_join_aggregate(
         [F.col(c).alias(f"_j{i}") for i, c in enumerate(join_keys)],
         "_nr", right_sums, "r",
     )
-    # states without a key match nothing; they don't go to one partition of the join
+    # states without a key match nothing; a salt keeps them from one partition of the join
     names = [f"_j{i}" for i in range(len(join_keys))]
-    keyed = ~F.exists(F.array(*[F.col(k).isNull() for k in names]), lambda x: x)
-    bare = ls.filter(~keyed).select("*", *[F.lit(None).cast(rs.schema[c].dataType).alias(c) for c in rs.columns if c not in names])
-    joined = ls.filter(keyed).join(rs, names, "left").unionByName(bare)
+    bare = F.exists(F.array(*[F.col(k).isNull() for k in names]), lambda x: x)
+    salt = F.when(bare, F.pmod(F.xxhash64(*[F.col(f"_g{i}") for i in range(len(group_by))]), F.lit(NULL_SALTS))).otherwise(0)
+    joined = ls.withColumn("_salt", salt).join(rs.withColumn("_salt", F.lit(0).cast("long")), [*names, "_salt"], "left")
     times = F.coalesce(F.col("_nr"), F.lit(1).cast(WIDE))
     total = lambda c: F.sum(c.cast(WIDE))
     return joined.groupBy(*[F.col(f"_g{i}").alias(c) for i, c in enumerate(group_by)]).agg(

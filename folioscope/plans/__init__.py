@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import congress, identity, institutions, serving, surfaces, training
+from . import congress, identity, institutions, pages, registry, serving, surfaces, training
 
-MODULES = [training, congress, institutions, identity, serving, surfaces]
+MODULES = [training, congress, institutions, identity, serving, surfaces, pages, registry]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from folioscope.plans import catalog
 from folioscope.sources import parsers as S
-from folioscope.streaming.filings import daily_counts, latest_filings, stream, upsert_into
+from folioscope.streaming.filings import daily_counts, latest_filings, stream, upsert_into, upserted
 
 
 def write(tmp_path, name, text):
@@ -142,4 +142,11 @@ def test_stream_equals_batch(spark, tmp_path):
     out = str(tmp_path / "table")
     s = stream(spark, src, df.schema, 1).writeStream.foreachBatch(upsert_into(out, ["filing_id"])).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     s.awaitTermination(120)
-    assert spark.read.parquet(f"{out}/v=2").count() == df.select("filing_id").distinct().count()
+    assert upserted(spark, out).count() == df.select("filing_id").distinct().count()
+    run = upsert_into(str(tmp_path / "u"), ["k"], 4)
+    one = spark.createDataFrame([(i, "a") for i in range(40)], "k int, v string")
+    run(one, 0)
+    for _ in range(2):  # a batch run again changes nothing
+        run(spark.createDataFrame([(3, "b"), (99, "c")], "k int, v string"), 1)
+        assert {r.k: r.v for r in upserted(spark, str(tmp_path / "u")).collect()} == {i: "a" for i in range(40)} | {3: "b", 99: "c"}
+    assert len(list((tmp_path / "u" / "upsert_version=1").glob("upsert_bucket=*"))) <= 2

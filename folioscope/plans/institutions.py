@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from ..functions import normalize as N
 from ..operators import populations as P, positions as Q
+from ..operators.common import cut_lineage
 from ..operators.graph import connected_components
 from ..sources import table
 
@@ -23,23 +24,34 @@ def composed(spark: SparkSession, d: str) -> DataFrame:
     return quarter(P.composed_filings(filings(spark, d), rows(spark, d)))
 
 
-def reported_periods(spark: SparkSession, d: str) -> DataFrame:
+def books(spark: SparkSession, d: str) -> DataFrame:
+    """:func:`composed`, a few columns a filing, written once for questions that look at it
+    several times, so that the holdings are summed once."""
+    keep = ["filing_key", "cik", "period", "period_of_report", "submission_type", "is_amendment", "amendment_type", "parse_status", "filed_date", "accession", "within", "affiliated"]
+    return cut_lineage(composed(spark, d).select(*keep))
+
+
+def reported_periods(spark: SparkSession, d: str, f: DataFrame | None = None) -> DataFrame:
     """The periods a filer reported for, also those without a holding."""
-    return composed(spark, d).filter("within").select("cik", "period").distinct()
+    f = composed(spark, d) if f is None else f
+    return f.filter("within").select("cik", "period").distinct()
 
 
-def reported_rows(spark: SparkSession, d: str) -> DataFrame:
+def reported_rows(spark: SparkSession, d: str, f: DataFrame | None = None) -> DataFrame:
     """Every filer's own book: the rows of its composed filings."""
-    return rows(spark, d).join(composed(spark, d).filter("within").select("filing_key"), "filing_key", "left_semi")
+    f = composed(spark, d) if f is None else f
+    return rows(spark, d).join(f.filter("within").select("filing_key"), "filing_key", "left_semi")
 
 
-def default_rows(spark: SparkSession, d: str) -> DataFrame:
+def default_rows(spark: SparkSession, d: str, f: DataFrame | None = None) -> DataFrame:
     """The rows that count across filers: as reported, affiliates counted once."""
-    return rows(spark, d).join(composed(spark, d).filter(F.col("within") & ~F.col("affiliated")).select("filing_key"), "filing_key", "left_semi")
+    f = composed(spark, d) if f is None else f
+    return rows(spark, d).join(f.filter(F.col("within") & ~F.col("affiliated")).select("filing_key"), "filing_key", "left_semi")
 
 
-def deltas(spark: SparkSession, d: str) -> DataFrame:
-    return Q.qoq_deltas(Q.fold_positions(default_rows(spark, d)), reported_periods(spark, d))
+def deltas(spark: SparkSession, d: str, f: DataFrame | None = None) -> DataFrame:
+    f = books(spark, d) if f is None else f
+    return Q.qoq_deltas(Q.fold_positions(default_rows(spark, d, f)), reported_periods(spark, d, f))
 
 
 def issuer():
@@ -108,8 +120,9 @@ def q_moves(spark, d):
 
 
 def q_exits(spark, d):
-    a = quarter(P.authoritative_periods(composed(spark, d).filter("within").drop("period")))
-    x = Q.downgrade_exits(deltas(spark, d), a)
+    f = books(spark, d)
+    a = quarter(P.authoritative_periods(f.filter("within").drop("period")))
+    x = Q.downgrade_exits(deltas(spark, d, f), a)
     return x.groupBy("period", "change_kind").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -117,17 +130,18 @@ def q_holders(spark, d):
     return Q.top_holders(default_rows(spark, d), issuer())
 
 
-def q_concentration(spark, d):
-    return Q.concentration(reported_rows(spark, d), reported_periods(spark, d))
+def q_concentration(spark, d, f=None):
+    f = books(spark, d) if f is None else f
+    return Q.concentration(reported_rows(spark, d, f), reported_periods(spark, d, f))
 
 
 def q_outsized(spark, d):
     """A period is admitted if none of its surviving filings failed or conflicts with its cover."""
-    f = composed(spark, d)
+    f = books(spark, d)
     bad = ~F.col("within") | F.coalesce(F.col("parse_status") == "failed", F.lit(False))
     admitted = f.groupBy("cik", "period").agg((F.count_if(bad) == 0).alias("admitted"))
-    books = q_concentration(spark, d).join(admitted, ["cik", "period"])
-    return Q.outsized(books, f.filter("within"))
+    shares = q_concentration(spark, d, f).join(admitted, ["cik", "period"])
+    return Q.outsized(shares, f.filter("within"))
 
 
 def q_coverage(spark, d):
@@ -142,11 +156,12 @@ def q_covers(spark, d):
 def q_registry(spark, d):
     """Every filer with a reported filing, all its periods rolled up; filers without
     holdings stay."""
-    h = reported_rows(spark, d).groupBy("cik").agg(
+    b = books(spark, d)
+    h = reported_rows(spark, d, b).groupBy("cik").agg(
         F.count(F.lit(1)).alias("holdings"), F.coalesce(Q.exact_sum("value_usd"), F.lit(0)).alias("value"),
         F.count_if(F.col("value_usd").isNull()).alias("undisclosed"), F.count_if(F.col("position_key").isNull()).alias("unkeyed"),
     )
-    f = composed(spark, d).filter("within").groupBy("cik").agg(F.count(F.lit(1)).alias("filings"), F.max("filed_date").alias("latest_filed"), F.max("period").alias("latest_period"))
+    f = b.filter("within").groupBy("cik").agg(F.count(F.lit(1)).alias("filings"), F.max("filed_date").alias("latest_filed"), F.max("period").alias("latest_period"))
     z = [F.coalesce(c, F.lit(0)).alias(c) for c in ("holdings", "value", "undisclosed", "unkeyed")]
     return f.join(h, "cik", "left").select("cik", "filings", "latest_filed", *z, "latest_period")
 
@@ -176,12 +191,13 @@ def q_issuer_grain(spark, d):
 
 def q_latest(spark, d):
     """Each filer's latest period with holdings, whole."""
-    return Q.latest(reported_rows(spark, d), "cik").select("row_id", "cik", "period")
+    return Q.latest(reported_rows(spark, d, books(spark, d)), "cik").select("row_id", "cik", "period")
 
 
 def q_period_diff(spark, d):
     """A filer page's comparison of the two newest periods."""
-    return Q.diff_latest(Q.display_positions(reported_rows(spark, d)), reported_periods(spark, d))
+    f = books(spark, d)
+    return Q.diff_latest(Q.display_positions(reported_rows(spark, d, f)), reported_periods(spark, d, f))
 
 
 def q_filer_covers(spark, d):
@@ -198,7 +214,7 @@ def q_lag(spark, d):
 
 def q_universal_flags(spark, d):
     """The flags that rows of a filer's period carry, and whether every row does."""
-    r = reported_rows(spark, d).withColumn("f", F.from_json("flags", "array<string>"))
+    r = reported_rows(spark, d, books(spark, d)).withColumn("f", F.from_json("flags", "array<string>"))
     n = r.groupBy("cik", "period").agg(F.count(F.lit(1)).alias("rows"))
     k = r.select("cik", "period", F.explode(F.array_distinct("f")).alias("flag")).groupBy("cik", "period", "flag").agg(F.count(F.lit(1)).alias("carried"))
     return k.join(n, ["cik", "period"]).withColumn("universal", F.col("carried") == F.col("rows"))

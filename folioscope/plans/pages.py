@@ -45,9 +45,10 @@ def q_page_budget(spark, d):
 
 
 def activity(spark, d):
-    a = I.composed(spark, d).filter("within")
+    f = I.books(spark, d)
+    a = f.filter("within")
     ok = P.authoritative_periods(a).join(a.select("cik", "period_of_report", "period").distinct(), ["cik", "period_of_report"]).select("cik", "period")
-    return Q.downgrade_exits(I.deltas(spark, d), ok)
+    return Q.downgrade_exits(I.deltas(spark, d, f), ok)
 
 
 def q_activity(spark, d):
@@ -61,9 +62,8 @@ def q_page_changes(spark, d):
     """Every filer's changes in the order of its page, within the rows of an embed, with the
     number there are in all."""
     w = W.partitionBy("cik", "period").orderBy(*E.page_order())
-    x = I.deltas(spark, d).withColumn("place", F.row_number().over(w)).filter(F.col("place") <= 20_000)
-    n = I.deltas(spark, d).groupBy("cik", "period").agg(F.count(F.lit(1)).alias("total"))
-    return x.join(n, ["cik", "period"]).select("cik", "period", "place", "position_key", "put_call_bucket", "unit_key", "total")
+    x = I.deltas(spark, d).withColumn("place", F.row_number().over(w)).withColumn("total", F.count(F.lit(1)).over(W.partitionBy("cik", "period")))
+    return x.filter(F.col("place") <= 20_000).select("cik", "period", "place", "position_key", "put_call_bucket", "unit_key", "total")
 
 
 def q_filer_index(spark, d):
@@ -180,11 +180,12 @@ def q_filing_reconciliation(spark, d):
 
 def q_period_universe(spark, d):
     """What a filer's changes can be about: positions, unkeyed rows, undisclosed ones."""
-    g = I.reported_rows(spark, d).groupBy("cik", "period").agg(
+    f = I.books(spark, d)
+    g = I.reported_rows(spark, d, f).groupBy("cik", "period").agg(
         F.count(F.lit(1)).alias("holdings"), F.coalesce(Q.exact_sum("value_usd"), F.lit(0)).alias("value"), F.count_if(F.col("value_usd").isNull()).alias("undisclosed"),
         F.count_if(F.col("position_key").isNull()).alias("unkeyed"), F.countDistinct("position_key", "put_call_bucket", "unit_key").alias("positions"),
     )
-    p = I.reported_periods(spark, d).join(g, ["cik", "period"], "left")
+    p = I.reported_periods(spark, d, f).join(g, ["cik", "period"], "left")
     return p.select("cik", "period", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("holdings", "value", "undisclosed", "unkeyed", "positions")], F.ceil(F.coalesce("holdings", F.lit(0)) / 100).alias("pages"))
 
 
@@ -198,8 +199,9 @@ def q_member_sources(spark, d):
 def q_periods(spark, d):
     """Every period that filings, holdings or changes speak of."""
     one = lambda df, c: df.select(F.col(c).alias("period"))
-    x = I.deltas(spark, d)
-    return one(I.reported_periods(spark, d), "period").union(one(I.reported_rows(spark, d), "period")).union(one(x, "period")).union(one(x, "prev_period")).distinct()
+    f = I.books(spark, d)
+    x = I.deltas(spark, d, f)
+    return one(I.reported_periods(spark, d, f), "period").union(one(I.reported_rows(spark, d, f), "period")).union(one(x, "period")).union(one(x, "prev_period")).distinct()
 
 
 def q_compact(spark, d):
@@ -212,7 +214,8 @@ def q_compact(spark, d):
 
 def q_payloads(spark, d):
     """The parts of each filer's payload: rows, filings they refer to, changes, periods."""
-    return B.filer_payloads(I.reported_rows(spark, d), table(spark, d, "inst_filings"), I.deltas(spark, d), I.q_concentration(spark, d)).select(
+    f = I.books(spark, d)
+    return B.filer_payloads(I.reported_rows(spark, d, f), table(spark, d, "inst_filings"), I.deltas(spark, d, f), I.q_concentration(spark, d, f)).select(
         "cik", F.size("rows").alias("n_rows"), F.size("filings").alias("n_filings"), F.size("changes").alias("n_changes"), F.size("periods").alias("n_periods")
     )
 

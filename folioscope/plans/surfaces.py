@@ -133,9 +133,10 @@ def q_keying(spark, d):
 
 def q_display_names(spark, d):
     """A position's issuer name in its period, else in the period before."""
-    r = I.reported_rows(spark, d).filter(F.col("position_key").isNotNull())
+    f = I.books(spark, d)
+    r = I.reported_rows(spark, d, f).filter(F.col("position_key").isNotNull())
     n = r.groupBy("cik", "period", "position_key").agg(F.min("issuer_name").alias("name"))
-    deltas = I.deltas(spark, d).select("cik", "period", "prev_period", "position_key")
+    deltas = I.deltas(spark, d, f).select("cik", "period", "prev_period", "position_key")
     a = deltas.join(n, ["cik", "period", "position_key"], "left")
     b = n.select("cik", F.col("period").alias("prev_period"), "position_key", F.col("name").alias("old_name"))
     return a.join(b, ["cik", "prev_period", "position_key"], "left").select("cik", "period", "position_key", F.coalesce("name", "old_name").alias("name")).distinct()
@@ -143,7 +144,7 @@ def q_display_names(spark, d):
 
 def q_tiers(spark, d, most=FILER_PAGES):
     """Filers by the value of their latest period: the top tier and the rest."""
-    v = Q.latest(I.reported_rows(spark, d), "cik").groupBy("cik").agg(Q.exact_sum("value_usd").alias("value"))
+    v = Q.latest(I.reported_rows(spark, d, I.books(spark, d)), "cik").groupBy("cik").agg(Q.exact_sum("value_usd").alias("value"))
     # a top-k, not a global ranking; its size is the parameter
     top = v.orderBy(F.col("value").desc_nulls_last(), "cik").limit(most).select("cik", F.lit(True).alias("top"))
     return v.join(F.broadcast(top), "cik", "left").select("cik", "value", F.when(F.col("top"), "top").otherwise("tail").alias("tier"))

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 # Honorifics and suffixes that never tell members apart.
 DROPPED = ["hon", "dr", "mr", "mrs", "ms", "jr", "sr", "ii", "iii", "iv", "v", "md", "facs", "dds", "esq", "phd"]
 OPEN = "9999-12-31"
+# How the yearly index prints a seat, and how seed records end an office.
+SEAT, OFFICE = "^[A-Z]{2}[0-9]{2}$", r"([A-Z]{2})-(\d+)\s*$"
 
 
 def _accents() -> tuple[str, str]:
@@ -139,7 +141,7 @@ def apply_members(filings: DataFrame, transactions: DataFrame, resolved: DataFra
 def index_hints(index: DataFrame) -> DataFrame:
     """(filing_id, state, district) from the yearly index (doc_id and StateDst such as
     ``MO04``); the district without leading zeros, 0 at large."""
-    ok = F.col("state_dst").rlike("^[A-Z]{2}[0-9]{2}$")
+    ok = F.col("state_dst").rlike(SEAT)
     return index.filter(ok & (F.trim("doc_id") != "")).select(
         F.concat(F.lit("house:"), F.trim("doc_id")).alias("filing_id"), F.substring("state_dst", 1, 2).alias("state"),
         F.substring("state_dst", 3, 2).cast("int").cast("string").alias("district"),
@@ -149,7 +151,7 @@ def index_hints(index: DataFrame) -> DataFrame:
 def seed_hints(records: DataFrame) -> DataFrame:
     """(filing_id, state, district) from seed records (id, branch, chamber, state, office
     ending in ``CT-04``)."""
-    at = lambda i: F.nullif(F.regexp_extract("office", r"([A-Z]{2})-(\d+)\s*$", i), F.lit(""))
+    at = lambda i: F.nullif(F.regexp_extract("office", OFFICE, i), F.lit(""))
     house = F.col("chamber") == "house"
     r = records.filter((F.col("branch") == "congress") & F.coalesce(F.col("id") != "", F.lit(False)))
     return r.select(

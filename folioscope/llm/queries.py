@@ -74,9 +74,11 @@ def filing_records(spark: SparkSession, d: str) -> tuple[DataFrame, Column]:
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     f, rank = filing_records(spark, d)
-    total = F.when(F.col("table_value_total_usd").isNotNull(), F.col("acc"))
-    return survivors(f, ["cik", "period_end"], rank, [Field("accession", F.col("acc")), Field("total_accession", total)]).select(
-        "cik", "period_end", "accession", F.coalesce("total_accession", F.lit("none")).alias("total_accession")
+    # a record without an accession votes for none, and may be the best one
+    acc = F.coalesce("acc", F.lit(""))
+    total = F.when(F.col("table_value_total_usd").isNotNull(), acc)
+    return survivors(f, ["cik", "period_end"], rank, [Field("accession", acc), Field("total_accession", total)]).select(
+        "cik", "period_end", F.nullif("accession", F.lit("")).alias("accession"), F.coalesce(F.nullif("total_accession", F.lit("")), F.lit("none")).alias("total_accession")
     )
 
 

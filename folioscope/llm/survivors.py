@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from ..operators.common import broadcast_if_small, cut_lineage, require
 
@@ -27,7 +27,9 @@ GAP = ""
 class Field:
     """A field to fill: its name, a string column, and how much a record's tokens weigh.
     ``majority``: every record weighs the same.  ``trusted``: a record outweighs all
-    worse-ranked ones of its group together."""
+    worse-ranked ones of its group together, as powers of two do; of two sums of such
+    weights the one with the better record is greater, so these records have 0 votes and
+    their ranks, which are all different, decide."""
 
     name: str
     value: Column
@@ -51,6 +53,11 @@ def align(guide: Sequence[str], other: Sequence[str]) -> list[tuple[int, int, st
     while tail < min(n, m) - head and guide[n - 1 - tail] == other[m - 1 - tail]:
         tail += 1
     out = [(i, -1, guide[i]) for i in range(head)]
+    if n == m:
+        # any gap costs two, and wins nothing where all that is shared stands side by side
+        differ = [i for i in range(head, n - tail) if guide[i] != other[i]]
+        if {guide[i] for i in differ}.isdisjoint(other[i] for i in differ):
+            return [(i, -1, t) for i, t in enumerate(other)]
     number: dict[str, int] = {}
     a = np.array([number.setdefault(t, len(number)) for t in guide[head : n - tail]], dtype=np.int64)
     b = np.array([number.setdefault(t, len(number)) for t in other[head : m - tail]], dtype=np.int64)
@@ -109,7 +116,9 @@ def consensus(values: Sequence[tuple[str, int, str]]) -> list[str]:
             for place in align(guide, tokens(v)):
                 have = votes.get(place, (0, ""))
                 votes[place] = (have[0] + n, max(have[1], rank))
-        guide = winners(((*place, n, r) for place, (n, r) in votes.items()), weight, first)
+        before, guide = guide, winners(((*place, n, r) for place, (n, r) in votes.items()), weight, first)
+        if guide == before:  # so it stays
+            break
     return guide
 
 
@@ -133,16 +142,19 @@ def distance(a: Sequence[str], b: Sequence[str]) -> int:
 
 def closest(want: Sequence[str], values: Sequence[tuple[str, int, str]]) -> str:
     """The existing value with the fewest edits to the consensus, then the best rank."""
+    agreed = "".join(want)
+    if any(v == agreed for _, _, v in values) and tokens(agreed) == list(want):
+        return agreed
     return min(sorted(((rank, v) for rank, _, v in values), reverse=True), key=lambda x: distance(want, tokens(x[1])))[1]
 
 
 @F.pandas_udf(T.StringType())
-def _resolve(values: pd.Series) -> pd.Series:
+def _resolve(ranks: pd.Series, votes: pd.Series, values: pd.Series) -> pd.Series:
     """Whole groups: align, vote, and give the closest existing value."""
     out = []
-    for vs in values:
-        vs = [(v["rank"], v["n"], v["value"]) for v in vs]
-        out.append(closest(consensus(vs), vs))
+    for r, n, v in zip(ranks, votes, values):
+        vs = None if v is None else list(zip(r, n, v))
+        out.append(vs and closest(consensus(vs), vs))
     return pd.Series(out, dtype=object)
 
 
@@ -200,18 +212,17 @@ def survivors(
     existing value with the fewest token edits to the consensus is emitted, ties going to
     the better rank.
 
-    A value with more than half of the weight wins every column it is in, whatever the
-    alignment, and so does the heavier of two; these are decided by aggregation, in the
-    JVM.  The best record of a ``trusted`` field outweighs all others together, so such
-    fields always are.  Of the others only the groups left are aligned, in one call up to
-    ``chunk`` distinct values, else value by value as rows whose votes are summed; the
-    votes are the same, so ``chunk`` and the order of rows change nothing.
+    Every group with two or more values of a field is aligned and voted on, ``trusted``
+    fields too: in one call up to ``chunk`` distinct values, else value by value as rows
+    whose votes are summed.  The votes are the same, so ``chunk`` and the order of rows
+    change nothing.
 
     Output: ``group_by``, ``n_records``, and each field (null if no record has it).
 
     Defined cases: rows with a null group column belong to no group and are left out;
-    null values don't vote; a null rank is the lowest; the empty string is a value
-    without tokens; repeated rows count as records; an empty table gives no rows.  An
+    null values don't vote; a null rank is the lowest; of equally ranked ``trusted`` records
+    the greater value is the better; the empty string is a value without tokens, all of
+    whose votes are gaps; repeated rows count as records; an empty table gives no rows.  An
     alignment takes time in proportion to the product of two values' numbers of tokens.
     """
     require(df, *group_by)
@@ -220,30 +231,37 @@ def survivors(
         *[F.col(c).alias(g) for c, g in zip(group_by, gs)], F.coalesce(rank, F.lit("")).alias("rank"),
         *[f.value.cast("string").alias(f"f{i}") for i, f in enumerate(fields)],
     ).dropna(subset=gs)
-    trusted = [i for i, f in enumerate(fields) if f.weigh == "trusted"]
-    voted = [i for i, f in enumerate(fields) if f.weigh != "trusted"]
-    best = [F.max(F.when(F.col(f"f{i}").isNotNull(), F.struct("rank", F.col(f"f{i}").alias("value")))).alias(f"b{i}") for i in trusted]
-    out = named.groupBy(*gs).agg(F.count(F.lit(1)).alias("n_records"), *best).filter(F.col("n_records") >= least)
-    out = out.select(*gs, "n_records", *[F.col(f"b{i}.value").alias(f"f{i}") for i in trusted])
-    if voted:
-        out = out.join(_voted(named, gs, voted, chunk), gs, "left")
+    if not fields:
+        out = named.groupBy(*gs).agg(F.count(F.lit(1)).alias("n_records")).filter(F.col("n_records") >= least)
+        return out.select(*[F.col(g).alias(c) for c, g in zip(group_by, gs)], "n_records")
+    cells = named.select(*gs, "rank", F.inline(F.array(*[F.struct(F.lit(i).alias("field"), F.col(f"f{i}").alias("value")) for i in range(len(fields))])))
+    states = cells.groupBy(*gs, "field", "value").agg(F.max("rank").alias("rank"), F.count(F.lit(1)).alias("records"))
+    trusted = F.col("field").isin([i for i, f in enumerate(fields) if f.weigh == "trusted"])
+    # sorts by rank, then by value
+    each = F.concat(F.replace("rank", F.lit("\0"), F.lit("\0\1")), F.lit("\0\0"), F.coalesce("value", F.lit("")))
+    states = states.select(
+        *gs, "field", "value", "records", F.when(trusted, 0).otherwise(F.col("records")).alias("n"), F.when(trusted, each).otherwise(F.col("rank")).alias("rank")
+    )
+    # values are counted before any are gathered
+    w, own = W.partitionBy(*gs), [F.col("field") == i for i in range(len(fields))]
+    ds = {f"d{i}": F.count(F.when(x, F.col("value"))).over(w) for i, x in enumerate(own)}
+    counted = states.withColumns({"n_records": F.sum(F.when(own[0], F.col("records"))).over(w), **ds}).filter(F.col("n_records") >= least)
+    whole = counted.groupBy(*gs, "n_records", *ds).agg(
+        *[F.collect_list(F.when(x & F.col("value").isNotNull() & (F.col(f"d{i}") <= chunk), F.struct("rank", "n", "value"))).alias(f"v{i}") for i, x in enumerate(own)]
+    )
+    out = cut_lineage(whole.select(*gs, "n_records", *ds, *[_agreed(F.col(f"v{i}")).alias(f"f{i}") for i in range(len(fields))]))
+    wide = out.select(*gs, F.inline(F.array(*[F.struct(F.lit(i).alias("field"), F.col(f"d{i}").alias("d")) for i in range(len(fields))]))).filter(F.col("d") > chunk)
+    if not wide.isEmpty():
+        keys = [*gs, "field"]
+        some = cut_lineage(states.filter(F.col("value").isNotNull()).join(broadcast_if_small(wide.select(*keys)), keys, "left_semi"))
+        told = some.groupBy(*keys).agg(F.sum("n").alias("weight"), F.max("rank").alias("first"), F.max(F.struct("n", "rank", "value")).alias("t"))
+        found = _wide(some, keys, told.select(*keys, "weight", "first", F.col("t.value").alias("top")))
+        found = found.groupBy(*gs).agg(*[F.max(F.when(x, F.col("value"))).alias(f"w{i}") for i, x in enumerate(own)])
+        out = out.join(found, gs, "left").withColumns({f"f{i}": F.coalesce(f"f{i}", f"w{i}") for i in range(len(fields))})
     return out.select(*[F.col(g).alias(c) for c, g in zip(group_by, gs)], "n_records", *[F.col(f"f{i}").alias(f.name) for i, f in enumerate(fields)])
 
 
-def _voted(named: DataFrame, gs: list[str], voted: list[int], chunk: int) -> DataFrame:
-    keys = [*gs, "field"]
-    wide = named.select(*gs, "rank", F.explode(F.array(*[F.struct(F.lit(i).alias("field"), F.col(f"f{i}").alias("value")) for i in voted])).alias("e"))
-    states = wide.select(*gs, "rank", "e.field", "e.value").filter(F.col("value").isNotNull())
-    states = cut_lineage(states.groupBy(*keys, "value").agg(F.max("rank").alias("rank"), F.count(F.lit(1)).alias("n")))
-    told = states.groupBy(*keys).agg(F.sum("n").alias("weight"), F.max("rank").alias("first"), F.count(F.lit(1)).alias("d"), F.max(F.struct("n", "rank", "value")).alias("t"))
-    told = told.select(*keys, "weight", "first", "d", F.col("t.value").alias("top"), ((2 * F.col("t.n") > F.col("weight")) | (F.col("d") <= 2)).alias("decided"))
-    found = told.filter("decided").select(*keys, F.col("top").alias("value"))
-    left = cut_lineage(told.filter(~F.col("decided")))
-    sizes = left.agg(F.count_if(F.col("d") <= chunk).alias("narrow"), F.count_if(F.col("d") > chunk).alias("wide")).first()
-    if sizes.narrow:
-        some = states.join(broadcast_if_small(left.filter(F.col("d") <= chunk).select(*keys)), keys, "left_semi")
-        whole = some.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("rank", "n", "value"))).alias("v"))
-        found = found.unionByName(whole.select(*keys, _resolve("v").alias("value")))
-    if sizes.wide:
-        found = found.unionByName(_wide(states, keys, left.filter(F.col("d") > chunk).select(*keys, "weight", "first", "top")))
-    return found.groupBy(*gs).agg(*[F.max(F.when(F.col("field") == i, F.col("value"))).alias(f"f{i}") for i in voted])
+def _agreed(values: Column) -> Column:
+    """A value that is alone needs no call."""
+    several = F.when(F.size(values) > 1, values)
+    return F.coalesce(_resolve(several["rank"], several["n"], several["value"]), F.get(values, F.lit(0))["value"])

@@ -1,8 +1,12 @@
 import random
+from datetime import date
 
+import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from folioscope.llm import queries as Q, survivors as S
 from folioscope.llm.survivors import GAP, GAP_COST, Field, align, closest, consensus, distance, survivors, tokens
 from folioscope.llm.topn import top_n
 
@@ -148,3 +152,53 @@ def test_majority_field_and_edges(spark):
     got = {x.g: (x.n_records, x.v) for x in survivors(df, ["g"], F.col("r"), [Field("v", F.col("v"), "majority")]).collect()}
     assert got == {"a": (5, "13F HR"), "b": (2, "x" * 5000)}
     assert survivors(df.limit(0), ["g"], F.col("r"), [Field("v", F.col("v"))]).count() == 0
+
+
+def test_no_votes_and_ranks_decide_as_powers_of_two_do():
+    r = random.Random(7)
+    for _ in range(1500):
+        vs = list({" ".join(r.choice("abc") for _ in range(r.randrange(6))) for _ in range(r.randrange(1, 8))})
+        r.shuffle(vs)
+        summed = [(f"{i:02d}", 2**i, v) for i, v in enumerate(vs)]
+        ranked = [(rank, 0, v) for rank, _, v in summed]
+        assert consensus(ranked) == consensus(summed) and closest(consensus(ranked), ranked) == vs[-1]
+
+
+def filings_of(spark, folder, rows):
+    columns = "cik string, accession string, period_of_report date, filed_date date, submission_type string, file_number_norm string, table_value_total_usd long, parse_status string"
+    spark.createDataFrame(rows, columns).write.parquet(f"{folder}/inst_filings.parquet")
+    return str(folder)
+
+
+def filing(cik, accession, total=None, status="parsed", form="13F-HR", filed=date(2023, 5, 1)):
+    return (cik, accession, date(2023, 3, 31), filed, form, "028-1", total, status)
+
+
+def test_p5_found_aligns_and_votes_wherever_values_differ(spark, tmp_path, monkeypatch):
+    @F.pandas_udf("string")
+    def marked(ranks: pd.Series, votes: pd.Series, values: pd.Series) -> pd.Series:
+        return values.map(lambda v: None if v is None else f"{len(v)} aligned")
+
+    monkeypatch.setattr(S, "_resolve", marked)
+    a, b, c = (f"0000000001-23-00000{i}" for i in (1, 2, 3))
+    rows = [filing("two", a, 5), filing("two", b)] + [filing("three", x, 5) for x in (a, b, c)] + [filing("same", a, 5)] * 2
+    got = {x.cik: (x.accession, x.total_accession) for x in Q.p5_found(spark, filings_of(spark, tmp_path, rows)).collect()}
+    assert got == {"two": ("2 aligned", a), "three": ("3 aligned", "3 aligned"), "same": (a, a)}
+
+
+@pytest.mark.parametrize("chunk", [64, 1])
+def test_p5_found_of_odd_filings_equals_sql(spark, tmp_path, monkeypatch, chunk):
+    r = random.Random(8)
+    rows = [filing("best has none", None, 5, filed=date(2023, 6, 1)), filing("best has none", "0000000001-23-000001", 7)]
+    rows += [filing("no digits", "n/a", 5), filing("no digits", "n/a")]
+    for i in range(300):
+        number = f"{r.randrange(3):010d}", f"{r.randrange(20, 24)}", f"{r.randrange(40):06d}"
+        written = r.choice([None, "", "-".join(number), "".join(number), "/".join(x.lstrip("0") or "0" for x in number)])
+        status, form = r.choice(["parsed", "partial", "failed", None, "odd"]), r.choice(["13F-HR", "13F HR/A", "13f-nt", None])
+        # no two records may be equal in rank and differ in total
+        rows.append(filing(f"c{i // 5}", written, i if i % 3 else None, status, form, date(2023, 4, 1 + i % 5)))
+    d = filings_of(spark, tmp_path, rows)
+    monkeypatch.setattr(S.survivors, "__defaults__", (2, chunk))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW inst_filings AS SELECT * FROM '{d}/inst_filings.parquet/*.parquet'")
+    assert sorted(map(tuple, Q.p5_found(spark, d).collect()), key=str) == sorted(con.execute(Q.SQL["p5_found"]).fetchall(), key=str)
